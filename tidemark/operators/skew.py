@@ -32,10 +32,10 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def key_skew(df: DataFrame, keys: list[str], top: int = 20) -> DataFrame:
     """The hottest keys and their share of all rows."""
-    total = df.agg(F.count(F.lit(1))).scalar()
+    counts = key_counts(df, keys)
+    total = counts.agg(F.sum("row_count")).scalar()
     return (
-        key_counts(df, keys)
-        .orderBy(F.col("row_count").desc(), *[F.col(k).asc_nulls_first() for k in keys])
+        counts.orderBy(F.col("row_count").desc(), *[F.col(k).asc_nulls_first() for k in keys])
         .limit(top)
         .withColumn("share", F.col("row_count").cast("double") / total.cast("double"))
     )
@@ -49,8 +49,18 @@ def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     """
     if not 0.0001 <= share <= 1:
         raise ValueError("share must lie between 0.0001 and 1")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return key_counts(df, keys).filter(F.col("row_count") > total * F.lit(share)).select(*keys)
+    counts = key_counts(df, keys)
+    # The total comes from the same counts, so the input is read once.
+    total = counts.agg(F.sum("row_count")).scalar()
+    return counts.filter(F.col("row_count") > total * F.lit(share)).select(*keys)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Fetch a result of proven small size and hand it back as a local table.
+
+    Plans built on it neither repeat the work behind it nor guess its size.
+    """
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
 def mark_hot(df: DataFrame, hot: DataFrame, keys: list[str], flag: str = "__hot") -> DataFrame:

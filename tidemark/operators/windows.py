@@ -1,9 +1,11 @@
 """Window operators that hold when one key owns a large share of the rows.
 
-A plain window sends every row of a key to one task.  Here a key holding more
-than ``share`` of the rows is cut into ordered chunks along the first ordering
-column, at quantiles of that key's own values, and windows run per
-(key, chunk).  What a chunk needs from the earlier ones is small:
+A plain window sends every row of a key to one task.  Here the keys holding
+more than ``share`` of the rows are looked up first (one combined count per
+key).  Without any, the plain window runs.  Otherwise each hot key is cut into
+ordered chunks along the first ordering column, at quantiles of that key's own
+values, and windows run per (key, chunk).  What a chunk needs from the other
+ones is small:
 
 * running totals and ranks need one total per earlier chunk,
 * lag, lead and moving frames need a few neighbouring rows,
@@ -11,8 +13,9 @@ column, at quantiles of that key's own values, and windows run per
 
 At most ``1 / share`` keys are cut, each into at most ``chunks`` pieces, so
 these summaries have a fixed upper size whatever the data, and only they are
-broadcast.  Other keys keep the plain window.  Rows of one key with the same
-first ordering value always share a chunk, as ranks and RANGE frames require.
+fetched or broadcast.  Rows of one key with the same first ordering value
+always share a chunk, as ranks and RANGE frames require.  The input is read
+once more per summary; store an expensive one first (``session.cut_lineage``).
 """
 
 from __future__ import annotations
@@ -23,11 +26,11 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import all_of, as_col, bare, same, sort_columns
-from tidemark.operators.skew import hot_keys
+from tidemark.operators.skew import hot_keys, settled
 
 CHUNK = "__chunk"
 BOUNDS = "__bounds"
-NUMERIC_OR_TIME = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
+ORDERED = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
 
 
 @dataclass(frozen=True)
@@ -48,43 +51,65 @@ def _check(by: list[str], order: list[str]) -> None:
         raise ValueError("an ordering is required")
 
 
-def _bounds(df: DataFrame, by: list[str], lead: str, split: Split) -> DataFrame:
-    """Hot keys with the quantiles of their leading order column."""
-    hot = hot_keys(df, by, split.share)
-    renamed = hot.select(*[F.col(k).alias(f"__h_{k}") for k in by])
-    cuts = [i / split.chunks for i in range(1, split.chunks)]
-    return (
-        df.select(*dict.fromkeys([*by, lead]))
-        .join(F.broadcast(renamed), all_of(same(F.col(k), F.col(f"__h_{k}")) for k in by), "left_semi")
-        .groupBy(*by)
-        .agg(F.array_distinct(F.percentile_approx(lead, cuts, 10 * split.chunks)).alias(BOUNDS))
-        .select(*[F.col(k).alias(f"__h_{k}") for k in by], F.coalesce(BOUNDS, F.array()).alias(BOUNDS))
-    )
+def _matches(keys: list[str], prefix: str) -> Column:
+    return all_of(same(F.col(k), F.col(f"{prefix}{k}")) for k in keys)
+
+
+def _hot(df: DataFrame, by: list[str], split: Split) -> DataFrame | None:
+    """The hot keys as ``__h_*`` columns, None when there are none."""
+    found = settled(hot_keys(df, by, split.share).select(*[F.col(k).alias(f"__h_{k}") for k in by]))
+    return None if found.isEmpty() else found
+
+
+@dataclass(frozen=True)
+class Chunked:
+    """Rows with their chunk: -1 for ordinary keys, 0.. along the order for hot ones."""
+
+    df: DataFrame
+    by: list[str]
+    split: bool
+
+    @property
+    def keys(self) -> list[str]:
+        return [*self.by, CHUNK]
 
+    @property
+    def hot(self) -> DataFrame:
+        return self.df.filter(F.col(CHUNK) >= 0)
 
-def with_chunks(df: DataFrame, by: list[str], order: list[str], split: Split, keep_bounds: bool = False) -> DataFrame:
-    """Add the chunk number: -1 for ordinary keys, 0.. along the order for hot ones."""
+    def window(self, order: list[str]) -> WindowSpec:
+        """Within a chunk, or within the key where nothing is split."""
+        return Window.partitionBy(*(self.keys if self.split else self.by)).orderBy(*sort_columns(order))
+
+
+def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_bounds: bool = False) -> Chunked:
+    """Find the hot keys and number their chunks."""
+    _check(by, order)
     lead = bare(order)[0]
-    if not dict(df.dtypes)[lead].startswith(NUMERIC_OR_TIME):
+    if not dict(df.dtypes)[lead].startswith(ORDERED):
+        # Quantiles need a measurable first ordering column.
         raise ValueError(f"the first ordering column must be a number, date or timestamp: {lead}")
-    marked = df.join(
-        F.broadcast(_bounds(df, by, lead, split)), all_of(same(F.col(k), F.col(f"__h_{k}")) for k in by), "left"
+    hot = _hot(df, by, split)
+    if hot is None:
+        return Chunked(df.withColumn(CHUNK, F.lit(-1)), by, False)
+    cuts = [i / split.chunks for i in range(1, split.chunks)]
+    bounds = settled(
+        df.select(*dict.fromkeys([*by, lead]))
+        .join(F.broadcast(hot), _matches(by, "__h_"))
+        .groupBy(*[f"__h_{k}" for k in by])
+        .agg(F.array_distinct(F.percentile_approx(lead, cuts, 10 * split.chunks)).alias("cuts"))
+        .select(*[f"__h_{k}" for k in by], F.coalesce("cuts", F.array()).alias(BOUNDS))
     )
+    marked = df.join(F.broadcast(bounds), _matches(by, "__h_"), "left")
     value = F.col(lead)
     if order[0].startswith("-"):
         # NULL sorts last when descending: one past every bound.
-        place = F.when(value.isNull(), F.size(BOUNDS) + 1).otherwise(
-            F.size(F.filter(BOUNDS, lambda b: b > value))
-        )
+        place = F.when(value.isNull(), F.size(BOUNDS) + 1).otherwise(F.size(F.filter(BOUNDS, lambda b: b > value)))
     else:
         place = F.size(F.filter(BOUNDS, lambda b: b <= value))
     marked = marked.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(-1)).otherwise(place))
     marked = marked.drop(*[f"__h_{k}" for k in by])
-    return marked if keep_bounds else marked.drop(BOUNDS)
-
-
-def _local(by: list[str], order: list[str]) -> WindowSpec:
-    return Window.partitionBy(*by, CHUNK).orderBy(*sort_columns(order))
+    return Chunked(marked if keep_bounds else marked.drop(BOUNDS), by, True)
 
 
 def _earlier(by: list[str]) -> WindowSpec:
@@ -95,8 +120,7 @@ def _earlier(by: list[str]) -> WindowSpec:
 def _attach(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     """Left join a size-bounded summary on null-safe keys, without a shuffle."""
     renamed = summary.withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    on = all_of(same(F.col(k), F.col(f"__k_{k}")) for k in keys)
-    return df.join(F.broadcast(renamed), on, "left").drop(*[f"__k_{k}" for k in keys])
+    return df.join(F.broadcast(renamed), _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
 
 
 def running(
@@ -112,26 +136,26 @@ def running(
     With ``tie`` (columns making the order unique) the frame is by ROWS;
     without, it is the default RANGE frame, where peers share the total.
     """
-    _check(by, order)
     inputs = {f"__in_{n}": as_col(c) for n, c in sums.items()}
-    marked = with_chunks(df.withColumns(inputs), by, order, split)
+    rows = chunked(df.withColumns(inputs), by, order, split)
     if tie:
-        frame = _local(by, order + tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        frame = rows.window(order + tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     else:
-        frame = _local(by, order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        frame = rows.window(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.df.withColumns({n: F.sum(f"__in_{n}").over(frame) for n in sums})
+    if not rows.split:
+        return local.drop(CHUNK, *inputs)
     before = (
-        marked.filter(F.col(CHUNK) >= 0)
-        .groupBy(*by, CHUNK)
+        rows.hot.groupBy(*rows.keys)
         .agg(*[F.sum(f"__in_{n}").alias(f"__t_{n}") for n in sums])
-        .select(*by, CHUNK, *[F.sum(f"__t_{n}").over(_earlier(by)).alias(f"__b_{n}") for n in sums])
+        .select(*rows.keys, *[F.sum(f"__t_{n}").over(_earlier(by)).alias(f"__b_{n}") for n in sums])
     )
-    local = marked.withColumns({n: F.sum(f"__in_{n}").over(frame) for n in sums})
-    joined = _attach(local, before, [*by, CHUNK])
     totals = {}
     for n in sums:
         mine, earlier = F.col(n), F.col(f"__b_{n}")
         # A NULL side has seen no value yet, and does not spoil the other one.
         totals[n] = F.when(mine.isNull(), earlier).when(earlier.isNull(), mine).otherwise(mine + earlier)
+    joined = _attach(local, before, rows.keys)
     return joined.withColumns(totals).drop(CHUNK, *inputs, *[f"__b_{n}" for n in sums])
 
 
@@ -146,36 +170,35 @@ def ranks(
 
     ``order`` decides peers; ``tie`` makes ``row_number`` reproducible.
     """
-    _check(by, order)
-    marked = with_chunks(df, by, order, split)
+    rows = chunked(df, by, order, split)
+    peers = rows.window(order)
+    local = rows.df.withColumns(
+        {
+            "row_number": F.row_number().over(rows.window(order + tie)),
+            "rank": F.rank().over(peers),
+            "dense_rank": F.dense_rank().over(peers),
+        }
+    )
+    if not rows.split:
+        return local.drop(CHUNK)
     before = (
-        marked.filter(F.col(CHUNK) >= 0)
-        .groupBy(*dict.fromkeys([*by, CHUNK, *bare(order)]))
+        rows.hot.groupBy(*dict.fromkeys([*rows.keys, *bare(order)]))
         .agg(F.count(F.lit(1)).alias("__n"))
-        .groupBy(*by, CHUNK)
+        .groupBy(*rows.keys)
         .agg(F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"))
         .select(
-            *by,
-            CHUNK,
+            *rows.keys,
             F.sum("__n").over(_earlier(by)).alias("__rows"),
             F.sum("__d").over(_earlier(by)).alias("__values"),
         )
     )
-    peers = _local(by, order)
-    local = marked.withColumns(
-        {
-            "row_number": F.row_number().over(_local(by, order + tie)),
-            "rank": F.rank().over(peers),
-            "dense_rank": F.dense_rank().over(peers),
-        }
-    )
-    rows, values = F.coalesce("__rows", F.lit(0)), F.coalesce("__values", F.lit(0))
+    ahead, values = F.coalesce("__rows", F.lit(0)), F.coalesce("__values", F.lit(0))
     return (
-        _attach(local, before, [*by, CHUNK])
+        _attach(local, before, rows.keys)
         .withColumns(
             {
-                "row_number": F.col("row_number") + rows,
-                "rank": F.col("rank") + rows,
+                "row_number": F.col("row_number") + ahead,
+                "rank": F.col("rank") + ahead,
                 "dense_rank": F.col("dense_rank") + values,
             }
         )
@@ -183,35 +206,34 @@ def ranks(
     )
 
 
-def _neighbours(marked: DataFrame, by: list[str], order: list[str], count: int, after: bool) -> DataFrame:
+def _neighbours(rows: Chunked, order: list[str], count: int, after: bool) -> DataFrame:
     """Rows each hot chunk needs from outside: ``count`` before it, or after it.
 
     Only the last (first) ``count`` rows of every chunk can be needed, so the
     candidates number at most keys x chunks x count.  They are lined up per key
     and every chunk asks for the positions next to its own first (last) row.
     """
-    hot = marked.filter(F.col(CHUNK) >= 0)
     forward = sort_columns(order)
     backward = sort_columns([o[1:] if o.startswith("-") else f"-{o}" for o in order])
-    inner = Window.partitionBy(*by, CHUNK).orderBy(*(forward if after else backward))
-    edge = hot.withColumn("__e", F.row_number().over(inner)).filter(F.col("__e") <= count).drop("__e")
+    inner = Window.partitionBy(*rows.keys).orderBy(*(forward if after else backward))
+    edge = rows.hot.withColumn("__e", F.row_number().over(inner)).filter(F.col("__e") <= count).drop("__e")
     # Chunks never interleave, so (chunk, order) is the order of the whole key.
-    line = Window.partitionBy(*by).orderBy(F.col(CHUNK), *forward)
+    line = Window.partitionBy(*rows.by).orderBy(F.col(CHUNK), *forward)
     placed = edge.withColumn("__pos", F.row_number().over(line))
     if after:
         first, last = F.max("__pos") + 1, F.max("__pos") + count
     else:
         first, last = F.min("__pos") - count, F.min("__pos") - 1
     wanted = (
-        placed.groupBy(*by, CHUNK)
+        placed.groupBy(*rows.keys)
         .agg(F.explode(F.sequence(first, last)).alias("__want"))
-        .withColumnsRenamed({k: f"__k_{k}" for k in [*by, CHUNK]})
+        .withColumnsRenamed({k: f"__k_{k}" for k in rows.keys})
     )
-    on = all_of(same(F.col(k), F.col(f"__k_{k}")) for k in by) & (F.col("__pos") == F.col("__want"))
+    on = _matches(rows.by, "__k_") & (F.col("__pos") == F.col("__want"))
     return (
-        placed.join(F.broadcast(wanted), on)
+        placed.join(wanted, on)
         .withColumn(CHUNK, F.col(f"__k_{CHUNK}"))
-        .drop("__pos", "__want", *[f"__k_{k}" for k in [*by, CHUNK]])
+        .drop("__pos", "__want", *[f"__k_{k}" for k in rows.keys])
     )
 
 
@@ -229,15 +251,16 @@ def neighbour_frame(
 
     ``columns`` receives the ordered window and returns name -> Column.
     """
-    _check(by, order)
     full = order + tie
-    marked = with_chunks(df, by, order, split)
-    rows = marked.withColumn("__own", F.lit(True))
+    rows = chunked(df, by, order, split)
+    if not rows.split:
+        return rows.df.withColumns(columns(rows.window(full))).drop(CHUNK)
+    lined = rows.df.withColumn("__own", F.lit(True))
     for count, is_after in ((before, False), (after, True)):
         if count:
-            lent = _neighbours(marked, by, full, count, is_after).withColumn("__own", F.lit(False))
-            rows = rows.unionByName(lent)
-    return rows.withColumns(columns(_local(by, full))).filter("__own").drop("__own", CHUNK)
+            lent = _neighbours(rows, full, count, is_after).withColumn("__own", F.lit(False))
+            lined = lined.unionByName(lent)
+    return lined.withColumns(columns(rows.window(full))).filter("__own").drop("__own", CHUNK)
 
 
 def lag_lead(
@@ -309,27 +332,23 @@ def within(
     (key, value).  A hot key's combined rows are lent to every later chunk
     whose first rows reach back that far.
     """
-    _check(by, [order])
     totals = df.groupBy(*by, order).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
-    marked = with_chunks(totals, by, [order], split, keep_bounds=True)
-    reach = F.size(F.filter(BOUNDS, lambda b: b <= F.col(order) + F.lit(width)))
-    lent = F.when(F.col(BOUNDS).isNull(), F.array(F.col(CHUNK))).otherwise(
-        F.sequence(F.col(CHUNK), F.coalesce(reach, F.col(CHUNK)))
-    )
-    spread = marked.withColumn("__to", F.explode(lent))
-    frame = (
-        Window.partitionBy(*by, "__to").orderBy(F.col(order).asc_nulls_first()).rangeBetween(-width, Window.currentRow)
-    )
+    rows = chunked(totals, by, [order], split, keep_bounds=True)
+    if rows.split:
+        reach = F.size(F.filter(BOUNDS, lambda b: b <= F.col(order) + F.lit(width)))
+        to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), F.coalesce(reach, CHUNK)))
+        lent = rows.df.withColumn("__home", F.col(CHUNK)).withColumn(CHUNK, F.explode(to)).drop(BOUNDS)
+    else:
+        lent = rows.df.withColumn("__home", F.col(CHUNK))
+    frame = rows.window([order]).rangeBetween(-width, Window.currentRow)
     found = (
-        spread.select(*by, order, CHUNK, "__to", *[F.sum(n).over(frame).alias(n) for n in sums])
-        .filter(F.col(CHUNK) == F.col("__to"))
-        .drop(CHUNK, "__to")
+        lent.withColumns({n: F.sum(n).over(frame) for n in sums})
+        .filter(F.col(CHUNK) == F.col("__home"))
+        .drop(CHUNK, "__home")
     )
     keys = [*by, order]
     renamed = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    return df.join(renamed, all_of(same(F.col(k), F.col(f"__k_{k}")) for k in keys), "left").drop(
-        *[f"__k_{k}" for k in keys]
-    )
+    return df.join(renamed, _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
 
 
 def with_totals(
@@ -343,19 +362,23 @@ def with_totals(
     """
     if not by:
         raise ValueError("name the partition columns")
-    hot = hot_keys(df, by, split.share)
-    hot_on = all_of(same(F.col(k), F.col(f"__h_{k}")) for k in by)
-    hot_totals = (
-        df.join(F.broadcast(hot.select(*[F.col(k).alias(f"__h_{k}") for k in by])), hot_on, "left_semi")
-        .groupBy(*by)
-        .agg(*[c.alias(f"__t_{n}") for n, c in aggs.items()], F.lit(True).alias("__is_hot"))
-    )
-    marked = _attach(df, hot_totals, by)
     window = Window.partitionBy(*by)
-    cold = marked.filter(F.col("__is_hot").isNull()).withColumns({n: c.over(window) for n, c in aggs.items()})
-    warm = marked.filter(F.col("__is_hot")).withColumns({n: F.col(f"__t_{n}") for n in aggs})
-    drop = ["__is_hot", *[f"__t_{n}" for n in aggs]]
-    return cold.drop(*drop).unionByName(warm.drop(*drop))
+    plain = {n: c.over(window) for n, c in aggs.items()}
+    hot = _hot(df, by, split)
+    if hot is None:
+        return df.withColumns(plain)
+    totals = (
+        df.join(F.broadcast(hot), _matches(by, "__h_"))
+        .groupBy(*[f"__h_{k}" for k in by])
+        .agg(*[c.alias(f"__t_{n}") for n, c in aggs.items()])
+    )
+    cold = df.join(F.broadcast(hot), _matches(by, "__h_"), "left_anti").withColumns(plain)
+    warm = (
+        df.join(F.broadcast(totals), _matches(by, "__h_"))
+        .withColumns({n: F.col(f"__t_{n}") for n in aggs})
+        .select(*cold.columns)
+    )
+    return cold.unionByName(warm)
 
 
 def zscore(df: DataFrame, by: list[str], value: str, out: str = "z", split: Split = DEFAULT_SPLIT) -> DataFrame:
@@ -417,30 +440,18 @@ def asof_versions(
     kind = dict(dim.dtypes)[start]
     facts = fact.withColumn("__at", F.col(time).cast(kind)).withColumn("__own", F.lit(1))
     starts = dim.select(*on, F.col(start).alias("__at"), F.lit(0).alias("__own"), version.alias("__v"))
-    lined = facts.unionByName(starts, allowMissingColumns=True)
-    marked = with_chunks(lined, on, ["__at"], split)
-    frame = _local(on, ["__at", "__own"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = (
-        marked.filter((F.col(CHUNK) >= 0) & (F.col("__own") == 0))
-        .groupBy(*on, CHUNK)
-        .agg(F.max_by("__v", "__at").alias("__last"))
-    )
-    # Chunks without a version of their own still need the earlier one.
-    every = marked.filter(F.col(CHUNK) >= 0).select(*on, CHUNK).distinct()
-    keys = [*on, CHUNK]
-    renamed = before.withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    carried = (
-        every.join(renamed, all_of(same(F.col(k), F.col(f"__k_{k}")) for k in keys), "left")
-        .drop(*[f"__k_{k}" for k in keys])
-        .select(*keys, F.last("__last", ignorenulls=True).over(_earlier(on)).alias("__carried"))
-    )
-    seen = marked.withColumn("__seen", F.last("__v", ignorenulls=True).over(frame))
-    joined = _attach(seen.filter(F.col("__own") == 1), carried, keys)
-    found = F.coalesce("__seen", "__carried")
-    alive = F.col("__until").isNull() | (F.col("__at") < F.col("__until"))
-    no_null_key = all_of(F.col(k).isNotNull() for k in on)
-    out = joined.withColumn("__f", found).withColumn("__until", F.col("__f.__until"))
-    return out.select(
-        *fact.columns,
-        *[F.when(alive & no_null_key & F.col("__f").isNotNull(), F.col(f"__f.{p}")).alias(p) for p in payload],
-    )
+    rows = chunked(facts.unionByName(starts, allowMissingColumns=True), on, ["__at"], split)
+    frame = rows.window(["__at", "__own"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.df.withColumn("__seen", F.last("__v", ignorenulls=True).over(frame)).filter(F.col("__own") == 1)
+    if rows.split:
+        # Each chunk's last version, NULL for none, carried over the later chunks.
+        carried = (
+            rows.hot.groupBy(*rows.keys)
+            .agg(F.max_by("__v", F.when(F.col("__own") == 0, F.col("__at"))).alias("__last"))
+            .select(*rows.keys, F.last("__last", ignorenulls=True).over(_earlier(on)).alias("__carried"))
+        )
+        seen = _attach(seen, carried, rows.keys).withColumn("__seen", F.coalesce("__seen", "__carried"))
+    until = F.col("__seen.__until")
+    alive = F.col("__seen").isNotNull() & (until.isNull() | (F.col("__at") < until))
+    alive &= all_of(F.col(k).isNotNull() for k in on)
+    return seen.select(*fact.columns, *[F.when(alive, F.col(f"__seen.{p}")).alias(p) for p in payload])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import money, sort_columns
-from tidemark.operators.windows import DEFAULT_SPLIT, Split, global_top, ranks
+from tidemark.operators.windows import Split, global_top, ranks
 from tidemark.queries._registry import query
 
 
@@ -106,7 +106,7 @@ def sort_limit(t):
 def sort_nulls(t):
     """Positions under explicit null placement."""
     parts = t.part.select("p_brand", "p_partkey", F.nullif("p_size", F.lit(1)).alias("size"))
-    split = Split(share=DEFAULT_SPLIT.share, chunks=8)
+    split = Split(chunks=8)
 
     def position(order, name):
         return ranks(parts, ["p_brand"], [order], ["p_partkey"], split).select(
