@@ -16,30 +16,44 @@ PROGRESS = (
 )
 
 
-def run_available(
+def start(
     df: DataFrame,
     checkpoint: str,
     path: str | None = None,
     batch: Callable[[DataFrame, int], None] | None = None,
     memory: str | None = None,
+    console: bool = False,
     mode: str = "append",
-    timeout: int | None = None,
+    every: str | None = None,
+    available_now: bool = False,
 ) -> StreamingQuery:
-    """Process everything present and stop.
+    """Start a query into exactly one sink.
 
-    The sink is a Parquet ``path``, a ``batch`` function or an in-memory table
-    (tests only).  A restart with the same checkpoint goes on where the last
-    run committed.
+    Sinks: Parquet files at ``path``, a ``batch`` function, an in-memory table
+    named ``memory`` or the ``console`` (the last two for tests and looking).
+    Triggers: ``every`` an interval (the first batch comes at once), once over
+    all that is ``available_now``, or by default as soon as data is there.
+    A restart with the same checkpoint goes on where the last run committed.
     """
-    if sum(sink is not None for sink in (path, batch, memory)) != 1:
+    if sum([path is not None, batch is not None, memory is not None, console]) != 1:
         raise ValueError("name exactly one sink")
-    writer = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", checkpoint)
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     if path is not None:
-        query = writer.format("parquet").start(path)
-    elif batch is not None:
-        query = writer.foreachBatch(batch).start()
-    else:
-        query = writer.format("memory").queryName(memory).start()
+        return writer.format("parquet").start(path)
+    if batch is not None:
+        return writer.foreachBatch(batch).start()
+    if memory is not None:
+        return writer.format("memory").queryName(memory).start()
+    return writer.format("console").start()
+
+
+def run_available(df: DataFrame, checkpoint: str, timeout: int | None = None, **sink) -> StreamingQuery:
+    """Process everything present and stop; sinks and mode as for ``start``."""
+    query = start(df, checkpoint, available_now=True, **sink)
     query.awaitTermination(timeout)
     return query
 
