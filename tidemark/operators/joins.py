@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import all_of, same
 
 
+def broadcast_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only if the frame has at most ``max_rows`` rows.
+
+    Reads no more than ``max_rows + 1`` rows to find out; a larger frame comes
+    back without a hint and is joined by shuffle.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Join where a NULL key equals a NULL key; keys come out once."""
     renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in on})

@@ -69,10 +69,29 @@ def tag(df: DataFrame, rules: list[Rule], refs: list[Ref] | None = None) -> Data
     return tagged.drop(*[f"__ref_{i}" for i in range(len(refs))])
 
 
+def keep_valid(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Rows passing every rule, as plain filters that can reach the scan."""
+    for rule in rules:
+        df = df.filter(rule.predicate)
+    return df
+
+
+def keep_known(df: DataFrame, refs: list[Ref]) -> DataFrame:
+    """Rows whose references all exist."""
+    for i, ref in enumerate(refs):
+        known = ref.parent.select(F.col(ref.parent_column).alias(f"__ref_{i}")).distinct()
+        df = df.join(known, F.col(ref.column) == F.col(f"__ref_{i}"), "left_semi")
+    return df
+
+
 def split_bad(df: DataFrame, rules: list[Rule], refs: list[Ref] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(good, dead)``; dead rows keep their ``reasons``."""
-    tagged = tag(df, rules, refs)
-    return tagged.filter(F.size(REASONS) == 0).drop(REASONS), tagged.filter(F.size(REASONS) > 0)
+    """``(good, dead)``; dead rows keep their ``reasons``.
+
+    The good side needs no reasons, so it is read with pushed-down filters and
+    semi joins; together the two sides hold every row exactly once.
+    """
+    refs = refs or []
+    return keep_known(keep_valid(df, rules), refs), tag(df, rules, refs).filter(F.size(REASONS) > 0)
 
 
 def sides(judged: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +43,49 @@ def key_skew(df: DataFrame, keys: list[str], top: int = 20) -> DataFrame:
     )
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Keys holding more than ``share`` of the rows.
+def heavy_hashes(df: DataFrame, keys: list[str], share: float) -> tuple[list[int], int]:
+    """``xxhash64`` of every key holding more than ``share`` of the rows, and the row count.
 
-    There can be at most ``1 / share`` of them, which is the size bound behind
-    every broadcast of this result.
+    Counting every key would shuffle about as much as the job being planned.
+    A frequent-items sketch per task needs a fixed few kilobytes and is merged
+    in two steps, so that no task receives the sketches of all others.  Its
+    error is kept well below ``share``: no hot key is missed, and at most
+    ``2 / share`` hashes come back.
     """
     if not 0.0001 <= share <= 1:
         raise ValueError("share must lie between 0.0001 and 1")
-    counts = key_counts(df, keys)
-    # The total comes from the same counts, so the input is read once.
-    total = counts.agg(F.sum("row_count")).scalar()
-    return counts.filter(F.col("row_count") > total * F.lit(share)).select(*keys)
+    tracked = min(1_000_000, math.ceil(32 / share))
+    sketches = (
+        df.select(F.xxhash64(*keys).alias("hash"), F.pmod(F.spark_partition_id(), F.lit(256)).alias("part"))
+        .groupBy("part")
+        .agg(F.expr(f"approx_top_k_accumulate(hash, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    )
+    # Grouped, because merging no sketches at all is an error in Spark.
+    merged = (
+        sketches.groupBy(F.lit(1))
+        .agg(
+            F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {math.ceil(2 / share)})").alias(
+                "top"
+            ),
+            F.sum("n").alias("total"),
+        )
+        .first()
+    )
+    if merged is None:
+        return [], 0
+    return [r["item"] for r in merged["top"] if r["count"] > 0.9 * share * merged["total"]], merged["total"]
+
+
+def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Keys holding more than ``share`` of the rows, by exact count, as a local table.
+
+    There can be at most ``1 / share`` of them, which is the size bound behind
+    every broadcast of this result.  Only candidates are counted exactly, and
+    they are combined map-side.
+    """
+    hashes, total = heavy_hashes(df, keys, share)
+    counts = key_counts(df.filter(F.xxhash64(*keys).isin(hashes) if hashes else F.lit(False)), keys)
+    return settled(counts.filter(F.col("row_count") > share * total).select(*keys))
 
 
 def settled(df: DataFrame) -> DataFrame:

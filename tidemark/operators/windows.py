@@ -1,8 +1,8 @@
 """Window operators that hold when one key owns a large share of the rows.
 
 A plain window sends every row of a key to one task.  Here the keys holding
-more than ``share`` of the rows are looked up first (one combined count per
-key).  Without any, the plain window runs.  Otherwise each hot key is cut into
+more than ``share`` of the rows are looked up first, with a small sketch.
+Without any, the plain window runs.  Otherwise each hot key is cut into
 ordered chunks along the first ordering column, at quantiles of that key's own
 values, and windows run per (key, chunk).  What a chunk needs from the other
 ones is small:
@@ -11,7 +11,7 @@ ones is small:
 * lag, lead and moving frames need a few neighbouring rows,
 * whole-key totals need one row per key.
 
-At most ``1 / share`` keys are cut, each into at most ``chunks`` pieces, so
+At most ``2 / share`` keys are cut, each into at most ``chunks`` pieces, so
 these summaries have a fixed upper size whatever the data, and only they are
 fetched or broadcast.  Rows of one key with the same first ordering value
 always share a chunk, as ranks and RANGE frames require.  The input is read
@@ -26,9 +26,10 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import all_of, as_col, bare, same, sort_columns
-from tidemark.operators.skew import hot_keys, settled
+from tidemark.operators.skew import heavy_hashes, settled
 
 CHUNK = "__chunk"
+HASH = "__hash"
 BOUNDS = "__bounds"
 ORDERED = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
 
@@ -55,31 +56,24 @@ def _matches(keys: list[str], prefix: str) -> Column:
     return all_of(same(F.col(k), F.col(f"{prefix}{k}")) for k in keys)
 
 
-def _hot(df: DataFrame, by: list[str], split: Split) -> DataFrame | None:
-    """The hot keys as ``__h_*`` columns, None when there are none."""
-    found = settled(hot_keys(df, by, split.share).select(*[F.col(k).alias(f"__h_{k}") for k in by]))
-    return None if found.isEmpty() else found
-
-
 @dataclass(frozen=True)
 class Chunked:
-    """Rows with their chunk: -1 for ordinary keys, 0.. along the order for hot ones."""
+    """Rows with their chunk: -1 for ordinary keys, 0.. along the order for hot ones.
+
+    ``hot`` holds the rows of hot keys only, and is None when there are none.
+    """
 
     df: DataFrame
     by: list[str]
-    split: bool
+    hot: DataFrame | None
 
     @property
     def keys(self) -> list[str]:
         return [*self.by, CHUNK]
 
-    @property
-    def hot(self) -> DataFrame:
-        return self.df.filter(F.col(CHUNK) >= 0)
-
     def window(self, order: list[str]) -> WindowSpec:
         """Within a chunk, or within the key where nothing is split."""
-        return Window.partitionBy(*(self.keys if self.split else self.by)).orderBy(*sort_columns(order))
+        return Window.partitionBy(*(self.by if self.hot is None else self.keys)).orderBy(*sort_columns(order))
 
 
 def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_bounds: bool = False) -> Chunked:
@@ -89,27 +83,32 @@ def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_b
     if not dict(df.dtypes)[lead].startswith(ORDERED):
         # Quantiles need a measurable first ordering column.
         raise ValueError(f"the first ordering column must be a number, date or timestamp: {lead}")
-    hot = _hot(df, by, split)
-    if hot is None:
-        return Chunked(df.withColumn(CHUNK, F.lit(-1)), by, False)
+    hashes, _ = heavy_hashes(df, by, split.share)
+    if not hashes:
+        return Chunked(df.withColumn(CHUNK, F.lit(-1)), by, None)
     cuts = [i / split.chunks for i in range(1, split.chunks)]
+    own = F.xxhash64(*by)
     bounds = settled(
-        df.select(*dict.fromkeys([*by, lead]))
-        .join(F.broadcast(hot), _matches(by, "__h_"))
-        .groupBy(*[f"__h_{k}" for k in by])
+        df.select(own.alias("__h"), lead)
+        .filter(F.col("__h").isin(hashes))
+        .groupBy("__h")
         .agg(F.array_distinct(F.percentile_approx(lead, cuts, 10 * split.chunks)).alias("cuts"))
-        .select(*[f"__h_{k}" for k in by], F.coalesce("cuts", F.array()).alias(BOUNDS))
+        .select("__h", F.coalesce("cuts", F.array()).alias(BOUNDS))
     )
-    marked = df.join(F.broadcast(bounds), _matches(by, "__h_"), "left")
     value = F.col(lead)
     if order[0].startswith("-"):
         # NULL sorts last when descending: one past every bound.
         place = F.when(value.isNull(), F.size(BOUNDS) + 1).otherwise(F.size(F.filter(BOUNDS, lambda b: b > value)))
     else:
         place = F.size(F.filter(BOUNDS, lambda b: b <= value))
-    marked = marked.withColumn(CHUNK, F.when(F.col(BOUNDS).isNull(), F.lit(-1)).otherwise(place))
-    marked = marked.drop(*[f"__h_{k}" for k in by])
-    return Chunked(marked if keep_bounds else marked.drop(BOUNDS), by, True)
+    drop = ["__h", HASH] if keep_bounds else ["__h", HASH, BOUNDS]
+
+    def numbered(how: str) -> DataFrame:
+        joined = df.withColumn(HASH, own).join(F.broadcast(bounds), F.col(HASH) == F.col("__h"), how)
+        chunk = place if how == "inner" else F.when(F.col("__h").isNull(), F.lit(-1)).otherwise(place)
+        return joined.withColumn(CHUNK, chunk).drop(*drop)
+
+    return Chunked(numbered("left"), by, numbered("inner"))
 
 
 def _earlier(by: list[str]) -> WindowSpec:
@@ -143,7 +142,7 @@ def running(
     else:
         frame = rows.window(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = rows.df.withColumns({n: F.sum(f"__in_{n}").over(frame) for n in sums})
-    if not rows.split:
+    if rows.hot is None:
         return local.drop(CHUNK, *inputs)
     before = (
         rows.hot.groupBy(*rows.keys)
@@ -179,7 +178,7 @@ def ranks(
             "dense_rank": F.dense_rank().over(peers),
         }
     )
-    if not rows.split:
+    if rows.hot is None:
         return local.drop(CHUNK)
     before = (
         rows.hot.groupBy(*dict.fromkeys([*rows.keys, *bare(order)]))
@@ -253,7 +252,7 @@ def neighbour_frame(
     """
     full = order + tie
     rows = chunked(df, by, order, split)
-    if not rows.split:
+    if rows.hot is None:
         return rows.df.withColumns(columns(rows.window(full))).drop(CHUNK)
     lined = rows.df.withColumn("__own", F.lit(True))
     for count, is_after in ((before, False), (after, True)):
@@ -334,7 +333,7 @@ def within(
     """
     totals = df.groupBy(*by, order).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
     rows = chunked(totals, by, [order], split, keep_bounds=True)
-    if rows.split:
+    if rows.hot is not None:
         reach = F.size(F.filter(BOUNDS, lambda b: b <= F.col(order) + F.lit(width)))
         to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), F.coalesce(reach, CHUNK)))
         lent = rows.df.withColumn("__home", F.col(CHUNK)).withColumn(CHUNK, F.explode(to)).drop(BOUNDS)
@@ -364,20 +363,13 @@ def with_totals(
         raise ValueError("name the partition columns")
     window = Window.partitionBy(*by)
     plain = {n: c.over(window) for n, c in aggs.items()}
-    hot = _hot(df, by, split)
-    if hot is None:
+    hashes, _ = heavy_hashes(df, by, split.share)
+    if not hashes:
         return df.withColumns(plain)
-    totals = (
-        df.join(F.broadcast(hot), _matches(by, "__h_"))
-        .groupBy(*[f"__h_{k}" for k in by])
-        .agg(*[c.alias(f"__t_{n}") for n, c in aggs.items()])
-    )
-    cold = df.join(F.broadcast(hot), _matches(by, "__h_"), "left_anti").withColumns(plain)
-    warm = (
-        df.join(F.broadcast(totals), _matches(by, "__h_"))
-        .withColumns({n: F.col(f"__t_{n}") for n in aggs})
-        .select(*cold.columns)
-    )
+    is_hot = F.xxhash64(*by).isin(hashes)
+    totals = df.filter(is_hot).groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
+    cold = df.filter(~is_hot).withColumns(plain)
+    warm = _attach(df.filter(is_hot).drop(*aggs), totals, by)
     return cold.unionByName(warm)
 
 
@@ -443,7 +435,7 @@ def asof_versions(
     rows = chunked(facts.unionByName(starts, allowMissingColumns=True), on, ["__at"], split)
     frame = rows.window(["__at", "__own"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = rows.df.withColumn("__seen", F.last("__v", ignorenulls=True).over(frame)).filter(F.col("__own") == 1)
-    if rows.split:
+    if rows.hot is not None:
         # Each chunk's last version, NULL for none, carried over the later chunks.
         carried = (
             rows.hot.groupBy(*rows.keys)

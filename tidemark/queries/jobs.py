@@ -88,10 +88,10 @@ _GOLD = """
 def _retail(t) -> retail_etl.Layers:
     """Orders checked against customers in credit, enriched with segment and region."""
     places = (
-        t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
         .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region"))
     )
-    accounts = t.customer.join(F.broadcast(places), "c_nationkey").select(
+    accounts = t.customer.join(places, "c_nationkey").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"), "region",
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import null_safe_join, orphans, pit_join, range_join
+from tidemark.operators.joins import broadcast_small, null_safe_join, orphans, pit_join, range_join
 from tidemark.operators.skew import hot_keys, salted_join
 from tidemark.operators.windows import asof_versions
 from tidemark.queries._registry import query
@@ -106,10 +106,10 @@ def join_theta(t):
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1
 """)
 def join_broadcast(t):
-    """The nation table has 25 rows at every scale and may be broadcast; supplier is left to its size."""
+    """Nation is broadcast after a look at its size; supplier is left to the planner."""
     per = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
     joined = per.join(t.supplier, per.l_suppkey == F.col("s_suppkey")).join(
-        F.broadcast(t.nation), F.col("s_nationkey") == F.col("n_nationkey")
+        broadcast_small(t.nation, 10_000), F.col("s_nationkey") == F.col("n_nationkey")
     )
     balance = F.col("s_acctbal").cast("decimal(18,2)") * F.col("n").cast("decimal(18,0)")
     return joined.groupBy("n_name").agg(F.sum(balance).cast("double").alias("balance"), F.sum("n").alias("lines"))
@@ -263,7 +263,7 @@ def salted_join_hot(t):
 def join_preaggregated(t):
     """Orders shrink to one row per customer before they meet the customers."""
     per = t.orders.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("paid"))
-    nations = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    nations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
         per.join(nations.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("n_name").alias("nation"))

@@ -97,7 +97,7 @@ def evolve_append_query(t):
     """An append with a new column: old rows get NULL and matching keys come out twice."""
     batch = (
         t.customer.filter("c_acctbal > 9000")
-        .join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"),
                 F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("country"))
     )
