@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.functions.scalars import money, money_sum
+from tidemark.functions.scalars import cents, exact_sum, money_sum
 from tidemark.operators.quality import (
     REASONS,
     Ref,
@@ -53,13 +53,16 @@ def totals_by_account(
     per = (
         keep_valid(orders, rules)
         .groupBy(*side)
-        .agg(F.sum(money(amount)).alias("__amount"), F.count(F.lit(1)).alias("__orders"))
+        .agg(F.sum(cents(amount)).alias("__cents"), F.count(F.lit(1)).alias("__orders"))
     )
     return (
         keep_known(per, refs)
         .join(accounts, on)
         .groupBy(*by)
-        .agg(F.sum("__amount").cast("double").alias("total_amount"), F.sum("__orders").alias("order_count"))
+        .agg(
+            (exact_sum(F.col("__cents")).cast("double") / 100).alias("total_amount"),
+            F.sum("__orders").alias("order_count"),
+        )
     )
 
 

@@ -25,7 +25,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        # Kept per query, so that a table used twice is listed once.
+        frame = self.__dict__[name] = self.spark.read.parquet(self.path(name))
+        return frame
 
     def sql(self, text: str, names: str, args: dict | None = None) -> DataFrame:
         """Run SQL text with the listed tables bound as ``{name}`` references."""

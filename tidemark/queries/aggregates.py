@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import money, money_avg, money_sum
+from tidemark.functions.scalars import cents, exact_sum, money_avg, money_sum
 from tidemark.queries._registry import query
 
 
@@ -18,12 +20,13 @@ from tidemark.queries._registry import query
     FROM lineitem GROUP BY 1, 2
 """)
 def group_stats(t):
-    net = money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    # Cents times hundredths: whole numbers of a hundredth of a cent.
+    net = exact_sum(cents("l_extendedprice") * (100 - cents("l_discount")))
     return t.lineitem.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("row_count"),
         money_sum("l_quantity").alias("sum_qty"),
         money_sum("l_extendedprice").alias("sum_price"),
-        F.round(F.sum(net), 2).cast("double").alias("revenue"),
+        F.round(net * F.lit(Decimal("0.0001")), 2).cast("double").alias("revenue"),
         money_avg("l_quantity").alias("avg_qty"),
     )
 
@@ -48,13 +51,13 @@ def group_minmax(t):
     FROM orders GROUP BY 1
 """)
 def group_shorthand(t):
-    orders = t.orders.withColumn("price", money("o_totalprice"))
+    orders = t.orders.withColumn("price", cents("o_totalprice").cast("decimal(18,0)"))
     return (
         orders.groupBy("o_orderstatus")
         .agg({"price": "sum", "*": "count", "o_totalprice": "max", "o_custkey": "avg"})
         .select(
             "o_orderstatus",
-            F.col("sum(price)").cast("double").alias("total"),
+            (F.col("sum(price)").cast("double") / 100).alias("total"),
             F.col("count(1)").alias("orders"),
             F.col("max(o_totalprice)").alias("highest"),
             F.col("avg(o_custkey)").alias("avg_custkey"),

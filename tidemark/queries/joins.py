@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import cents, exact_sum
 from tidemark.operators.joins import broadcast_small, null_safe_join, orphans, pit_join, range_join
 from tidemark.operators.skew import hot_keys, salted_join
 from tidemark.operators.windows import asof_versions
@@ -111,8 +112,8 @@ def join_broadcast(t):
     joined = per.join(t.supplier, per.l_suppkey == F.col("s_suppkey")).join(
         broadcast_small(t.nation, 10_000), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    balance = F.col("s_acctbal").cast("decimal(18,2)") * F.col("n").cast("decimal(18,0)")
-    return joined.groupBy("n_name").agg(F.sum(balance).cast("double").alias("balance"), F.sum("n").alias("lines"))
+    balance = exact_sum(cents("s_acctbal") * F.col("n")).cast("double") / 100
+    return joined.groupBy("n_name").agg(balance.alias("balance"), F.sum("n").alias("lines"))
 
 
 @query("SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 200000")
@@ -156,7 +157,7 @@ def join_five_way(t):
     return t.sql(
         """
         SELECT r_name, n_name, c_mktsegment, l_returnflag, count(*) AS lines,
-               CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price
+               CAST(SUM(CAST(rint(l_extendedprice * 100) AS DECIMAL(18,0))) AS DOUBLE) / 100 AS price
         FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey
         JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
         GROUP BY r_name, n_name, c_mktsegment, l_returnflag
@@ -262,12 +263,12 @@ def salted_join_hot(t):
 """)
 def join_preaggregated(t):
     """Orders shrink to one row per customer before they meet the customers."""
-    per = t.orders.groupBy("o_custkey").agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("paid"))
+    per = t.orders.groupBy("o_custkey").agg(F.sum(cents("o_totalprice")).alias("paid"))
     nations = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     return (
         per.join(nations.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy(F.col("n_name").alias("nation"))
-        .agg(F.sum("paid").cast("double").alias("revenue"))
+        .agg((exact_sum(F.col("paid")).cast("double") / 100).alias("revenue"))
     )
 
 
