@@ -12,7 +12,7 @@ from tidemark.operators import windows as ops
 from tidemark.operators.joins import pit_join
 from tidemark.operators.windows import Split
 
-SPLITS = [Split(1.0, 4), Split(0.05, 4), Split(0.0001, 7), Split(0.05, 1), Split(0.05, 500)]
+SPLITS = [Split(), Split(0.05, 20, 4), Split(0.0001, 1, 7), Split(0.05, 1, 500)]
 
 
 def skewed(spark, seed=1, n=300):
@@ -141,7 +141,7 @@ def test_leading_order_types(spark, kind):
         "timestamp_ntz": F.timestamp_seconds(F.col("id") * 777).cast("timestamp_ntz"),
     }.get(kind, (F.col("id") * 3).cast(kind))
     df = base.withColumn("at", at)
-    got = ops.ranks(df, ["key"], ["at"], ["id"], Split(0.1, 5)).select("id", "row_number")
+    got = ops.ranks(df, ["key"], ["at"], ["id"], Split(0.1, 10, 5)).select("id", "row_number")
     want = df.select("id", F.row_number().over(Window.partitionBy("key").orderBy("at", "id")).alias("row_number"))
     assert rows(got) == rows(want)
 
@@ -227,5 +227,31 @@ def test_plain_window_when_no_key_is_hot(frame):
 
 def test_hot_rows_are_not_gathered_under_one_key(frame):
     """With a split the window partitions by key and chunk."""
-    got = ops.ranks(frame, ["key"], ["at"], ["id"], Split(0.05, 4))
+    got = ops.ranks(frame, ["key"], ["at"], ["id"], Split(0.05, 20, 4))
     assert "hashpartitioning(key" in plan_of(got) and "__chunk" in plan_of(got)
+
+
+def test_chunks_are_even_and_cut_from_a_sample(spark):
+    """Two million rows, half under one key: the cut points come from a sample."""
+    key = F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id"))
+    big = spark.range(2_000_000).select("id", key.alias("key"), (F.col("id") * 7919 % 1_000_003).alias("at"))
+    split = Split(0.2, 100_000, 64)
+    rows_ = ops.chunked(big, ["key"], ["at"], split)
+    assert rows_.pieces in (10, 11)
+    sizes = [r["count"] for r in rows_.hot.groupBy("__chunk").count().collect()]
+    assert sum(sizes) == 1_000_000 and max(sizes) < 130_000
+    ranked = ops.ranks(big, ["key"], ["at"], ["id"], split).filter("key = -1")
+    got = ranked.agg(F.max("row_number"), F.count_distinct("row_number"), F.min("row_number")).first()
+    assert tuple(got) == (1_000_000, 1_000_000, 1)
+
+
+def test_small_keys_are_never_split(frame):
+    assert ops.chunked(frame, ["key"], ["at"], Split()).hot is None
+    assert ops.chunked(frame, ["key"], ["at"], Split(0.05, 20, 4)).pieces == 4
+
+
+def test_sketch_finds_every_hot_key(frame):
+    from tidemark.operators.skew import heavy_hashes
+
+    hashes, total = heavy_hashes(frame, ["key"], 0.2)
+    assert total == 300 and sorted(hashes.values()) == [100, 100]

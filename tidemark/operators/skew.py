@@ -43,8 +43,8 @@ def key_skew(df: DataFrame, keys: list[str], top: int = 20) -> DataFrame:
     )
 
 
-def heavy_hashes(df: DataFrame, keys: list[str], share: float) -> tuple[list[int], int]:
-    """``xxhash64`` of every key holding more than ``share`` of the rows, and the row count.
+def heavy_hashes(df: DataFrame, keys: list[str], share: float) -> tuple[dict[int, int], int]:
+    """``xxhash64`` and estimated rows of every key holding more than ``share`` of all, and the row count.
 
     Counting every key would shuffle about as much as the job being planned.
     A frequent-items sketch per task needs a fixed few kilobytes and is merged
@@ -72,8 +72,9 @@ def heavy_hashes(df: DataFrame, keys: list[str], share: float) -> tuple[list[int
         .first()
     )
     if merged is None:
-        return [], 0
-    return [r["item"] for r in merged["top"] if r["count"] > 0.9 * share * merged["total"]], merged["total"]
+        return {}, 0
+    total = merged["total"]
+    return {r["item"]: r["count"] for r in merged["top"] if r["count"] > 0.9 * share * total}, total
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
@@ -84,7 +85,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
     they are combined map-side.
     """
     hashes, total = heavy_hashes(df, keys, share)
-    counts = key_counts(df.filter(F.xxhash64(*keys).isin(hashes) if hashes else F.lit(False)), keys)
+    counts = key_counts(df.filter(F.xxhash64(*keys).isin(list(hashes)) if hashes else F.lit(False)), keys)
     return settled(counts.filter(F.col("row_count") > share * total).select(*keys))
 
 

@@ -2,17 +2,17 @@
 
 A plain window sends every row of a key to one task.  Here the keys holding
 more than ``share`` of the rows are looked up first, with a small sketch.
-Without any, the plain window runs.  Otherwise each hot key is cut into
-ordered chunks along the first ordering column, at quantiles of that key's own
-values, and windows run per (key, chunk).  What a chunk needs from the other
+Without any, or when those fit a task anyway, the plain window runs.  Otherwise
+each hot key is cut into ordered chunks along the first ordering column, at
+quantiles of that key's own values, and windows run per (key, chunk).  What a chunk needs from the other
 ones is small:
 
 * running totals and ranks need one total per earlier chunk,
 * lag, lead and moving frames need a few neighbouring rows,
 * whole-key totals need one row per key.
 
-At most ``2 / share`` keys are cut, each into at most ``chunks`` pieces, so
-these summaries have a fixed upper size whatever the data, and only they are
+At most ``2 / share`` keys are cut, into at most ``MAX_CHUNKS`` chunks together,
+so these summaries have a fixed upper size whatever the data, and only they are
 fetched or broadcast.  Rows of one key with the same first ordering value
 always share a chunk, as ranks and RANGE frames require.  The input is read
 once more per summary; store an expensive one first (``session.cut_lineage``).
@@ -20,6 +20,7 @@ once more per summary; store an expensive one first (``session.cut_lineage``).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -36,12 +37,20 @@ ORDERED = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal",
 
 @dataclass(frozen=True)
 class Split:
-    """When a key counts as hot and into how many chunks it is cut."""
+    """When a key counts as hot, and how finely it is cut.
+
+    ``share``: part of all rows that makes a key hot.  ``rows``: rows aimed at
+    per chunk; a table whose largest key has fewer is not split.  ``chunks``:
+    most chunks per key.  However these are set, all hot keys together get at
+    most ``MAX_CHUNKS`` chunks, the size bound of every summary.
+    """
 
     share: float = 0.01
-    chunks: int = 64
+    rows: int = 1_000_000
+    chunks: int = 4096
 
 
+MAX_CHUNKS = 100_000
 DEFAULT_SPLIT = Split()
 
 
@@ -66,6 +75,7 @@ class Chunked:
     df: DataFrame
     by: list[str]
     hot: DataFrame | None
+    pieces: int = 1
 
     @property
     def keys(self) -> list[str]:
@@ -83,24 +93,29 @@ def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_b
     if not dict(df.dtypes)[lead].startswith(ORDERED):
         # Quantiles need a measurable first ordering column.
         raise ValueError(f"the first ordering column must be a number, date or timestamp: {lead}")
-    hashes, _ = heavy_hashes(df, by, split.share)
-    if not hashes:
+    hashes, total = heavy_hashes(df, by, split.share)
+    pieces = min(split.chunks, math.ceil(max(hashes.values()) / split.rows), MAX_CHUNKS // len(hashes)) if hashes else 1
+    if pieces < 2:
         return Chunked(df.withColumn(CHUNK, F.lit(-1)), by, None)
-    cuts = [i / split.chunks for i in range(1, split.chunks)]
     own = F.xxhash64(*by)
+    hot_values = df.select(own.alias("__h"), lead).filter(F.col("__h").isin(list(hashes)))
+    # Any cut points give right results, so a sample of the values will do for
+    # finding them; a thousand per chunk keep the chunks even.
+    enough = 1000 * pieces / (0.5 * split.share * total)
+    if enough < 0.5:
+        hot_values = hot_values.sample(enough, seed=7)
+    cuts = [i / pieces for i in range(1, pieces)]
     bounds = settled(
-        df.select(own.alias("__h"), lead)
-        .filter(F.col("__h").isin(hashes))
-        .groupBy("__h")
-        .agg(F.array_distinct(F.percentile_approx(lead, cuts, 10 * split.chunks)).alias("cuts"))
+        hot_values.groupBy("__h")
+        .agg(F.array_distinct(F.percentile_approx(lead, cuts, 10 * pieces)).alias("cuts"))
         .select("__h", F.coalesce("cuts", F.array()).alias(BOUNDS))
     )
     value = F.col(lead)
     if order[0].startswith("-"):
         # NULL sorts last when descending: one past every bound.
-        place = F.when(value.isNull(), F.size(BOUNDS) + 1).otherwise(F.size(F.filter(BOUNDS, lambda b: b > value)))
+        place = F.when(value.isNull(), F.size(BOUNDS) + 1).otherwise(F.size(BOUNDS) - _up_to(value, pieces))
     else:
-        place = F.size(F.filter(BOUNDS, lambda b: b <= value))
+        place = _up_to(value, pieces)
     drop = ["__h", HASH] if keep_bounds else ["__h", HASH, BOUNDS]
 
     def numbered(how: str) -> DataFrame:
@@ -108,7 +123,17 @@ def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_b
         chunk = place if how == "inner" else F.when(F.col("__h").isNull(), F.lit(-1)).otherwise(place)
         return joined.withColumn(CHUNK, chunk).drop(*drop)
 
-    return Chunked(numbered("left"), by, numbered("inner"))
+    return Chunked(numbered("left"), by, numbered("inner"), pieces)
+
+
+def _up_to(value: Column, pieces: int) -> Column:
+    """How many of the sorted cut points are at or below ``value``, by halving steps; 0 for NULL."""
+    steps = F.array(*[F.lit(2**i) for i in reversed(range(pieces.bit_length()))])
+    return F.reduce(
+        steps,
+        F.lit(0),
+        lambda at, step: F.when(F.get(F.col(BOUNDS), at + step - 1) <= value, at + step).otherwise(at),
+    )
 
 
 def _earlier(by: list[str]) -> WindowSpec:
@@ -334,8 +359,8 @@ def within(
     totals = df.groupBy(*by, order).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
     rows = chunked(totals, by, [order], split, keep_bounds=True)
     if rows.hot is not None:
-        reach = F.size(F.filter(BOUNDS, lambda b: b <= F.col(order) + F.lit(width)))
-        to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), F.coalesce(reach, CHUNK)))
+        reach = _up_to(F.col(order) + F.lit(width), rows.pieces)
+        to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), reach))
         lent = rows.df.withColumn("__home", F.col(CHUNK)).withColumn(CHUNK, F.explode(to)).drop(BOUNDS)
     else:
         lent = rows.df.withColumn("__home", F.col(CHUNK))
@@ -364,9 +389,9 @@ def with_totals(
     window = Window.partitionBy(*by)
     plain = {n: c.over(window) for n, c in aggs.items()}
     hashes, _ = heavy_hashes(df, by, split.share)
-    if not hashes:
+    if not hashes or max(hashes.values()) <= split.rows:
         return df.withColumns(plain)
-    is_hot = F.xxhash64(*by).isin(hashes)
+    is_hot = F.xxhash64(*by).isin(list(hashes))
     totals = df.filter(is_hot).groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
     cold = df.filter(~is_hot).withColumns(plain)
     warm = _attach(df.filter(is_hot).drop(*aggs), totals, by)

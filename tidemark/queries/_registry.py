@@ -7,9 +7,12 @@ import textwrap
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Schemas found so far by path: a footer is read once per table, not per query.
+SCHEMAS: dict[str, StructType] = {}
 
 
 class Tables:
@@ -25,8 +28,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
+        path = self.path(name)
+        if path not in SCHEMAS:
+            SCHEMAS[path] = self.spark.read.parquet(path).schema
         # Kept per query, so that a table used twice is listed once.
-        frame = self.__dict__[name] = self.spark.read.parquet(self.path(name))
+        frame = self.__dict__[name] = self.spark.read.schema(SCHEMAS[path]).parquet(path)
         return frame
 
     def sql(self, text: str, names: str, args: dict | None = None) -> DataFrame:

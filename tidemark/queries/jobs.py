@@ -85,34 +85,36 @@ _GOLD = """
 """
 
 
-def _retail(t) -> retail_etl.Layers:
-    """Orders checked against customers in credit, enriched with segment and region."""
-    places = (
-        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region"))
+def _gold(t, by: list[str]):
+    """Revenue of orders checked against customers in credit, per account attribute.
+
+    Places are a few rows; the planner sees their size and broadcasts them.
+    """
+    places = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region")
     )
     accounts = t.customer.join(places, "c_nationkey").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("name"),
         F.col("c_mktsegment").alias("segment"), "region",
     )
-    golds = {"region": ["region"], "segment": ["segment"], "customer": ["o_custkey", "name"]}
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return retail_etl.build(orders, accounts, _rules(), _refs(t), ["o_custkey"], golds, "o_totalprice")
+    return retail_etl.totals_by_account(
+        t.orders, accounts, _rules(), _refs(t), ["o_custkey"], by, "o_totalprice"
+    )
 
 
 @query(_GOLD.format(cols="r_name AS region", by="1"))
 def gold_region(t):
-    return _retail(t).gold["region"]
+    return _gold(t, ["region"])
 
 
 @query(_GOLD.format(cols="c_mktsegment AS segment", by="1"))
 def gold_segment(t):
-    return _retail(t).gold["segment"]
+    return _gold(t, ["segment"])
 
 
 @query(_GOLD.format(cols="o_custkey, c_name AS name", by="1, 2"))
 def gold_customer(t):
-    return _retail(t).gold["customer"]
+    return _gold(t, ["o_custkey", "name"])
 
 
 @query("""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import cents, exact_sum
 from tidemark.operators.joins import broadcast_small, null_safe_join, orphans, pit_join, range_join
 from tidemark.operators.skew import hot_keys, salted_join
-from tidemark.operators.windows import asof_versions
+from tidemark.operators.windows import Split, asof_versions, lag_lead
 from tidemark.queries._registry import query
 
 
@@ -186,8 +186,6 @@ def self_join(t):
 
 def _versions(t):
     """Order-status history per customer: each order opens a version lasting to the next order date."""
-    from tidemark.operators.windows import lag_lead
-
     per_day = t.orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("effective_start")).agg(
         F.max("o_orderpriority").alias("priority")
     )
@@ -226,7 +224,7 @@ def pit_join_inner(t):
 
 @query(_PIT.format(how="LEFT"))
 def pit_join_many_versions(t):
-    return asof_versions(_facts(t), _versions(t), ["cust"], "day", ["priority"])
+    return asof_versions(_facts(t), _versions(t), ["cust"], "day", ["priority"], split=Split(0.005, 50, 8))
 
 
 def _skewed_events(t):
