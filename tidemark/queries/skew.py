@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import money
 from tidemark.operators.layout import co_locate
-from tidemark.operators.skew import key_skew, partition_balance, salted_agg
+from tidemark.operators.skew import hot_keys, key_skew, partition_balance, salted_agg
 from tidemark.queries._registry import query
 
 
@@ -41,6 +41,11 @@ def key_skew_query(t):
     return key_skew(_skewed(t), ["key"], 10)
 
 
+@query(_SKEWED + "SELECT key FROM e GROUP BY 1 HAVING count(*) > 0.05 * (SELECT count(*) FROM events)", name="hot_keys")
+def hot_keys_query(t):
+    return hot_keys(_skewed(t), ["key"], 0.05)
+
+
 @query()
 def partition_profile(t):
     """Rows per partition before and after salting, as largest and median."""

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions.scalars import money_sum
+from tidemark.operators.quality import Rule
+from tidemark.plans import daily_load
 from tidemark.queries._registry import query
-from tidemark.session import scratch_path
-from tidemark.sources.files import read_evolving, read_json_lines, read_orc, read_parquet, read_with_quarantine
-from tidemark.sources.sinks import replace_slice, write
+from tidemark.session import cut_lineage, scratch_path
+from tidemark.sources import catalog
+from tidemark.sources.files import (
+    CORRUPT,
+    read_csv,
+    read_evolving,
+    read_json_lines,
+    read_marked,
+    read_orc,
+    read_parquet,
+    read_with_quarantine,
+)
+from tidemark.sources.sinks import compact, replace_slice, write
 
 
 @query("SELECT l_orderkey, l_quantity FROM lineitem WHERE l_quantity >= 49")
@@ -77,23 +92,107 @@ def json_roundtrip(t):
     return read_json_lines(t.spark, path, rows.schema)
 
 
-@query("""
+_EVENT = "event_id bigint, value double"
+_SIDES = """
     SELECT 'clean' AS side, count(*) AS row_count, CAST(sum(event_id) AS BIGINT) AS ids FROM events
     WHERE event_id % 10 <> 0
     UNION ALL
     SELECT 'quarantine', count(*), CAST(sum(CASE WHEN event_id % 20 = 0 THEN event_id END) AS BIGINT) FROM events
     WHERE event_id % 10 = 0
-""")
-def json_quarantine(t):
+"""
+
+
+def _dirty_json(t) -> str:
     """Events as JSON text, every tenth damaged: broken syntax and wrong types in turn."""
-    path = scratch_path(t.spark, "dirty")
+    path = scratch_path(t.spark, "json")
     good = F.to_json(F.struct("event_id", "value"))
     wrong_type = F.to_json(F.struct("event_id", F.lit("bad").alias("value")))
-    broken = F.concat(F.lit("{\"event_id\" "), F.col("event_id").cast("string"))
+    broken = F.concat(F.lit('{"event_id" '), F.col("event_id").cast("string"))
     line = F.when(F.col("event_id") % 20 == 0, wrong_type).when(F.col("event_id") % 10 == 0, broken).otherwise(good)
     t.events.select(line.alias("value")).write.text(path)
-    schema = t.spark.range(0).select(F.col("id").alias("event_id"), F.lit(0.0).alias("value")).schema
-    clean, bad = read_with_quarantine(t.spark, path, schema, "json")
+    return path
+
+
+def _count_sides(clean, bad):
     count = [F.count(F.lit(1)).alias("row_count"), F.sum("event_id").alias("ids")]
-    sides = clean.agg(*count).withColumn("side", F.lit("clean")), bad.agg(*count).withColumn("side", F.lit("quarantine"))
-    return sides[0].unionByName(sides[1])
+    named = [f.agg(*count).withColumn("side", F.lit(n)) for n, f in (("clean", clean), ("quarantine", bad))]
+    return named[0].unionByName(named[1])
+
+
+@query(_SIDES)
+def json_quarantine(t):
+    return _count_sides(*read_with_quarantine(t.spark, _dirty_json(t), StructType.fromDDL(_EVENT), "json"))
+
+
+@query(_SIDES)
+def csv_quarantine(t):
+    """The same events as CSV lines: a value that is no number, and a line without its key, in turn."""
+    path = scratch_path(t.spark, "csv")
+    key, value = F.col("event_id").cast("string"), F.col("value").cast("string")
+    line = (
+        F.when(F.col("event_id") % 20 == 0, F.concat_ws(",", key, F.lit("bad")))
+        .when(F.col("event_id") % 10 == 0, F.concat_ws(",", F.lit("n/a"), value))
+        .otherwise(F.concat_ws(",", key, value))
+    )
+    t.events.select(line.alias("value")).write.text(path)
+    schema = StructType.fromDDL(_EVENT)
+    marked = cut_lineage(read_marked(t.spark, path, schema, header=False))
+    return _count_sides(marked.filter(F.col(CORRUPT).isNull()), marked.filter(F.col(CORRUPT).isNotNull()))
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders
+""")
+def csv_roundtrip(t):
+    path = scratch_path(t.spark, "csv")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    rows.write.csv(path, header=True)
+    return read_csv(t.spark, path, rows.schema)
+
+
+@query("""
+    SELECT CASE WHEN event_id % 10 = 0 AND event_id % 20 <> 0 THEN 'unparseable'
+                WHEN event_id % 20 = 0 THEN 'unparseable'
+                WHEN value <= 50 THEN 'value_too_small' ELSE 'good' END AS outcome,
+           count(*) AS row_count,
+           CAST(SUM(CASE WHEN event_id % 10 <> 0 THEN CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS total
+    FROM events GROUP BY 1
+""", name="daily_load")
+def daily_load_query(t):
+    """Two days with the same input, the first one loaded again as a retry would."""
+    raw, out = _dirty_json(t), scratch_path(t.spark, "daily")
+    rules = [Rule("value_too_small", F.col("value") > 50)]
+    schema = StructType.fromDDL(_EVENT)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-01"):
+        silver, dead = daily_load.run(t.spark, raw, schema, rules, day, out)
+    first = F.col("load_date") == "2024-01-01"
+    rows = silver.filter(first).select(F.lit("good").alias("outcome"), "value").unionByName(
+        dead.filter(first).select(F.array_join("reasons", ",").alias("outcome"), "value")
+    )
+    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("row_count"), money_sum("value").alias("total"))
+
+
+@query("SELECT event_id, user_id, value FROM events")
+def compact_files(t):
+    """Many small files rewritten into few; the rows stay the same."""
+    src, dst = scratch_path(t.spark, "many"), scratch_path(t.spark, "few")
+    write(t.events.select("event_id", "user_id", "value"), src, files=32)
+    compact(t.spark, src, dst)
+    return read_parquet(t.spark, dst)
+
+
+@query("""
+    SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY 1
+""")
+def catalog_tables(t):
+    """An external table and a view over it; dropping the table keeps its files."""
+    path, name = scratch_path(t.spark, "ext"), f"tm_{uuid.uuid4().hex}"
+    write(t.customer.select("c_custkey", "c_mktsegment"), path)
+    catalog.register_external(t.spark, name, path)
+    listed = catalog.is_managed(t.spark, name)
+    catalog.session_view(t.spark.table(name), f"{name}_view")
+    rows = t.spark.table(f"{name}_view").filter(F.lit(not listed))
+    found = rows.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    t.spark.catalog.dropTempView(f"{name}_view")
+    catalog.drop_table(t.spark, name)
+    return found

@@ -28,11 +28,11 @@ def with_corrupt(schema: T.StructType) -> T.StructType:
 
 def read_marked(spark: SparkSession, path, schema: T.StructType, fmt: str = "csv", **options) -> DataFrame:
     """Every record, with the raw text in ``_corrupt_record`` when anything failed."""
-    reader = spark.read.schema(with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT).options(**options)
+    reader = spark.read.schema(with_corrupt(schema)).option("columnNameOfCorruptRecord", CORRUPT)
     if fmt == "csv":
-        return reader.csv(path, header=True, mode="PERMISSIVE")
+        return reader.options(**{"header": True, **options}).csv(path, mode="PERMISSIVE")
     if fmt == "json":
-        return reader.json(path, mode="PERMISSIVE")
+        return reader.options(**options).json(path, mode="PERMISSIVE")
     raise ValueError(f"no corrupt-record column for {fmt}")
 
 
