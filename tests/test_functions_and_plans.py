@@ -155,3 +155,19 @@ def test_cluster_needs_a_shared_folder(spark):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_root(Fake())
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_functions_travel_without_the_package(tmp_path):
+    """Workers of a cluster need not have this package installed."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from tidemark.queries.udfs import _band
+
+    band = _band()
+    (tmp_path / "fn.pkl").write_bytes(cloudpickle.dumps((band, null_safe(lambda s: band(s * 200)))))
+    code = "import pickle; a, b = pickle.load(open('fn.pkl', 'rb')); print(a(8000.0), b(1), b(None))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
+    assert done.stdout.split() == ["high", "low", "None"], done.stderr

@@ -11,8 +11,17 @@ from tidemark.queries._registry import query
 from tidemark.queries.windows import _Z, _nullable_values
 
 
-def _band(value: float) -> str:
-    return "high" if value >= 7500 else "mid" if value >= 2500 else "low"
+def _band():
+    """The banding function, made here so that it travels to the workers whole.
+
+    A function at module level would be sent by name, and the workers of a
+    cluster need not have this package.
+    """
+
+    def band(value: float) -> str:
+        return "high" if value >= 7500 else "mid" if value >= 2500 else "low"
+
+    return band
 
 
 _BAND = "CASE WHEN {v} >= 7500 THEN 'high' WHEN {v} >= 2500 THEN 'mid' ELSE 'low' END"
@@ -20,12 +29,12 @@ _BAND = "CASE WHEN {v} >= 7500 THEN 'high' WHEN {v} >= 2500 THEN 'mid' ELSE 'low
 
 @query(f"SELECT c_custkey, {_BAND.format(v='c_acctbal')} AS band FROM customer")
 def udf_band(t):
-    return t.customer.select("c_custkey", F.udf(_band, "string")("c_acctbal").alias("band"))
+    return t.customer.select("c_custkey", F.udf(_band(), "string")("c_acctbal").alias("band"))
 
 
 @query(f"SELECT c_custkey, {_BAND.format(v='c_acctbal')} AS band FROM customer")
 def udf_sql(t):
-    t.spark.udf.register("balance_band", _band, "string")
+    t.spark.udf.register("balance_band", _band(), "string")
     return t.sql("SELECT c_custkey, balance_band(c_acctbal) AS band FROM {customer}", "customer")
 
 
@@ -34,8 +43,8 @@ def udf_sql(t):
     FROM part
 """)
 def udf_null_safe(t):
-    size = F.nullif("p_size", F.lit(1))
-    return t.part.select("p_partkey", F.udf(null_safe(lambda s: _band(s * 200)), "string")(size).alias("band"))
+    size, band = F.nullif("p_size", F.lit(1)), _band()
+    return t.part.select("p_partkey", F.udf(null_safe(lambda s: band(s * 200)), "string")(size).alias("band"))
 
 
 @query("SELECT count(*) AS row_count, count(*) FILTER (WHERE p_size > 1) AS lost_count FROM part")
