@@ -13,9 +13,11 @@ ones is small:
 
 At most ``2 / share`` keys are cut, into at most ``MAX_CHUNKS`` chunks together,
 so these summaries have a fixed upper size whatever the data, and only they are
-fetched or broadcast.  Rows of one key with the same first ordering value
-always share a chunk, as ranks and RANGE frames require.  The input is read
-once more per summary; store an expensive one first (``session.cut_lineage``).
+fetched or broadcast.  A first ordering value that itself fills many chunks is
+cut again along the second ordering column.  What depends on the ordering value
+alone (rank, RANGE frames) is worked out on combined values of the hot keys.
+The input is read once more per summary; store an expensive one first
+(``session.cut_lineage``).
 """
 
 from __future__ import annotations
@@ -30,9 +32,9 @@ from tidemark.functions.scalars import all_of, as_col, bare, same, sort_columns
 from tidemark.operators.skew import heavy_hashes, settled
 
 CHUNK = "__chunk"
-HASH = "__hash"
 BOUNDS = "__bounds"
-ORDERED = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
+FINER = "__finer"
+MEASURABLE = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,7 @@ def _matches(keys: list[str], prefix: str) -> Column:
 class Chunked:
     """Rows with their chunk: -1 for ordinary keys, 0.. along the order for hot ones.
 
-    ``hot`` holds the rows of hot keys only, and is None when there are none.
+    ``hot`` holds the rows of hot keys only, and is None when nothing is cut.
     """
 
     df: DataFrame
@@ -86,54 +88,112 @@ class Chunked:
         return Window.partitionBy(*(self.by if self.hot is None else self.keys)).orderBy(*sort_columns(order))
 
 
-def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_bounds: bool = False) -> Chunked:
-    """Find the hot keys and number their chunks."""
-    _check(by, order)
-    lead = bare(order)[0]
-    if not dict(df.dtypes)[lead].startswith(ORDERED):
-        # Quantiles need a measurable first ordering column.
-        raise ValueError(f"the first ordering column must be a number, date or timestamp: {lead}")
-    hashes, total = heavy_hashes(df, by, split.share)
-    pieces = min(split.chunks, math.ceil(max(hashes.values()) / split.rows), MAX_CHUNKS // len(hashes)) if hashes else 1
+def _measure(df: DataFrame, name: str) -> tuple[Column, bool] | None:
+    """A measurable stand-in that sorts like the column, and whether it tells all values apart."""
+    kind = dict(df.dtypes)[name]
+    if kind.startswith(MEASURABLE):
+        return F.col(name), True
+    if kind == "boolean":
+        return F.col(name).cast("int"), True
+    if kind == "string":
+        # The first seven bytes as a number; text sorts by bytes.
+        digits = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(digits, 16, 10).cast("bigint"), False
+    return None
+
+
+def _cuts(
+    values: DataFrame, hashes: dict[int, int], total: int, split: Split, most: int
+) -> tuple[DataFrame, int] | None:
+    """Cut points per hot group of ``values`` (columns ``__h`` and ``__v``); None when all groups fit a task."""
+    pieces = min(split.chunks, math.ceil(max(hashes.values()) / split.rows), most // len(hashes)) if hashes else 1
     if pieces < 2:
-        return Chunked(df.withColumn(CHUNK, F.lit(-1)), by, None)
-    own = F.xxhash64(*by)
-    hot_values = df.select(own.alias("__h"), lead).filter(F.col("__h").isin(list(hashes)))
+        return None
+    values = values.filter(F.col("__h").isin(list(hashes)))
     # Any cut points give right results, so a sample of the values will do for
     # finding them; a thousand per chunk keep the chunks even.
     enough = 1000 * pieces / (0.5 * split.share * total)
     if enough < 0.5:
-        hot_values = hot_values.sample(enough, seed=7)
+        values = values.sample(enough, seed=7)
     cuts = [i / pieces for i in range(1, pieces)]
-    bounds = settled(
-        hot_values.groupBy("__h")
-        .agg(F.array_distinct(F.percentile_approx(lead, cuts, 10 * pieces)).alias("cuts"))
-        .select("__h", F.coalesce("cuts", F.array()).alias(BOUNDS))
+    return (
+        settled(
+            values.groupBy("__h")
+            .agg(F.array_distinct(F.percentile_approx("__v", cuts, 10 * pieces)).alias("cuts"))
+            .select("__h", F.coalesce("cuts", F.array()).alias("cuts"))
+        ),
+        pieces,
     )
-    value = F.col(lead)
-    if order[0].startswith("-"):
-        # NULL sorts last when descending: one past every bound.
-        place = F.when(value.isNull(), F.size(BOUNDS) + 1).otherwise(F.size(BOUNDS) - _up_to(value, pieces))
-    else:
-        place = _up_to(value, pieces)
-    drop = ["__h", HASH] if keep_bounds else ["__h", HASH, BOUNDS]
 
-    def numbered(how: str) -> DataFrame:
-        joined = df.withColumn(HASH, own).join(F.broadcast(bounds), F.col(HASH) == F.col("__h"), how)
-        chunk = place if how == "inner" else F.when(F.col("__h").isNull(), F.lit(-1)).otherwise(place)
-        return joined.withColumn(CHUNK, chunk).drop(*drop)
 
-    return Chunked(numbered("left"), by, numbered("inner"), pieces)
+def _passed(bounds: Column, value: Column, pieces: int, strictly: bool = False) -> Column:
+    """How many of the sorted cut points lie at or below (strictly: below) ``value``; 0 for NULL.
 
-
-def _up_to(value: Column, pieces: int) -> Column:
-    """How many of the sorted cut points are at or below ``value``, by halving steps; 0 for NULL."""
+    Found by halving steps instead of looking at every cut point.
+    """
     steps = F.array(*[F.lit(2**i) for i in reversed(range(pieces.bit_length()))])
-    return F.reduce(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(F.col(BOUNDS), at + step - 1) <= value, at + step).otherwise(at),
-    )
+
+    def step(at: Column, width: Column) -> Column:
+        cut = F.get(bounds, at + width - 1)
+        return F.when(cut < value if strictly else cut <= value, at + width).otherwise(at)
+
+    return F.reduce(steps, F.lit(0), step)
+
+
+def _place(value: Column, descending: bool, pieces: int) -> Column:
+    """Chunk along the order: 0.. with NULL at its end, and a cut point's own rows by themselves.
+
+    Values between two cut points have odd chunks; the rows equal to a cut
+    point, and NULLs, have even ones.
+    """
+    bounds = F.col(BOUNDS)
+    at = _passed(bounds, value, pieces) + _passed(bounds, value, pieces, strictly=True)
+    if descending:
+        return F.when(value.isNull(), 2 * F.size(bounds) + 2).otherwise(2 * F.size(bounds) - at + 1)
+    return F.when(value.isNull(), F.lit(0)).otherwise(at + 1)
+
+
+def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_bounds: bool = False) -> Chunked:
+    """Find the hot keys and number their chunks along the whole ``order``."""
+    _check(by, order)
+    hashes, total = heavy_hashes(df, by, split.share)
+    plain = Chunked(df.withColumn(CHUNK, F.lit(-1)), by, None)
+    if not hashes or max(hashes.values()) <= split.rows:
+        return plain
+    lead, *rest = bare(order)
+    measured = _measure(df, lead)
+    if measured is None:
+        raise ValueError(f"a key is too large for one task and {lead} cannot be cut into ranges")
+    value, exact = measured
+    own = F.xxhash64(*by)
+    found = _cuts(df.select(own.alias("__h"), value.alias("__v")), hashes, total, split, MAX_CHUNKS // 4)
+    if found is None:
+        return plain
+    bounds, pieces = found
+    place, finer = _place(value, order[0].startswith("-"), pieces), None
+    if exact and rest and (second := _measure(df, rest[0])) is not None:
+        peers = F.xxhash64(*by, lead)
+        crowded, _ = heavy_hashes(df.select(*by, lead), [*by, lead], split.share)
+        finer = _cuts(df.select(peers.alias("__h"), second[0].alias("__v")), crowded, total, split, MAX_CHUNKS // 2)
+    if finer is not None:
+        passed = F.coalesce(_passed(F.col(FINER), second[0], finer[1]), F.lit(0))
+        inner = F.coalesce(F.size(FINER), F.lit(0)) - passed if order[1].startswith("-") else passed
+        alone = F.col(FINER).isNotNull() & (F.pmod(place, F.lit(2)) == 0)
+        place = place * (finer[1] + 1) + F.when(alone, inner).otherwise(F.lit(0))
+
+    def numbered(how: str) -> DataFrame:
+        cuts = bounds.select(F.col("__h").alias("__hot"), F.col("cuts").alias(BOUNDS))
+        joined = df.withColumn("__own", own).join(F.broadcast(cuts), F.col("__own") == F.col("__hot"), how)
+        if finer is not None:
+            cuts = finer[0].select(F.col("__h").alias("__crowd"), F.col("cuts").alias(FINER))
+            joined = joined.withColumn("__own", peers).join(
+                F.broadcast(cuts), F.col("__own") == F.col("__crowd"), "left"
+            )
+        chunk = place if how == "inner" else F.when(F.col("__hot").isNull(), F.lit(-1)).otherwise(place)
+        joined = joined.withColumn(CHUNK, chunk).drop("__own", "__hot", "__crowd", FINER)
+        return joined if keep_bounds else joined.drop(BOUNDS)
+
+    return Chunked(numbered("left"), by, numbered("inner"), pieces)
 
 
 def _earlier(by: list[str]) -> WindowSpec:
@@ -147,6 +207,42 @@ def _attach(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
 
 
+def _parted(df: DataFrame, by: list[str], split: Split) -> tuple[DataFrame, DataFrame] | None:
+    """``(rows of ordinary keys, rows of hot keys)``, None when no key is too large for a task."""
+    hashes, _ = heavy_hashes(df, by, split.share)
+    if not hashes or max(hashes.values()) <= split.rows:
+        return None
+    is_hot = F.xxhash64(*by).isin(list(hashes))
+    return df.filter(~is_hot), df.filter(is_hot)
+
+
+def _join_values(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """Put per-value results back on the rows; NULL keys match."""
+    renamed = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    return df.join(renamed, _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
+
+
+def _running_rows(df: DataFrame, by: list[str], order: list[str], sums: list[str], split: Split) -> DataFrame:
+    """Replace each column of ``sums`` by its running total; ``order`` is unique per key."""
+    rows = chunked(df, by, order, split)
+    frame = rows.window(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.df.withColumns({f"__m_{n}": F.sum(n).over(frame) for n in sums})
+    if rows.hot is None:
+        return local.withColumns({n: F.col(f"__m_{n}") for n in sums}).drop(CHUNK, *[f"__m_{n}" for n in sums])
+    before = (
+        rows.hot.groupBy(*rows.keys)
+        .agg(*[F.sum(n).alias(f"__t_{n}") for n in sums])
+        .select(*rows.keys, *[F.sum(f"__t_{n}").over(_earlier(by)).alias(f"__b_{n}") for n in sums])
+    )
+    totals = {}
+    for n in sums:
+        mine, earlier = F.col(f"__m_{n}"), F.col(f"__b_{n}")
+        # A NULL side has seen no value yet, and does not spoil the other one.
+        totals[n] = F.when(mine.isNull(), earlier).when(earlier.isNull(), mine).otherwise(mine + earlier)
+    joined = _attach(local, before, rows.keys)
+    return joined.withColumns(totals).drop(CHUNK, *[f"__{p}_{n}" for n in sums for p in "mb"])
+
+
 def running(
     df: DataFrame,
     by: list[str],
@@ -160,27 +256,18 @@ def running(
     With ``tie`` (columns making the order unique) the frame is by ROWS;
     without, it is the default RANGE frame, where peers share the total.
     """
-    inputs = {f"__in_{n}": as_col(c) for n, c in sums.items()}
-    rows = chunked(df.withColumns(inputs), by, order, split)
+    _check(by, order)
     if tie:
-        frame = rows.window(order + tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        frame = rows.window(order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    local = rows.df.withColumns({n: F.sum(f"__in_{n}").over(frame) for n in sums})
-    if rows.hot is None:
-        return local.drop(CHUNK, *inputs)
-    before = (
-        rows.hot.groupBy(*rows.keys)
-        .agg(*[F.sum(f"__in_{n}").alias(f"__t_{n}") for n in sums])
-        .select(*rows.keys, *[F.sum(f"__t_{n}").over(_earlier(by)).alias(f"__b_{n}") for n in sums])
-    )
-    totals = {}
-    for n in sums:
-        mine, earlier = F.col(n), F.col(f"__b_{n}")
-        # A NULL side has seen no value yet, and does not spoil the other one.
-        totals[n] = F.when(mine.isNull(), earlier).when(earlier.isNull(), mine).otherwise(mine + earlier)
-    joined = _attach(local, before, rows.keys)
-    return joined.withColumns(totals).drop(CHUNK, *inputs, *[f"__b_{n}" for n in sums])
+        return _running_rows(df.withColumns({n: as_col(c) for n, c in sums.items()}), by, order + tie, list(sums), split)
+    peers = Window.partitionBy(*by).orderBy(*sort_columns(order))
+    parts = _parted(df, by, split)
+    if parts is None:
+        return df.withColumns({n: F.sum(as_col(c)).over(peers) for n, c in sums.items()})
+    cold, hot = parts
+    keys = list(dict.fromkeys([*by, *bare(order)]))
+    values = hot.groupBy(*keys).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
+    warm = _join_values(hot, _running_rows(values, by, order, list(sums), split), keys)
+    return cold.withColumns({n: F.sum(as_col(c)).over(peers) for n, c in sums.items()}).unionByName(warm)
 
 
 def ranks(
@@ -194,40 +281,28 @@ def ranks(
 
     ``order`` decides peers; ``tie`` makes ``row_number`` reproducible.
     """
-    rows = chunked(df, by, order, split)
-    peers = rows.window(order)
-    local = rows.df.withColumns(
-        {
-            "row_number": F.row_number().over(rows.window(order + tie)),
-            "rank": F.rank().over(peers),
-            "dense_rank": F.dense_rank().over(peers),
-        }
-    )
-    if rows.hot is None:
-        return local.drop(CHUNK)
-    before = (
-        rows.hot.groupBy(*dict.fromkeys([*rows.keys, *bare(order)]))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .groupBy(*rows.keys)
-        .agg(F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"))
-        .select(
-            *rows.keys,
-            F.sum("__n").over(_earlier(by)).alias("__rows"),
-            F.sum("__d").over(_earlier(by)).alias("__values"),
-        )
-    )
-    ahead, values = F.coalesce("__rows", F.lit(0)), F.coalesce("__values", F.lit(0))
-    return (
-        _attach(local, before, rows.keys)
-        .withColumns(
-            {
-                "row_number": F.col("row_number") + ahead,
-                "rank": F.col("rank") + ahead,
-                "dense_rank": F.col("dense_rank") + values,
-            }
-        )
-        .drop(CHUNK, "__rows", "__values")
-    )
+    _check(by, order)
+    peers = Window.partitionBy(*by).orderBy(*sort_columns(order))
+    lined = Window.partitionBy(*by).orderBy(*sort_columns(order + tie))
+    plain = {
+        "row_number": F.row_number().over(lined),
+        "rank": F.rank().over(peers),
+        "dense_rank": F.dense_rank().over(peers),
+    }
+    parts = _parted(df, by, split)
+    if parts is None:
+        return df.withColumns(plain)
+    cold, hot = parts
+    numbered = _running_rows(hot.withColumn("row_number", F.lit(1)), by, order + tie, ["row_number"], split)
+    # Both ranks follow from how many rows and values lie before a value.
+    keys = list(dict.fromkeys([*by, *bare(order)]))
+    counts = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.withColumns({"rank": F.col("__n"), "dense_rank": F.lit(1)})
+    placed = _running_rows(counts, by, order, ["rank", "dense_rank"], split)
+    placed = placed.withColumn("rank", F.col("rank") - F.col("__n") + 1).drop("__n")
+    warm = _join_values(numbered, placed, keys)
+    whole = {n: F.col(n).cast("bigint") for n in plain}
+    return cold.withColumns(plain).withColumns(whole).unionByName(warm.withColumns(whole))
 
 
 def _neighbours(rows: Chunked, order: list[str], count: int, after: bool) -> DataFrame:
@@ -359,7 +434,7 @@ def within(
     totals = df.groupBy(*by, order).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
     rows = chunked(totals, by, [order], split, keep_bounds=True)
     if rows.hot is not None:
-        reach = _up_to(F.col(order) + F.lit(width), rows.pieces)
+        reach = _place(F.col(order) + F.lit(width), False, rows.pieces)
         to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), reach))
         lent = rows.df.withColumn("__home", F.col(CHUNK)).withColumn(CHUNK, F.explode(to)).drop(BOUNDS)
     else:
@@ -370,9 +445,7 @@ def within(
         .filter(F.col(CHUNK) == F.col("__home"))
         .drop(CHUNK, "__home")
     )
-    keys = [*by, order]
-    renamed = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    return df.join(renamed, _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
+    return _join_values(df, found, [*by, order])
 
 
 def with_totals(
@@ -388,14 +461,12 @@ def with_totals(
         raise ValueError("name the partition columns")
     window = Window.partitionBy(*by)
     plain = {n: c.over(window) for n, c in aggs.items()}
-    hashes, _ = heavy_hashes(df, by, split.share)
-    if not hashes or max(hashes.values()) <= split.rows:
+    parts = _parted(df, by, split)
+    if parts is None:
         return df.withColumns(plain)
-    is_hot = F.xxhash64(*by).isin(list(hashes))
-    totals = df.filter(is_hot).groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
-    cold = df.filter(~is_hot).withColumns(plain)
-    warm = _attach(df.filter(is_hot).drop(*aggs), totals, by)
-    return cold.unionByName(warm)
+    cold, hot = parts
+    totals = hot.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
+    return cold.withColumns(plain).unionByName(_attach(hot.drop(*aggs), totals, by))
 
 
 def zscore(df: DataFrame, by: list[str], value: str, out: str = "z", split: Split = DEFAULT_SPLIT) -> DataFrame:
@@ -455,16 +526,19 @@ def asof_versions(
     """
     version = F.struct(F.col(start).alias("__from"), F.col(end).alias("__until"), *payload)
     kind = dict(dim.dtypes)[start]
-    facts = fact.withColumn("__at", F.col(time).cast(kind)).withColumn("__own", F.lit(1))
-    starts = dim.select(*on, F.col(start).alias("__at"), F.lit(0).alias("__own"), version.alias("__v"))
-    rows = chunked(facts.unionByName(starts, allowMissingColumns=True), on, ["__at"], split)
-    frame = rows.window(["__at", "__own"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    seen = rows.df.withColumn("__seen", F.last("__v", ignorenulls=True).over(frame)).filter(F.col("__own") == 1)
+    # A version comes before the facts of its day, which follow in hash order:
+    # that spreads a crowded day over several chunks.
+    spread = F.pmod(F.xxhash64(*fact.columns), F.lit(2**30))
+    facts = fact.withColumn("__at", F.col(time).cast(kind)).withColumn("__line", spread)
+    starts = dim.select(*on, F.col(start).alias("__at"), F.lit(-1).cast("bigint").alias("__line"), version.alias("__v"))
+    rows = chunked(facts.unionByName(starts, allowMissingColumns=True), on, ["__at", "__line"], split)
+    frame = rows.window(["__at", "__line"]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.df.withColumn("__seen", F.last("__v", ignorenulls=True).over(frame)).filter(F.col("__line") >= 0)
     if rows.hot is not None:
         # Each chunk's last version, NULL for none, carried over the later chunks.
         carried = (
             rows.hot.groupBy(*rows.keys)
-            .agg(F.max_by("__v", F.when(F.col("__own") == 0, F.col("__at"))).alias("__last"))
+            .agg(F.max_by("__v", F.when(F.col("__line") < 0, F.col("__at"))).alias("__last"))
             .select(*rows.keys, F.last("__last", ignorenulls=True).over(_earlier(on)).alias("__carried"))
         )
         seen = _attach(seen, carried, rows.keys).withColumn("__seen", F.coalesce("__seen", "__carried"))
