@@ -12,7 +12,7 @@ from tidemark.operators import windows as ops
 from tidemark.operators.joins import pit_join
 from tidemark.operators.windows import Split
 
-SPLITS = [Split(), Split(0.05, 20, 4), Split(0.0001, 1, 7), Split(0.05, 1, 500)]
+SPLITS = [Split(0.05, 20, 4), Split(0.0001, 1, 500)]
 
 
 def skewed(spark, seed=1, n=300):
@@ -27,6 +27,16 @@ def skewed(spark, seed=1, n=300):
     return spark.createDataFrame(data, "id int, key string, at int, value int")
 
 
+@pytest.fixture(autouse=True, scope="module")
+def interpreted(spark):
+    """These many tiny plans take longer to compile than to run."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture(scope="module")
 def frame(spark):
     return skewed(spark).persist()
@@ -169,8 +179,7 @@ def test_text_order(spark, lead):
     assert rows(got.select("id", "p")) == rows(want.select("id", "p"))
 
 
-@pytest.mark.parametrize("tie", ["id", "-id"])
-@pytest.mark.parametrize("lead", ["at", "-at"])
+@pytest.mark.parametrize("lead,tie", [("at", "-id"), ("-at", "id")])
 def test_crowded_values_are_cut_again(spark, lead, tie):
     """Two values and NULL hold most rows of the hot key; each spreads over several chunks."""
     at = F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 11)

@@ -119,9 +119,9 @@ def gold_customer(t):
 
 @query("""
     WITH dim AS (SELECT c_custkey AS cust_id, c_mktsegment AS tier, DATE '1995-01-01' AS s,
-                        CASE WHEN c_custkey % 3 = 0 THEN DATE '1998-06-01' END AS e FROM customer
+                        CASE WHEN c_acctbal > 4000 THEN DATE '1998-06-01' END AS e FROM customer
                  UNION ALL SELECT c_custkey, 'PREMIUM', DATE '1998-06-01', NULL FROM customer
-                 WHERE c_custkey % 3 = 0)
+                 WHERE c_acctbal > 4000)
     SELECT o_orderkey AS order_id, o_custkey AS cust_id, o_totalprice AS amount, CAST(o_orderdate AS DATE) AS day,
            tier AS tier_at_order
     FROM orders LEFT JOIN dim ON o_custkey = cust_id AND CAST(o_orderdate AS DATE) >= s
@@ -134,7 +134,7 @@ def customer_360(t):
         F.lit("1995-01-01").cast("date").alias("effective_start"), F.lit(None).cast("date").alias("effective_end"),
         F.lit(True).alias("is_current"),
     )
-    upgrades = t.customer.filter("c_custkey % 3 = 0").select(
+    upgrades = t.customer.filter("c_acctbal > 4000").select(
         F.col("c_custkey").alias("cust_id"), F.lit("PREMIUM").alias("tier")
     )
     dim = c360.next_dimension(start, upgrades, ["cust_id"], ["tier"], dt.date(1998, 6, 1))

@@ -39,16 +39,16 @@ def orc_roundtrip(t):
 
 
 @query("""
-    SELECT c_custkey AS id, c_name AS name, NULL::DOUBLE AS balance FROM customer WHERE c_custkey % 2 = 0
-    UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 2 = 1
+    SELECT c_custkey AS id, c_name AS name, NULL::DOUBLE AS balance FROM customer WHERE c_acctbal < 5000
+    UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal >= 5000
 """)
 def schema_evolve(t):
-    """Half the customers written without the balance column, half with it."""
+    """Customers below 5000 written without the balance column, the others with it."""
     path = scratch_path(t.spark, "evolve")
     base = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
                              F.col("c_acctbal").alias("balance"))
-    write(base.filter("id % 2 = 0").drop("balance"), f"{path}/v1")
-    write(base.filter("id % 2 = 1"), f"{path}/v2")
+    write(base.filter("balance < 5000").drop("balance"), f"{path}/v1")
+    write(base.filter("balance >= 5000"), f"{path}/v2")
     return read_evolving(t.spark, f"{path}/v1", f"{path}/v2")
 
 

@@ -27,8 +27,8 @@ def _accounts(t):
 
 
 def _changes(t):
-    """Every third customer with 100 more, and as many new keys beyond the highest."""
-    accounts = _accounts(t).filter(F.col("id") % 3 == 0)
+    """Low balances raised by 100, and as many new keys beyond the highest."""
+    accounts = _accounts(t).filter("balance < 3000")
     top = t.customer.agg(F.max("c_custkey")).scalar()
     changed = accounts.withColumns({"balance": F.col("balance") + 100, "segment": F.lit("MOVED")})
     return changed.unionByName(accounts.withColumn("id", F.col("id") + top + 1))
@@ -36,9 +36,9 @@ def _changes(t):
 
 _ACCOUNTS = """
     WITH a AS (SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment AS segment FROM customer),
-         u AS (SELECT id, balance + 100 AS balance, 'MOVED' AS segment FROM a WHERE id % 3 = 0
+         u AS (SELECT id, balance + 100 AS balance, 'MOVED' AS segment FROM a WHERE balance < 3000
                UNION ALL SELECT id + (SELECT max(c_custkey) FROM customer) + 1, balance, segment FROM a
-               WHERE id % 3 = 0)
+               WHERE balance < 3000)
 """
 
 
@@ -82,9 +82,10 @@ def merge_metrics_query(t):
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def insert_only(t):
-    """Even orders are loaded; a batch of all orders then adds only the odd ones."""
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return insert_new(orders.filter("o_orderkey % 2 = 0"), orders, ["o_orderkey"])
+    """Orders up to 1997 are loaded; a batch of all orders then adds only the later ones."""
+    columns = ["o_orderkey", "o_custkey", "o_totalprice"]
+    loaded = t.orders.filter("year(o_orderdate) <= 1997")
+    return insert_new(loaded.select(*columns), t.orders.select(*columns), ["o_orderkey"])
 
 
 @query(name="evolve_append", oracle="""
@@ -105,7 +106,7 @@ def evolve_append_query(t):
 
 
 def _history(t):
-    """Version 0 loads all customers, 1 raises every third balance, 2 deletes those in debt, 3 raises every fifth."""
+    """Version 0 loads all customers, 1 raises low balances, 2 deletes customers in debt, 3 raises high balances."""
     accounts = _accounts(t).select("id", "balance")
 
     def version(rows, number, op, day):
@@ -114,11 +115,11 @@ def _history(t):
 
     return (
         version(accounts, 0, "upsert", "2024-01-01")
-        .unionByName(version(accounts.filter("id % 3 = 0").withColumn("balance", F.col("balance") + 100), 1, "upsert",
+        .unionByName(version(accounts.filter("balance < 3000").withColumn("balance", F.col("balance") + 100), 1, "upsert",
                              "2024-01-02"))
         .unionByName(version(accounts.filter("balance < 0").withColumn("balance", F.lit(None).cast("double")), 2,
                              "delete", "2024-01-03"))
-        .unionByName(version(accounts.filter("id % 5 = 0").withColumn("balance", F.col("balance") + 7), 3, "upsert",
+        .unionByName(version(accounts.filter("balance < -500 OR balance > 7000").withColumn("balance", F.col("balance") + 7), 3, "upsert",
                              "2024-01-04"))
     )
 
@@ -126,9 +127,10 @@ def _history(t):
 _HISTORY = """
     WITH a AS (SELECT c_custkey AS id, c_acctbal AS balance FROM customer),
          h AS (SELECT id, balance, 0 AS version, 'upsert' AS op, TIMESTAMP '2024-01-01' AS committed_at FROM a
-               UNION ALL SELECT id, balance + 100, 1, 'upsert', TIMESTAMP '2024-01-02' FROM a WHERE id % 3 = 0
+               UNION ALL SELECT id, balance + 100, 1, 'upsert', TIMESTAMP '2024-01-02' FROM a WHERE balance < 3000
                UNION ALL SELECT id, NULL, 2, 'delete', TIMESTAMP '2024-01-03' FROM a WHERE balance < 0
-               UNION ALL SELECT id, balance + 7, 3, 'upsert', TIMESTAMP '2024-01-04' FROM a WHERE id % 5 = 0),
+               UNION ALL SELECT id, balance + 7, 3, 'upsert', TIMESTAMP '2024-01-04' FROM a
+               WHERE balance < -500 OR balance > 7000),
          s AS (SELECT v.n, h.* FROM (SELECT unnest([0, 1, 2, 3]) AS n) v JOIN h ON h.version <= v.n
                QUALIFY row_number() OVER (PARTITION BY v.n, id ORDER BY version DESC) = 1)
 """
@@ -193,9 +195,9 @@ def _dimension(t):
 
 
 def _incoming(t):
-    """Every fourth customer arrives; those in segment MACHINERY become unknown; new keys come too."""
+    """Customers in debt or with much credit arrive; those in segment MACHINERY become unknown; new keys come too."""
     top = t.customer.agg(F.max("c_custkey")).scalar()
-    some = t.customer.filter("c_custkey % 4 = 0")
+    some = t.customer.filter("c_acctbal < 0 OR c_acctbal > 6000")
     segment = F.nullif("c_mktsegment", F.lit("MACHINERY"))
     known = some.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), segment.alias("tier"))
     return known.unionByName(known.withColumn("id", F.col("id") + top + 1))
@@ -210,7 +212,7 @@ _DIM = """
                  SELECT id, name, tier, CASE WHEN c_acctbal < 0 THEN DATE '2024-03-01' ELSE DATE '2024-01-01' END,
                         NULL, TRUE FROM base),
          known AS (SELECT c_custkey AS id, c_name AS name, nullif(c_mktsegment, 'MACHINERY') AS tier FROM customer
-                   WHERE c_custkey % 4 = 0),
+                   WHERE c_acctbal < 0 OR c_acctbal > 6000),
          inc AS (SELECT * FROM known UNION ALL
                  SELECT id + (SELECT max(c_custkey) FROM customer) + 1, name, tier FROM known),
          chg AS (SELECT inc.* FROM inc JOIN dim ON inc.id = dim.id AND dim.cur
