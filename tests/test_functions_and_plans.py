@@ -171,3 +171,21 @@ def test_functions_travel_without_the_package(tmp_path):
     code = "import pickle; a, b = pickle.load(open('fn.pkl', 'rb')); print(a(8000.0), b(1), b(None))"
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=60)
     assert done.stdout.split() == ["high", "low", "None"], done.stderr
+
+
+def test_gold_filters_reach_the_scan_and_orders_shrink_before_joining(spark):
+    import __spark_entry__ as entry
+    from tests.fixtures import plan_of
+
+    plan = plan_of(entry.entry(spark)).split("Initial Plan")[0]
+    assert "GreaterThan(o_totalprice,5000.0)" in plan
+    assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double>" in plan
+    assert "partial_sum(cast(rint" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_silver_is_pruned_before_the_shuffle(spark):
+    import __spark_entry__ as entry
+    from tests.fixtures import plan_of
+
+    plan = plan_of(entry.queries()["silver_orders"](spark, "/root/testdata/sf0.001")).split("Initial Plan")[0]
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange hashpartitioning") == 1

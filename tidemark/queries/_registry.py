@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tidemark.session import split_skewed_joins
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 #: Schemas found so far by path: a footer is read once per table, not per query.
@@ -49,6 +51,7 @@ def query(oracle: str | None = None, name: str | None = None):
 
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            split_skewed_joins(spark)
             return fn(Tables(spark, sf_dir))
 
         if key in QUERIES:

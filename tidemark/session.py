@@ -38,6 +38,16 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+#: Settings of DEFAULTS that change only how a session runs its joins, never results.
+SKEW_SETTINGS = ("spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin")
+
+
+def split_skewed_joins(spark: SparkSession) -> None:
+    """Let AQE split skewed join inputs in a session built elsewhere."""
+    for key in SKEW_SETTINGS:
+        spark.conf.set(key, DEFAULTS[key])
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
