@@ -126,28 +126,28 @@ def _cuts(
     )
 
 
-def _passed(bounds: Column, value: Column, pieces: int, strictly: bool = False) -> Column:
-    """How many of the sorted cut points lie at or below (strictly: below) ``value``; 0 for NULL.
+def _passed(bounds: Column, value: Column, pieces: int) -> Column:
+    """How many of the sorted cut points lie at or below ``value``; 0 for NULL.
 
     Found by halving steps instead of looking at every cut point.
     """
     steps = F.array(*[F.lit(2**i) for i in reversed(range(pieces.bit_length()))])
-
-    def step(at: Column, width: Column) -> Column:
-        cut = F.get(bounds, at + width - 1)
-        return F.when(cut < value if strictly else cut <= value, at + width).otherwise(at)
-
-    return F.reduce(steps, F.lit(0), step)
+    return F.reduce(
+        steps,
+        F.lit(0),
+        lambda at, width: F.when(F.get(bounds, at + width - 1) <= value, at + width).otherwise(at),
+    )
 
 
-def _place(value: Column, descending: bool, pieces: int) -> Column:
+def _place(passed: Column, value: Column, descending: bool) -> Column:
     """Chunk along the order: 0.. with NULL at its end, and a cut point's own rows by themselves.
 
     Values between two cut points have odd chunks; the rows equal to a cut
     point, and NULLs, have even ones.
     """
     bounds = F.col(BOUNDS)
-    at = _passed(bounds, value, pieces) + _passed(bounds, value, pieces, strictly=True)
+    on_cut = F.coalesce(F.get(bounds, passed - 1) == value, F.lit(False))
+    at = 2 * passed - on_cut.cast("int")
     if descending:
         return F.when(value.isNull(), 2 * F.size(bounds) + 2).otherwise(2 * F.size(bounds) - at + 1)
     return F.when(value.isNull(), F.lit(0)).otherwise(at + 1)
@@ -170,7 +170,7 @@ def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_b
     if found is None:
         return plain
     bounds, pieces = found
-    place, finer = _place(value, order[0].startswith("-"), pieces), None
+    place, finer = _place(F.col("__passed"), value, order[0].startswith("-")), None
     if exact and rest and (second := _measure(df, rest[0])) is not None:
         peers = F.xxhash64(*by, lead)
         crowded, _ = heavy_hashes(df.select(*by, lead), [*by, lead], split.share)
@@ -184,13 +184,14 @@ def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_b
     def numbered(how: str) -> DataFrame:
         cuts = bounds.select(F.col("__h").alias("__hot"), F.col("cuts").alias(BOUNDS))
         joined = df.withColumn("__own", own).join(F.broadcast(cuts), F.col("__own") == F.col("__hot"), how)
+        joined = joined.withColumn("__passed", _passed(F.col(BOUNDS), value, pieces))
         if finer is not None:
             cuts = finer[0].select(F.col("__h").alias("__crowd"), F.col("cuts").alias(FINER))
             joined = joined.withColumn("__own", peers).join(
                 F.broadcast(cuts), F.col("__own") == F.col("__crowd"), "left"
             )
         chunk = place if how == "inner" else F.when(F.col("__hot").isNull(), F.lit(-1)).otherwise(place)
-        joined = joined.withColumn(CHUNK, chunk).drop("__own", "__hot", "__crowd", FINER)
+        joined = joined.withColumn(CHUNK, chunk).drop("__own", "__hot", "__passed", "__crowd", FINER)
         return joined if keep_bounds else joined.drop(BOUNDS)
 
     return Chunked(numbered("left"), by, numbered("inner"), pieces)
@@ -434,9 +435,14 @@ def within(
     totals = df.groupBy(*by, order).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
     rows = chunked(totals, by, [order], split, keep_bounds=True)
     if rows.hot is not None:
-        reach = _place(F.col(order) + F.lit(width), False, rows.pieces)
+        until = F.col(order) + F.lit(width)
+        reach = _place(F.col("__passed"), until, False)
         to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), reach))
-        lent = rows.df.withColumn("__home", F.col(CHUNK)).withColumn(CHUNK, F.explode(to)).drop(BOUNDS)
+        lent = (
+            rows.df.withColumns({"__home": F.col(CHUNK), "__passed": _passed(F.col(BOUNDS), until, rows.pieces)})
+            .withColumn(CHUNK, F.explode(to))
+            .drop(BOUNDS, "__passed")
+        )
     else:
         lent = rows.df.withColumn("__home", F.col(CHUNK))
     frame = rows.window([order]).rangeBetween(-width, Window.currentRow)
