@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, packing, secrets, token_counts, url_filter
+from tidemark.llm import chat_format, decontaminate, near_dup, packing, secret_scan, token_counts, url_filter
 from tidemark.session import scratch_path, split_skewed_joins
 
 QUERIES = {}
@@ -99,17 +99,17 @@ FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN held USING (doc_id)
 
 @query
 def op8_secret_scan(spark, sf_dir):
-    scanned = secrets.scan_secrets(table(spark, sf_dir, "documents"))
-    base = F.filter("spans", lambda s: s["kind"] != secrets.ADDED)
+    scanned = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != secret_scan.ADDED)
 
     def of_kind(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
 
     return scanned.select(
         "doc_id",
-        *[of_kind(kind).alias(f"n_{kind}") for kind in secrets.BASE],
-        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        *[of_kind(kind).alias(f"n_{kind}") for kind in secret_scan.BASE],
+        F.sha2(secret_scan.listed(base), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("spans")).alias("spans"),
     )
 
 
@@ -168,3 +168,8 @@ SELECT conv_id, count(*) AS n_turns,
                 ELSE length('<|im_start|>') + length(name) + 1 + length('<|im_end|>') + 1 END) AS BIGINT) AS formatted_chars
 FROM marked GROUP BY conv_id
 """
+
+
+@query
+def op7_near_duplicates(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
