@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, near_dup, packing, secret_scan, token_counts, url_filter
+from tidemark.llm import chat_format, decontaminate, near_dup, packing, secret_scan, substring_dedup, token_counts, topk_blocks, url_filter
 from tidemark.session import scratch_path, split_skewed_joins
 
 QUERIES = {}
@@ -173,3 +173,55 @@ FROM marked GROUP BY conv_id
 @query
 def op7_near_duplicates(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
+
+
+@query
+def op4_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), size=13, block=7)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op4_substring_dedup"] = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM doc)
+), owner AS (
+    SELECT win, min(doc_id) AS least FROM win GROUP BY win
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+    FROM win JOIN owner USING (win) WHERE least < doc_id
+), word AS (
+    SELECT doc_id, w[p] AS word, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM doc)
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+    FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query
+def op3_topk_blocks(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_blocks.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLES["op3_topk_blocks"] = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
