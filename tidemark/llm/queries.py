@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, near_dup, packing, secret_scan, substring_dedup, token_counts, topk_blocks, url_filter
+from tidemark.llm import chat_format, decontaminate, near_dup, packing, secret_scan, substring_dedup, token_counts, topk_blocks, toxicity, url_filter
 from tidemark.session import scratch_path, split_skewed_joins
 
 QUERIES = {}
@@ -225,3 +225,10 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"), threshold=0.7)
+    return scored.select("doc_id", "held_out", "score", "predicted")
