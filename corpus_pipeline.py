@@ -1,15 +1,68 @@
-"""Corpus pipeline: the stages that turn raw documents into packed training sequences."""
+"""Corpus pipeline: from raw documents to packed training sequences.
+
+Stages run in this order, each over everything its predecessor kept: toxic
+documents go, one document of each group of near duplicates stays, documents
+with benchmark passages go, live-looking secrets are replaced, and the rest is
+packed.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, near_dup, packing, secret_scan, toxicity
+from tidemark.session import cut_lineage, split_skewed_joins
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose restored text scores below 0.7; texts are not changed."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.score_documents(docs, labels, threshold=0.7)
+    return scored.filter("predicted = 0").select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document (the smallest id) of each group linked by 80 % common five-word shingles."""
+    found = cut_lineage(near_dup.near_duplicates(docs, size=5, percent=80))
+    return near_dup.drop_copies(docs, found)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any ten-word window of the benchmark."""
+    hits = decontaminate.find_hits(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
+    return decontaminate.drop_contaminated(docs, hits)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, live-looking secrets replaced; ``n_chars`` follows the text where there is one."""
+    clean = secret_scan.redact(docs, secret_scan.scan_secrets(docs))
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of power-of-two lengths, 4096 at most."""
+    return packing.pack_binary(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, max_tokens=4096)
+
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+#: Scores, sketches and token ids are beyond SQL; the tests compare the stages with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed sequences of all documents that the stages keep."""
+    split_skewed_joins(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = cut_lineage(docs)
     return docs

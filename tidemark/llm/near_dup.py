@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.hashing import mixed, window_hashes, word_hashes
+from tidemark.llm.hashing import window_hashes, word_hashes
+from tidemark.llm.words import content_id, or_empty
 from tidemark.session import cut_lineage
 
 REGISTER_BITS, MANTISSA = 7, 10
@@ -85,25 +86,27 @@ def _registers(column: pd.Series) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """(key, n, digest, sketch) of every row; digest and sketch are NULL without words."""
+    """(key, content, n, digest, sketch) of every row; digest and sketch are NULL without words."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc, body in zip(batch["key"], batch["text"]):
+            for doc, content, body in zip(batch["key"], batch["content"], batch["text"]):
                 found = shingles(body, size)
                 if len(found):
                     digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                    rows.append((doc, len(found), digest, sketch(found).astype("<u2").tobytes()))
+                    rows.append((doc, content, len(found), digest, sketch(found).astype("<u2").tobytes()))
                 else:
-                    rows.append((doc, 0, None, None))
-            yield pd.DataFrame(rows, columns=["key", "n", "digest", "sketch"])
+                    rows.append((doc, content, 0, None, None))
+            yield pd.DataFrame(rows, columns=["key", "content", "n", "digest", "sketch"])
 
-    source = docs.select(F.col(key).cast("string").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    kind = docs.schema[key].dataType
-    return source.mapInPandas(made, "key string, n long, digest binary, sketch binary").withColumn(
-        "key", F.col("key").cast(kind)
+    source = docs.select(
+        F.col(key).cast("string").alias("key"),
+        content_id(F.col(text)).alias("content"),
+        or_empty(F.col(text)).alias("text"),
     )
+    rows = source.mapInPandas(made, "key string, content string, n long, digest binary, sketch binary")
+    return rows.withColumn("key", F.col("key").cast(docs.schema[key].dataType))
 
 
 def nodes_of(rows: DataFrame) -> DataFrame:
@@ -246,7 +249,7 @@ def across(buckets: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int)
 def near_duplicates(
     docs: DataFrame, size: int = 5, percent: int = 85, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per document: the key, ``n_shingles``, ``component_id`` and ``kept``.
+    """One row per document: the key, ``content``, ``n_shingles``, ``component_id`` and ``kept``.
 
     Two documents are linked if the share of common shingles reaches
     ``percent``; a component is what links connect, named by its smallest key;
@@ -274,11 +277,19 @@ def near_duplicates(
     members = members.withColumn("root", F.coalesce("root", "node"))
     names = members.groupBy("root").agg(F.min("first").alias("component"))
     named = members.join(names, "root").select("digest", "component")
-    found = rows.select("key", "n", "digest").join(named, "digest", "left")
+    found = rows.select("key", "content", "n", "digest").join(named, "digest", "left")
     component = F.when(F.col("key").isNotNull(), F.coalesce("component", "key"))
     return found.select(
         F.col("key").alias(key),
+        "content",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("key") == component, F.lit(True)).alias("kept"),
     )
+
+
+def drop_copies(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the documents that are not kept; all their columns stay."""
+    gone = found.filter(~F.col("kept")).select(F.col(key).alias("__key"), F.col("content").alias("__content"))
+    same = docs[key].eqNullSafe(gone["__key"]) & (content_id(docs[text]) == gone["__content"])
+    return docs.join(gone.distinct(), same, "left_anti")

@@ -172,7 +172,7 @@ FROM marked GROUP BY conv_id
 
 @query
 def op7_near_duplicates(spark, sf_dir):
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85)
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), size=5, percent=85).drop("content")
 
 
 @query
