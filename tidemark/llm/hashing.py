@@ -5,9 +5,13 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Odd multipliers of the word positions in a window, two independent sets (any odd numbers would do).
-FIRST = np.array([0x9E3779B97F4A7C15 + 2 * 0x5851F42D4C957F2D * i & 0xFFFFFFFFFFFFFFFF | 1 for i in range(64)], np.uint64)
-SECOND = np.array([0xD1342543DE82EF95 + 2 * 0x2545F4914F6CDD1D * i & 0xFFFFFFFFFFFFFFFF | 1 for i in range(64)], np.uint64)
+def _odd(seed: int, count: int = 64) -> np.ndarray:
+    """Random odd numbers; regular ones would let windows of few different words collide."""
+    return np.random.Generator(np.random.PCG64(seed)).integers(0, 1 << 64, count, np.uint64) | np.uint64(1)
+
+
+#: Multipliers of the word positions in a window, two independent sets.
+FIRST, SECOND = _odd(1), _odd(2)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
