@@ -168,6 +168,35 @@ def test_replace_slice_refuses_rows_outside(spark, tmp_path):
         sinks.replace_slice(unknown, str(tmp_path / "f"), "load_date", ["y"])
 
 
+@pytest.mark.parametrize("kind, values", [
+    ("date", ["2024-01-01", "2024-01-02"]), ("int", ["1996", "1997"]), ("boolean", ["true", "false"]), ("string", ["a b", "1"]),
+])
+def test_slice_values_as_text_or_typed(spark, tmp_path, kind, values):
+    from tests.fixtures import rows as collected
+
+    both = spark.createDataFrame([(1, values[0]), (2, values[1])], "n int, part string")
+    both = both.withColumn("part", F.col("part").cast(kind))
+    typed = [r["part"] for r in both.orderBy("n").collect()]
+    for names in (values, typed):
+        path = str(tmp_path / f"{kind}-{type(names[0]).__name__}")
+        sinks.replace_slice(both, path, "part", names)
+        sinks.replace_slice(both.filter("n = 1"), path, "part", names)
+        assert collected(spark.read.parquet(path), "n") == [(1,)]
+    if kind != "string":
+        with pytest.raises(ValueError, match="cannot be read"):
+            sinks.replace_slice(both, path, "part", ["no value"])
+
+
+def test_slice_of_nulls(spark, tmp_path):
+    path = str(tmp_path / "nulls")
+    frame = spark.createDataFrame([(1, None), (2, "x")], "n int, part string")
+    sinks.replace_slice(frame, path, "part", [None, "x"])
+    sinks.replace_slice(frame.filter("n = 1").withColumn("n", F.lit(9)), path, "part", [None])
+    assert rows(spark.read.parquet(path), "n") == [(2,), (9,)]
+    sinks.replace_slice(frame.limit(0), path, "part", [None])
+    assert rows(spark.read.parquet(path), "n") == [(2,)]
+
+
 def test_slice_folder_is_escaped_as_spark_does(spark, tmp_path):
     path = str(tmp_path / "esc")
     value = "a:b/c d%e"

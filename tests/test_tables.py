@@ -129,9 +129,47 @@ def test_expire(history):
         kept = ops.expire_history(history, ["id"], 2, **kwargs)
         for n in (2, 3):
             assert rows(ops.as_of(kept, ["id"], n)) == rows(ops.as_of(history, ["id"], n))
-        with pytest.raises(ops.ExpiredVersionError):
-            ops.as_of(kept, ["id"], 1, first_kept=2)
-    assert kept.count() == 3
+        for earlier in ({"version": 1}, {"timestamp": dt.datetime(2024, 1, 2, 5)}):
+            with pytest.raises(Exception, match="folded away"):
+                ops.as_of(kept, ["id"], **earlier).collect()
+        with pytest.raises(Exception, match="folded away"):
+            ops.restore(kept, ["id"], 1, dt.datetime(2024, 2, 1)).collect()
+    assert ops.as_of(kept, ["id"], timestamp=dt.datetime(2024, 1, 3)).count() == 1
+    assert kept.filter("op <> 'expired'").count() == 3
+    assert rows(ops.history_log(kept), "version", "upserts") == [(3, 2)]
+    again = ops.expire_history(kept, ["id"], 3, force=True)
+    assert rows(ops.current(again, ["id"])) == rows(ops.current(history, ["id"]))
+    assert again.filter("op = 'expired'").count() == 1
+
+
+def test_restore_after_expiry_keeps_rows(spark):
+    day = dt.datetime(2024, 1, 1)
+    history = spark.createDataFrame(
+        [(1, "x", 0, "upsert", day), (2, "y", 0, "upsert", day), (1, "z", 2, "upsert", day), (5, "n", 3, "upsert", day)],
+        "id int, v string, version int, op string, committed_at timestamp",
+    )
+    kept = ops.expire_history(history, ["id"], 2, force=True)
+    back = ops.restore(kept, ["id"], 2, day)
+    assert rows(ops.current(back, ["id"])) == [(1, "z"), (2, "y")]
+    # Nothing is left below the cut, and still reading it fails.
+    gone = ops.expire_history(history.filter("version = 3"), ["id"], 2, force=True)
+    with pytest.raises(Exception, match="folded away"):
+        ops.as_of(gone, ["id"], 1).collect()
+
+
+def test_rows_without_a_key_are_refused_where_a_rerun_would_repeat_them(spark, target, dim):
+    null_key = spark.createDataFrame([(None, "n", "t", 1)], CUST)
+    with pytest.raises(ops.NullKeyError):
+        ops.insert_new(target, null_key, ["cust_id"])
+    with pytest.raises(ops.NullKeyError):
+        scd.scd2_apply(dim, incoming(spark, (None, "n", "t")), ["cust_id"], ["tier"], DAY(2024, 2, 1))
+
+
+def test_unknown_current_flag_loses_no_version(spark, dim):
+    vague = dim.withColumn("is_current", F.lit(None).cast("boolean"))
+    got = scd.scd2_apply(vague, incoming(spark, (2, "bob", "gold")), ["cust_id"], ["tier"], DAY(2024, 2, 1))
+    assert rows(got, "cust_id", "tier") == [(1, "gold"), (2, "gold"), (2, "silver")]
+    assert scd.scd2_changes(vague, incoming(spark, (2, "bob", "gold")), ["cust_id"], ["tier"]).count() == 1
 
 
 # --- dimensions -------------------------------------------------------------

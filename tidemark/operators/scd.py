@@ -17,6 +17,11 @@ from tidemark.operators.windows import lag_lead
 START, END, CURRENT = "effective_start", "effective_end", "is_current"
 
 
+def is_open() -> Column:
+    """Whether a version is the current one; where ``is_current`` is NULL, an open end tells."""
+    return F.coalesce(F.col(CURRENT), F.col(END).isNull())
+
+
 def _differs(tracked: list[str], prefix: str) -> Column:
     return any_of(~same(F.col(c), F.col(f"{prefix}{c}")) for c in tracked)
 
@@ -26,7 +31,7 @@ def scd2_changes(dim: DataFrame, incoming: DataFrame, keys: list[str], tracked:
 
     The comparison is null-safe, so a value appearing or vanishing counts.
     """
-    now = dim.filter(CURRENT).select(
+    now = dim.filter(is_open()).select(
         *[F.col(k).alias(f"__c_{k}") for k in keys], *[F.col(c).alias(f"__c_{c}") for c in tracked]
     )
     on = all_of(F.col(k) == F.col(f"__c_{k}") for k in keys)
@@ -38,9 +43,10 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: list[str], tracked: li
 
     One plan gives the complete next state, so a rerun changes nothing and no
     moment exists without a current row.  A change dated on or before the
-    start of the version it replaces fails the job.
+    start of the version it replaces fails the job; incoming rows without a key
+    are refused, as a rerun could not recognise them.
     """
-    require_unique(incoming, keys)
+    require_unique(incoming, keys, nulls=False)
     when = F.lit(effective).cast("date")
     other = [c for c in dim.columns if c not in (*keys, START, END, CURRENT)]
     source = incoming.select(
@@ -50,8 +56,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: list[str], tracked: li
     )
     on = all_of(F.col(k) == F.col(f"__i_{k}") for k in keys)
     # Closed versions cannot change and skip the join.
-    closed = dim.filter(~F.col(CURRENT))
-    open_rows = dim.filter(CURRENT).join(source, on, "left")
+    closed = dim.filter(~is_open())
+    open_rows = dim.filter(is_open()).join(source, on, "left")
     changed = F.coalesce(F.col("__hit"), F.lit(False)) & _differs(tracked, "__i_")
     checked = F.when(F.col(START) < when, when).otherwise(
         F.raise_error(F.concat(F.lit("change is not later than the version starting "), F.col(START).cast("string")))
@@ -72,7 +78,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, keys: list[str], tracked: li
     )
     versions = F.when(changed, F.array(old, new)).otherwise(F.array(old))
     renewed = open_rows.select(F.inline(versions)).select(*dim.columns)
-    unseen = incoming.join(dim.filter(CURRENT).select(*keys).distinct(), keys, "left_anti").select(
+    unseen = incoming.join(dim.filter(is_open()).select(*keys).distinct(), keys, "left_anti").select(
         *keys, *other, when.alias(START), F.lit(None).cast("date").alias(END), F.lit(True).alias(CURRENT)
     )
     return closed.unionByName(renewed).unionByName(unseen)

@@ -19,17 +19,25 @@ class DuplicateKeyError(ValueError):
     """A source table repeats a key that must be unique."""
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> None:
-    """Raise when a non-null key occurs twice; counted map-side, one row back."""
-    repeated = (
-        df.filter(all_of(F.col(k).isNotNull() for k in keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .first()
-    )
-    if repeated is not None:
-        raise DuplicateKeyError(f"key {[repeated[k] for k in keys]} occurs {repeated['n']} times")
+class NullKeyError(ValueError):
+    """A source table lacks a key where a rerun could not recognise the row."""
+
+
+def require_unique(df: DataFrame, keys: list[str], nulls: bool = True) -> None:
+    """Raise when a key occurs twice, or, without ``nulls``, is NULL; counted map-side, one row back.
+
+    With ``nulls``, rows without a key may repeat.
+    """
+    missing = any_of(F.col(k).isNull() for k in keys)
+    counted = df.filter(~missing) if nulls else df
+    wrong = (F.col("n") > 1) if nulls else (F.col("n") > 1) | missing
+    found = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(wrong).first()
+    if found is None:
+        return
+    key = [found[k] for k in keys]
+    if None in key:
+        raise NullKeyError(f"{found['n']} row(s) with the key {key}")
+    raise DuplicateKeyError(f"key {key} occurs {found['n']} times")
 
 
 def _matched(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -96,8 +104,11 @@ def merge_metrics(target: DataFrame, updates: DataFrame, keys: list[str], delete
 
 
 def insert_new(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Append only the keys not yet present; loading a batch twice changes nothing."""
-    require_unique(batch, keys)
+    """Append only the keys not yet present; loading a batch twice changes nothing.
+
+    A batch row without a key is refused: a second load could not find it.
+    """
+    require_unique(batch, keys, nulls=False)
     return target.unionByName(_unseen(target, batch, keys))
 
 
@@ -121,37 +132,58 @@ def evolve_append(table: DataFrame, batch: DataFrame, allow_new: bool = False) -
 
 # --- versioned tables -------------------------------------------------------
 # A history holds the keys and payload of every change with ``version``,
-# ``op`` ('upsert' or 'delete') and ``committed_at``.
+# ``op`` ('upsert' or 'delete') and ``committed_at``.  After an expiry it also
+# holds one row with the op 'expired': nothing before its version and commit
+# time can be told any more, and readers are refused there.
 
 META = ["version", "op", "committed_at"]
+EXPIRED = "expired"
 
 
-class ExpiredVersionError(ValueError):
-    """The requested version was folded away."""
+def _changes(history: DataFrame) -> DataFrame:
+    """The history without its expiry mark."""
+    return history.filter(F.col("op") != EXPIRED)
 
 
-def as_of(
-    history: DataFrame, keys: list[str], version: int | None = None, timestamp=None, first_kept: int | None = None
-) -> DataFrame:
-    """The table at a version or at a point in time."""
-    if (version is None) == (timestamp is None):
-        raise ValueError("give a version or a timestamp")
+def _mark(history: DataFrame, column: str) -> Column:
+    """Highest ``column`` of the expiry marks, NULL without one; part of the plan, not a job."""
+    return history.filter(F.col("op") == EXPIRED).agg(F.max(column)).scalar()
+
+
+def _seen(history: DataFrame, version: int | None = None, timestamp=None) -> Column:
+    """Whether a change was made by then.  Fails on every row, the mark included, if that time was folded away."""
     if version is not None:
-        if first_kept is not None and version < first_kept:
-            raise ExpiredVersionError(f"version {version} is older than the first kept one, {first_kept}")
-        seen = history.filter(F.col("version") <= version)
+        told, cut, asked = F.col("version") <= version, _mark(history, "version"), F.lit(version)
     else:
-        seen = history.filter(F.col("committed_at") <= F.lit(timestamp))
-    return latest(seen, keys, ["version"], []).filter("op <> 'delete'").drop(*META)
+        kind = dict(history.dtypes)["committed_at"]
+        asked = F.lit(timestamp).cast(kind)
+        told, cut = F.col("committed_at") <= asked, _mark(history, "committed_at")
+    late = F.raise_error(
+        F.concat(F.lit("the state at "), asked.cast("string"), F.lit(" was folded away; the first kept is "), cut.cast("string"))
+    )
+    return F.when(asked < cut, late.cast("boolean")).otherwise(told)
+
+
+def as_of(history: DataFrame, keys: list[str], version: int | None = None, timestamp=None) -> DataFrame:
+    """The table at a version or at a point in time; reading a state that was folded away fails."""
+    if (version is None) == (timestamp is None):
+        raise ValueError("give a version or a timestamp")
+    return current(history.filter(_seen(history, version, timestamp)), keys)
 
 
 def current(history: DataFrame, keys: list[str]) -> DataFrame:
-    return latest(history, keys, ["version"], []).filter("op <> 'delete'").drop(*META)
+    return latest(_changes(history), keys, ["version"], []).filter("op <> 'delete'").drop(*META)
 
 
 def history_log(history: DataFrame) -> DataFrame:
-    """One row per version: when, and how many upserts and deletes."""
-    return history.groupBy("version").agg(
+    """One row per version: when, and how many upserts and deletes.
+
+    Versions that were folded away, the one they were folded into included,
+    are no longer known change by change and left out.
+    """
+    cut = _mark(history, "version")
+    known = history.filter(cut.isNull() | (F.col("version") > cut))
+    return known.groupBy("version").agg(
         F.max("committed_at").alias("committed_at"),
         F.count_if(F.col("op") == "upsert").alias("upserts"),
         F.count_if(F.col("op") == "delete").alias("deletes"),
@@ -161,42 +193,59 @@ def history_log(history: DataFrame) -> DataFrame:
 def restore(history: DataFrame, keys: list[str], version: int, committed_at) -> DataFrame:
     """Append a version that makes the table equal to an earlier one.
 
-    Only differing rows are written, and the earlier versions stay readable.
+    Only differing rows are written, and the earlier versions stay readable;
+    a state that was folded away cannot be restored.  Both states of a key come
+    from one grouping of its changes.
     """
     payload = [c for c in history.columns if c not in META and c not in keys]
-    old = as_of(history, keys, version).withColumn("__in_old", F.lit(True))
-    new = current(history, keys)
-    new = new.withColumnsRenamed({c: f"__n_{c}" for c in new.columns}).withColumn("__in_new", F.lit(True))
-    both = old.join(new, all_of(same(F.col(k), F.col(f"__n_{k}")) for k in keys), "full")
-    gone = F.col("__in_old").isNull()
-    differs = any_of([F.col("__in_new").isNull(), gone, *[~same(F.col(c), F.col(f"__n_{c}")) for c in payload]])
+    change = F.struct(F.col("op"), *[F.col(c) for c in payload])
+    then = _seen(history, version)
+    states = (
+        history.withColumn("__then", then)
+        .filter(F.col("op") != EXPIRED)
+        .groupBy(*keys)
+        .agg(
+            F.max_by(change, "version").alias("new"),
+            F.max_by(change, F.when(F.col("__then"), F.col("version"))).alias("old"),
+        )
+    )
+    in_new = F.col("new.op") != "delete"
+    in_old = F.coalesce(F.col("old.op") != "delete", F.lit(False))
+    differs = any_of([in_old != in_new, *[in_old & ~same(F.col(f"old.{c}"), F.col(f"new.{c}")) for c in payload]])
     last = history.agg(F.max("version")).scalar()
-    changes = both.filter(differs).select(
-        *[F.when(gone, F.col(f"__n_{k}")).otherwise(F.col(k)).alias(k) for k in keys],
-        *[F.when(gone, F.col(f"__n_{c}")).otherwise(F.col(c)).alias(c) for c in payload],
+    back = states.filter(differs).select(
+        *keys,
+        *[F.when(in_old, F.col(f"old.{c}")).otherwise(F.col(f"new.{c}")).alias(c) for c in payload],
         (last + 1).cast(dict(history.dtypes)["version"]).alias("version"),
-        F.when(gone, "delete").otherwise("upsert").alias("op"),
+        F.when(in_old, "upsert").otherwise("delete").alias("op"),
         F.lit(committed_at).cast(dict(history.dtypes)["committed_at"]).alias("committed_at"),
     )
-    return history.unionByName(changes)
+    return history.unionByName(back)
 
 
 def expire_history(
     history: DataFrame, keys: list[str], cutoff: int, now=None, min_age_days: int = 7, force: bool = False
 ) -> DataFrame:
-    """Fold all versions up to ``cutoff`` into the state at ``cutoff``.
+    """Fold all versions up to ``cutoff`` into the state at ``cutoff`` and mark the cut.
 
     Unless forced, versions younger than ``min_age_days`` before ``now`` are
-    protected.  Pass ``first_kept=cutoff`` to ``as_of`` afterwards.
+    protected.  The mark makes ``as_of`` and ``restore`` refuse earlier states.
     """
+    old = history.filter(F.col("version") <= cutoff)
     if not force:
         if now is None:
             raise ValueError("name the present time, or force the expiry")
         young = F.lit(now).cast("timestamp") - F.make_interval(days=F.lit(min_age_days))
-        newest = history.filter(F.col("version") <= cutoff).agg(
-            (F.max(F.col("committed_at").cast("timestamp")) > young).alias("young")
-        )
+        newest = old.agg((F.max(F.col("committed_at").cast("timestamp")) > young).alias("young"))
         if newest.first()["young"]:
             raise ValueError(f"versions up to {cutoff} are younger than {min_age_days} days")
-    old = latest(history.filter(F.col("version") <= cutoff), keys, ["version"], []).filter("op <> 'delete'")
-    return old.unionByName(history.filter(F.col("version") > cutoff))
+    types = dict(history.dtypes)
+    values = {
+        "version": F.lit(cutoff).cast(types["version"]),
+        "op": F.lit(EXPIRED),
+        "committed_at": F.max("committed_at"),
+    }
+    # An older mark is among the rows folded now.
+    mark = old.agg(*[values.get(c, F.lit(None).cast(types[c])).alias(c) for c in history.columns])
+    state = latest(_changes(old), keys, ["version"], []).filter("op <> 'delete'")
+    return state.unionByName(history.filter(F.col("version") > cutoff)).unionByName(mark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import uuid
 
 from pyspark.sql import functions as F
@@ -82,6 +84,28 @@ def replace_slice_query(t):
     )
 
 
+@query("""
+    SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS orders,
+           CASE WHEN o_orderdate < DATE '1995-01-03' THEN 1.0 * count(*) ELSE round(sum(o_totalprice), 2) END AS total
+    FROM orders WHERE o_orderdate < DATE '1995-01-20' AND o_orderdate <> DATE '1995-01-03'
+    GROUP BY o_orderdate
+""")
+def replace_slice_dates(t):
+    """Daily slices: the first two days replaced (named as text, then as dates), the third emptied."""
+    path = scratch_path(t.spark, "days")
+    day = F.col("o_orderdate").cast("date").alias("day")
+    orders = t.orders.filter("o_orderdate < DATE'1995-01-20'").select("o_orderkey", "o_totalprice", day)
+    write(orders, path, partition_by=["day"])
+    fixed = orders.filter("day < DATE'1995-01-03'").withColumn("o_totalprice", F.lit(1.0))
+    replace_slice(fixed, path, "day", ["1995-01-01", "1995-01-02", "1995-01-03"])
+    replace_slice(fixed, path, "day", [dt.date(1995, 1, d) for d in (1, 2, 3)])
+    return (
+        read_parquet(t.spark, path)
+        .groupBy(F.col("day").cast("string").alias("day"))
+        .agg(F.count(F.lit(1)).alias("orders"), money_sum("o_totalprice").alias("total"))
+    )
+
+
 @query("""
     SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
 """)

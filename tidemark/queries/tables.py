@@ -173,7 +173,21 @@ def restore_version(t):
     UNION ALL SELECT id, balance, version, op, committed_at FROM h WHERE version > 2
 """, name="expire_history")
 def expire_history_query(t):
-    return expire_history(_history(t), ["id"], 2, now=dt.datetime(2024, 2, 1))
+    return expire_history(_history(t), ["id"], 2, now=dt.datetime(2024, 2, 1)).filter("op <> 'expired'")
+
+
+@query(_HISTORY + """
+    , old AS (SELECT id, balance FROM s WHERE n = 2 AND op <> 'delete'),
+      new AS (SELECT id, balance FROM s WHERE n = 3 AND op <> 'delete')
+    SELECT 'now' AS state, id, balance FROM old
+    UNION ALL SELECT 'version 3', id, balance FROM new
+""")
+def restore_after_expire(t):
+    """Expire up to version 2, undo version 3, and read both the restored state and version 3."""
+    kept = expire_history(_history(t), ["id"], 2, now=dt.datetime(2024, 2, 1))
+    back = restore(kept, ["id"], 2, dt.datetime(2024, 2, 2))
+    now = as_of(back, ["id"], version=4).select(F.lit("now").alias("state"), "id", "balance")
+    return now.unionByName(as_of(back, ["id"], version=3).select(F.lit("version 3").alias("state"), "id", "balance"))
 
 
 def _dimension(t):

@@ -37,9 +37,13 @@ class OutsideSliceError(ValueError):
 ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(i) for i in range(1, 32)}
 
 
+#: Folder of the slice without a value (fixed name).
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def slice_folder(path: str, column: str, value) -> str:
-    """Folder holding one partition value."""
-    text = "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in str(value))
+    """Folder holding one partition value, given as Spark writes it; None is the slice of NULLs."""
+    text = NO_VALUE if value is None else "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in str(value))
     return f"{path.rstrip('/')}/{column}={text}"
 
 
@@ -55,18 +59,37 @@ def write_slice(df: DataFrame, path: str, column: str, value, partition_by: list
     writer.parquet(slice_folder(path, column, value))
 
 
+def _as_written(df: DataFrame, column: str, values: list) -> list[str | None]:
+    """The values in the column's type, as Spark writes them into folder names."""
+    kind = df.schema[column].dataType
+    typed = [F.lit(v).try_cast(kind).cast("string").alias(f"v{i}") for i, v in enumerate(values)]
+    found = list(df.sparkSession.range(1).select(*typed).first()) if values else []
+    lost = [v for v, text in zip(values, found) if v is not None and text is None]
+    if lost:
+        raise ValueError(f"{lost} cannot be read as {kind.simpleString()}, the type of {column}")
+    return found
+
+
 def replace_slice(df: DataFrame, path: str, column: str, values: list) -> None:
     """Replace exactly the named slices of a partitioned table; safe to repeat.
 
-    Every row must lie in ``values``.  One dynamic overwrite replaces all
+    Every row must lie in ``values``, which may be given in the column's type or
+    as text; None names the slice of NULLs.  One dynamic overwrite replaces all
     slices that receive rows; it would leave the others as they are, so slices
     that come out empty are emptied one by one.
     """
-    inside = F.when(F.col(column).isin(values), F.col(column))
+    wanted = set(_as_written(df, column, values))
+    text = F.col(column).cast("string")
+    known = text.isin([v for v in wanted if v is not None])
+    inside = F.when(text.isNull(), F.lit(None in wanted)).otherwise(known)
     # At most len(values) + 1 rows come back.
-    counts = {r[0]: r[1] for r in df.groupBy(inside).agg(F.count(F.lit(1))).collect()}
-    if None in counts:
-        raise OutsideSliceError(f"{counts[None]} row(s) outside {column} in {values}")
+    counts = {
+        (r["inside"], r["text"]): r["n"]
+        for r in df.groupBy(inside.alias("inside"), F.when(inside, text).alias("text")).agg(F.count(F.lit(1)).alias("n")).collect()
+    }
+    outside = sum(n for (ok, _), n in counts.items() if not ok)
+    if outside:
+        raise OutsideSliceError(f"{outside} row(s) outside {column} in {values}")
     if counts:
         (
             df.write.mode("overwrite")
@@ -74,9 +97,8 @@ def replace_slice(df: DataFrame, path: str, column: str, values: list) -> None:
             .partitionBy(column)
             .parquet(path)
         )
-    for value in values:
-        if value not in counts:
-            write_slice(df.filter(F.lit(False)).drop(column), path, column, value)
+    for value in wanted - {text for _, text in counts}:
+        write_slice(df.filter(F.lit(False)).drop(column), path, column, value)
 
 
 def compact(
