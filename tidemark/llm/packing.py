@@ -20,11 +20,28 @@ from tidemark.llm.worker import remembered
 #: Texts of these characters only are encoded word by word (see ``WordEncoder``).
 PLAIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
 #: Words kept per Python worker; beyond it the memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 #: The bucket stands above this bit of a sequence id.
 BUCKET_SHIFT = 58
 
 
+class KnownWords(dict):
+    """Ids of words; those of a new word are worked out when it is looked up."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        # The mark behind a word is a token of its own, so the word is looked up without it.
+        if len(word) > 1 and word[-1] in ".,|" and word[-2].isalpha():
+            ids = self[word[:-1]] + self[word[-1]]
+        else:
+            ids = self.encode(word)
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Token ids of whole texts, as packed little-endian unsigned 32-bit numbers.
 
@@ -40,7 +57,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.words: dict[str, bytes] = {}
+        self.words = KnownWords(self.whole)
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -49,13 +66,9 @@ class WordEncoder:
     def __call__(self, text: str) -> bytes:
         if not PLAIN.fullmatch(text) or self.special.search(text):
             return self.whole(text)
-        words = text.lower().split()
-        known = self.words
-        if len(known) > REMEMBERED:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = self.whole(word)
-        return b"".join(map(known.__getitem__, words))
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        return b"".join(map(self.words.__getitem__, text.lower().split()))
 
 
 def cut(count: int, longest: int) -> list[tuple[int, int]]:
