@@ -156,11 +156,50 @@ def test_leading_order_types(spark, kind):
     assert rows(got) == rows(want)
 
 
-def test_order_that_cannot_be_cut(spark):
-    df = spark.range(30).select("id", F.when(F.col("id") >= 0, "k").alias("key"), F.array("id").alias("at"))
-    with pytest.raises(ValueError, match="cannot be cut"):
-        ops.ranks(df, ["key"], ["at"], [], Split(0.5, 10, 4))
-    assert ops.ranks(df, ["key"], ["at"], []).agg(F.max("rank")).first()[0] == 30
+@pytest.mark.parametrize("kind", ["int", "decimal(12,2)", "string", "binary", "array", "struct", "boolean"])
+def test_one_result_whatever_the_size(spark, kind):
+    """Rows and schema of a split key equal those of a plain window for every type that sorts."""
+    number = F.col("id") * 37 % 100
+    text = F.concat(F.lit("a long shared prefix "), number.cast("string"))
+    at = {
+        "int": number.cast("int"), "decimal(12,2)": number.cast("decimal(12,2)"), "string": text,
+        "binary": text.cast("binary"), "array": F.array(number, "id"), "struct": F.struct(number, F.col("id") % 3),
+        "boolean": number % 2 == 0,
+    }[kind]
+    df = spark.range(300).select(
+        "id", F.lit("all").alias("key"), at.alias("at"), F.col("id").cast("decimal(18,2)").alias("money")
+    )
+    split = Split(0.1, 20, 16)
+    calls = [
+        lambda how: ops.ranks(df, ["key"], ["at"], ["id"], how),
+        lambda how: ops.running(df, ["key"], ["at"], {"t": "money", "n": "id"}, ["id"], how),
+        lambda how: ops.running(df, ["key"], ["at"], {"t": "money"}, split=how),
+        lambda how: ops.lag_lead(df, ["key"], ["-at"], ["id"], {"p": ("id", 1, None)}, {"n": ("id", 2, None)}, how),
+        lambda how: ops.with_totals(df, ["key"], {"s": F.sum("money")}, how),
+        lambda how: ops.within(df, ["key"], "id", 7, {"s": "money"}, how),
+    ]
+    for call in calls:
+        plain, cut = call(Split()), call(split)
+        assert plain.schema.simpleString() == cut.schema.simpleString()
+        assert rows(plain) == rows(cut)
+    if kind not in ("boolean",):
+        sizes = [r["count"] for r in ops.chunked(df, ["key"], ["at", "id"], split).hot.groupBy("__chunk").count().collect()]
+        assert max(sizes) <= 60
+
+
+def test_neighbours_of_one_crowded_day_are_spread(spark):
+    df = spark.range(2000).select("id", F.when(F.col("id") >= 0, 1).alias("key"), F.lit(5).alias("day"))
+    split = Split(0.1, 100, 64)
+    sizes = [r["count"] for r in ops.chunked(df, ["key"], ["day", "id"], split).hot.groupBy("__chunk").count().collect()]
+    assert max(sizes) < 400
+    got = ops.lag_lead(df, ["key"], ["day"], ["id"], {"p": ("id", 1, None)}, split=split)
+    assert got.filter("p = id - 1").count() == 1999
+
+
+def test_full_width_window_does_not_multiply_rows(spark):
+    df = spark.range(4000).select("id", F.when(F.col("id") >= 0, 1).alias("key"), F.lit(1).alias("one"))
+    got = ops.within(df, ["key"], "id", 10_000, {"n": "one"}, Split(0.1, 100, 64))
+    assert "explode" not in plan_of(got) and got.agg(F.max("n"), F.count("n")).first()[:] == (4000, 4000)
 
 
 @pytest.mark.parametrize("lead", ["at", "-at"])

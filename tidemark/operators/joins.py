@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import all_of, same
@@ -64,20 +64,41 @@ def range_join(
 ) -> DataFrame:
     """Match each point with the ranges ``low <= point < high`` holding it.
 
-    A range condition alone would compare every pair.  Each range is listed
-    under every cell of ``width`` it touches and each point under its own cell,
-    so the pair meets through an equality on the cell.
+    A range condition alone would compare every pair.  Ranges go to grids of
+    cells twice as wide from level to level, each to the first level whose
+    cells are as long as it is: there it touches two cells at most.  A point is
+    looked up in its own cell of every level in use.  ``width`` is the cell
+    width of the first level, a guess at the length of short ranges.
     """
-    def cell(c: Column) -> Column:
-        return F.floor(c / F.lit(width)).cast("bigint")
-
-    listed = ranges.filter(F.col(low) < F.col(high)).withColumn(
-        "__cell", F.explode(F.sequence(cell(F.col(low)), cell(F.col(high))))
-    ).withColumnRenamed("__cell", "__range_cell")
-    placed = points.withColumn("__point", point).withColumn("__cell", cell(F.col("__point")))
+    if how not in ("inner", "left"):
+        raise ValueError("a range join is inner or left")
+
+    def cell(value: Column, level: Column) -> Column:
+        return F.floor(value / (F.lit(float(width)) * F.pow(F.lit(2.0), level))).cast("bigint")
+
+    length = (F.col(high) - F.col(low)).cast("double")
+    level = F.greatest(F.ceil(F.log2(length / F.lit(float(width)))), F.lit(0)).cast("int")
+    levelled = ranges.filter(F.col(low) < F.col(high)).withColumn("__range_level", level)
+    first, last = (cell(F.col(c), F.col("__range_level")) for c in (low, high))
+    listed = levelled.withColumn("__range_cell", F.explode(F.sequence(first, last)))
+    # A few dozen numbers at most, as lengths are numbers.
+    levels = levelled.agg(F.sort_array(F.collect_set("__range_level"))).scalar()
+    placed = points.withColumn("__point", point)
+    if how == "left":
+        placed = placed.withColumn("__row", F.monotonically_increasing_id())
+    spread = placed.withColumn("__level", F.explode_outer(levels))
     condition = (
-        (F.col("__cell") == F.col("__range_cell"))
+        (F.col("__level") == F.col("__range_level"))
+        & (cell(F.col("__point"), F.col("__level")) == F.col("__range_cell"))
         & (F.col("__point") >= F.col(low))
         & (F.col("__point") < F.col(high))
     )
-    return placed.join(listed, condition, how).drop("__cell", "__range_cell", "__point")
+    joined = spread.join(listed, condition, how)
+    if how == "left":
+        # Of the levels without a match only the first stays, and only if no level has one.
+        hit = F.col("__range_cell").isNotNull()
+        kept = Window.partitionBy("__row")
+        joined = joined.withColumn("__hits", F.count_if(hit).over(kept))
+        lowest = F.coalesce(F.col("__level") == F.get(levels, F.lit(0)), F.lit(True))
+        joined = joined.filter(hit | ((F.col("__hits") == 0) & lowest))
+    return joined.drop("__level", "__range_level", "__range_cell", "__point", "__row", "__hits")

@@ -34,7 +34,6 @@ from tidemark.operators.skew import heavy_hashes, settled
 CHUNK = "__chunk"
 BOUNDS = "__bounds"
 FINER = "__finer"
-MEASURABLE = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal", "date", "timestamp")
 
 
 @dataclass(frozen=True)
@@ -88,42 +87,38 @@ class Chunked:
         return Window.partitionBy(*(self.by if self.hot is None else self.keys)).orderBy(*sort_columns(order))
 
 
-def _measure(df: DataFrame, name: str) -> tuple[Column, bool] | None:
-    """A measurable stand-in that sorts like the column, and whether it tells all values apart."""
-    kind = dict(df.dtypes)[name]
-    if kind.startswith(MEASURABLE):
-        return F.col(name), True
-    if kind == "boolean":
-        return F.col(name).cast("int"), True
-    if kind == "string":
-        # The first seven bytes as a number; text sorts by bytes.
-        digits = F.rpad(F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(digits, 16, 10).cast("bigint"), False
-    return None
+#: Sampled values per chunk; more make chunks more even.
+SAMPLED = 32
 
 
 def _cuts(
-    values: DataFrame, hashes: dict[int, int], total: int, split: Split, most: int
+    values: DataFrame, hashes: dict[int, int], split: Split, most: int
 ) -> tuple[DataFrame, int] | None:
-    """Cut points per hot group of ``values`` (columns ``__h`` and ``__v``); None when all groups fit a task."""
+    """Cut points per hot group of ``values`` (columns ``__h`` and ``__v``); None when all groups fit a task.
+
+    Any cut points give right results, so a sample of the values will do, sorted
+    and read at even steps.  Every type that can be sorted can be cut.
+    """
     pieces = min(split.chunks, math.ceil(max(hashes.values()) / split.rows), most // len(hashes)) if hashes else 1
     if pieces < 2:
         return None
-    values = values.filter(F.col("__h").isin(list(hashes)))
-    # Any cut points give right results, so a sample of the values will do for
-    # finding them; a thousand per chunk keep the chunks even.
-    enough = 1000 * pieces / (0.5 * split.share * total)
-    if enough < 0.5:
-        values = values.sample(enough, seed=7)
-    cuts = [i / pieces for i in range(1, pieces)]
-    return (
-        settled(
-            values.groupBy("__h")
-            .agg(F.array_distinct(F.percentile_approx("__v", cuts, 10 * pieces)).alias("cuts"))
-            .select("__h", F.coalesce("cuts", F.array()).alias("cuts"))
-        ),
-        pieces,
-    )
+    values = values.filter(F.col("__h").isin(list(hashes)) & F.col("__v").isNotNull())
+    share = SAMPLED * pieces / max(hashes.values())
+    if share < 0.5:
+        values = values.sample(share, seed=7)
+    found = F.sort_array(F.collect_list("__v"))
+    steps = F.sequence(F.lit(1), F.lit(pieces - 1))
+    at = F.transform(steps, lambda i: F.get("found", F.floor(i * F.size("found") / pieces).cast("int")))
+    picked = values.groupBy("__h").agg(found.alias("found")).select("__h", F.array_distinct(at).alias("cuts"))
+    return settled(picked), pieces
+
+
+def _pinned(hashed: Column) -> Column:
+    """The same value, but one the optimiser does not take for a constant.
+
+    Where all keys are constants it would turn an equality join into a product.
+    """
+    return hashed + F.spark_partition_id() * F.lit(0).cast("bigint")
 
 
 def _passed(bounds: Column, value: Column, pieces: int) -> Column:
@@ -161,22 +156,20 @@ def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_b
     if not hashes or max(hashes.values()) <= split.rows:
         return plain
     lead, *rest = bare(order)
-    measured = _measure(df, lead)
-    if measured is None:
-        raise ValueError(f"a key is too large for one task and {lead} cannot be cut into ranges")
-    value, exact = measured
-    own = F.xxhash64(*by)
-    found = _cuts(df.select(own.alias("__h"), value.alias("__v")), hashes, total, split, MAX_CHUNKS // 4)
+    value = F.col(lead)
+    own = _pinned(F.xxhash64(*by))
+    found = _cuts(df.select(own.alias("__h"), value.alias("__v")), hashes, split, MAX_CHUNKS // 4)
     if found is None:
         return plain
     bounds, pieces = found
     place, finer = _place(F.col("__passed"), value, order[0].startswith("-")), None
-    if exact and rest and (second := _measure(df, rest[0])) is not None:
-        peers = F.xxhash64(*by, lead)
+    if rest:
+        second = F.col(rest[0])
+        peers = _pinned(F.xxhash64(*by, lead))
         crowded, _ = heavy_hashes(df.select(*by, lead), [*by, lead], split.share)
-        finer = _cuts(df.select(peers.alias("__h"), second[0].alias("__v")), crowded, total, split, MAX_CHUNKS // 2)
+        finer = _cuts(df.select(peers.alias("__h"), second.alias("__v")), crowded, split, MAX_CHUNKS // 2)
     if finer is not None:
-        passed = F.coalesce(_passed(F.col(FINER), second[0], finer[1]), F.lit(0))
+        passed = F.coalesce(_passed(F.col(FINER), second, finer[1]), F.lit(0))
         inner = F.coalesce(F.size(FINER), F.lit(0)) - passed if order[1].startswith("-") else passed
         alone = F.col(FINER).isNotNull() & (F.pmod(place, F.lit(2)) == 0)
         place = place * (finer[1] + 1) + F.when(alone, inner).otherwise(F.lit(0))
@@ -220,7 +213,10 @@ def _parted(df: DataFrame, by: list[str], split: Split) -> tuple[DataFrame, Data
 def _join_values(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
     """Put per-value results back on the rows; NULL keys match."""
     renamed = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
-    return df.join(renamed, _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
+    renamed = renamed.withColumn("__k", _pinned(F.xxhash64(*[f"__k_{k}" for k in keys])))
+    placed = df.withColumn("__l", _pinned(F.xxhash64(*keys)))
+    on = (F.col("__l") == F.col("__k")) & _matches(keys, "__k_")
+    return placed.join(renamed, on, "left").drop("__l", "__k", *[f"__k_{k}" for k in keys])
 
 
 def _running_rows(df: DataFrame, by: list[str], order: list[str], sums: list[str], split: Split) -> DataFrame:
@@ -258,8 +254,14 @@ def running(
     without, it is the default RANGE frame, where peers share the total.
     """
     _check(by, order)
+    # A total of totals is wider than a total: whatever is cut, the result has the type of a plain sum.
+    plain = df.agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()]).dtypes
+    typed = {n: F.col(n).cast(kind) for n, kind in plain}
     if tie:
-        return _running_rows(df.withColumns({n: as_col(c) for n, c in sums.items()}), by, order + tie, list(sums), split)
+        found = _running_rows(
+            df.withColumns({n: as_col(c) for n, c in sums.items()}), by, order + tie, list(sums), split
+        )
+        return found.withColumns(typed)
     peers = Window.partitionBy(*by).orderBy(*sort_columns(order))
     parts = _parted(df, by, split)
     if parts is None:
@@ -267,7 +269,7 @@ def running(
     cold, hot = parts
     keys = list(dict.fromkeys([*by, *bare(order)]))
     values = hot.groupBy(*keys).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
-    warm = _join_values(hot, _running_rows(values, by, order, list(sums), split), keys)
+    warm = _join_values(hot, _running_rows(values, by, order, list(sums), split), keys).withColumns(typed)
     return cold.withColumns({n: F.sum(as_col(c)).over(peers) for n, c in sums.items()}).unionByName(warm)
 
 
@@ -278,7 +280,7 @@ def ranks(
     tie: list[str],
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
-    """Add ``row_number``, ``rank`` and ``dense_rank``.
+    """Add ``row_number``, ``rank`` and ``dense_rank``, always as bigint: a hot key outgrows int.
 
     ``order`` decides peers; ``tie`` makes ``row_number`` reproducible.
     """
@@ -286,9 +288,9 @@ def ranks(
     peers = Window.partitionBy(*by).orderBy(*sort_columns(order))
     lined = Window.partitionBy(*by).orderBy(*sort_columns(order + tie))
     plain = {
-        "row_number": F.row_number().over(lined),
-        "rank": F.rank().over(peers),
-        "dense_rank": F.dense_rank().over(peers),
+        "row_number": F.row_number().over(lined).cast("bigint"),
+        "rank": F.rank().over(peers).cast("bigint"),
+        "dense_rank": F.dense_rank().over(peers).cast("bigint"),
     }
     parts = _parted(df, by, split)
     if parts is None:
@@ -302,8 +304,7 @@ def ranks(
     placed = _running_rows(counts, by, order, ["rank", "dense_rank"], split)
     placed = placed.withColumn("rank", F.col("rank") - F.col("__n") + 1).drop("__n")
     warm = _join_values(numbered, placed, keys)
-    whole = {n: F.col(n).cast("bigint") for n in plain}
-    return cold.withColumns(plain).withColumns(whole).unionByName(warm.withColumns(whole))
+    return cold.withColumns(plain).unionByName(warm.withColumns({n: F.col(n).cast("bigint") for n in plain}))
 
 
 def _neighbours(rows: Chunked, order: list[str], count: int, after: bool) -> DataFrame:
@@ -352,7 +353,7 @@ def neighbour_frame(
     ``columns`` receives the ordered window and returns name -> Column.
     """
     full = order + tie
-    rows = chunked(df, by, order, split)
+    rows = chunked(df, by, full, split)
     if rows.hot is None:
         return rows.df.withColumns(columns(rows.window(full))).drop(CHUNK)
     lined = rows.df.withColumn("__own", F.lit(True))
@@ -428,30 +429,49 @@ def within(
 ) -> DataFrame:
     """Sums over rows whose integer ``order`` value lies in ``[current - width, current]``.
 
-    The result depends on the order value only, so rows are first combined per
-    (key, value).  A hot key's combined rows are lent to every later chunk
-    whose first rows reach back that far.
+    The running total up to a value, less the running total before the value
+    ``width`` below it: each combined (key, value) is two points on one line,
+    whatever the width.  Whole numbers and decimals are exact; floats carry the
+    rounding of a difference.  Rows without an order value share one window.
     """
-    totals = df.groupBy(*by, order).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
-    rows = chunked(totals, by, [order], split, keep_bounds=True)
-    if rows.hot is not None:
-        until = F.col(order) + F.lit(width)
-        reach = _place(F.col("__passed"), until, False)
-        to = F.when(F.col(CHUNK) < 0, F.array(CHUNK)).otherwise(F.sequence(F.col(CHUNK), reach))
-        lent = (
-            rows.df.withColumns({"__home": F.col(CHUNK), "__passed": _passed(F.col(BOUNDS), until, rows.pieces)})
-            .withColumn(CHUNK, F.explode(to))
-            .drop(BOUNDS, "__passed")
-        )
-    else:
-        lent = rows.df.withColumn("__home", F.col(CHUNK))
-    frame = rows.window([order]).rangeBetween(-width, Window.currentRow)
-    found = (
-        lent.withColumns({n: F.sum(n).over(frame) for n in sums})
-        .filter(F.col(CHUNK) == F.col("__home"))
-        .drop(CHUNK, "__home")
+    plain = df.agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()]).dtypes
+    totals = df.groupBy(*by, order).agg(
+        *[F.sum(as_col(c)).alias(n) for n, c in sums.items()],
+        *[F.count(as_col(c)).alias(f"__c_{n}") for n, c in sums.items()],
+    )
+    names = [*sums, *[f"__c_{n}" for n in sums]]
+    kind = dict(df.dtypes)[order]
+    ends = totals.select(*by, F.col(order).alias("__ref"), F.col(order).alias("__at"), F.lit(1).alias("__side"), *names)
+    starts = ends.filter(F.col("__ref").isNotNull()).select(
+        *by,
+        "__ref",
+        (F.col("__at") - F.lit(width)).cast(kind).alias("__at"),
+        F.lit(0).alias("__side"),
+        *[F.lit(None).cast(t).alias(n) for n, t in ends.select(*names).dtypes],
     )
-    return _join_values(df, found, [*by, order])
+    line = _running_rows(ends.unionByName(starts), by, ["__at", "__side"], names, split)
+    side = F.col("__side")
+    found = line.groupBy(*by, "__ref").agg(
+        *[F.max(F.when(side == 1, F.col(n))).alias(f"__u_{n}") for n in names],
+        *[F.max(F.when(side == 0, F.col(n))).alias(f"__b_{n}") for n in names],
+    )
+    # NULL order values come first on the line; their own sum is not part of other windows.
+    none = totals.filter(F.col(order).isNull()).select(*by, *[F.col(n).alias(f"__n_{n}") for n in names])
+    found = _join_values(found, none, by) if _nullable(df, order) else found.withColumns(
+        {f"__n_{n}": F.lit(None).cast("bigint") for n in names}
+    )
+    numbers = {}
+    for n, t in plain:
+        def inside(name):
+            before = F.coalesce(F.col(f"__b_{name}"), F.when(F.col("__ref").isNotNull(), F.col(f"__n_{name}")), F.lit(0))
+            return F.coalesce(F.col(f"__u_{name}"), F.lit(0)) - before
+        numbers[n] = F.when(inside(f"__c_{n}") > 0, inside(n)).cast(t)
+    found = found.select(*by, F.col("__ref").alias(order), *[c.alias(n) for n, c in numbers.items()])
+    return _join_values(df.drop(*sums), found, [*by, order])
+
+
+def _nullable(df: DataFrame, name: str) -> bool:
+    return df.schema[name].nullable
 
 
 def with_totals(
@@ -459,20 +479,14 @@ def with_totals(
 ) -> DataFrame:
     """Put whole-key aggregates on each row.
 
-    Ordinary keys use one window.  Hot keys are combined map-side into one row
-    each and handed out by broadcast, and their rows are never gathered: their
-    part is joined where it was read.
+    Keys are combined map-side into one row each and joined back, so no key's
+    rows are gathered; the planner broadcasts few keys and splits a hot one.
+    ``split`` is not needed any more and kept for callers that pass it.
     """
     if not by:
         raise ValueError("name the partition columns")
-    window = Window.partitionBy(*by)
-    plain = {n: c.over(window) for n, c in aggs.items()}
-    parts = _parted(df, by, split)
-    if parts is None:
-        return df.withColumns(plain)
-    cold, hot = parts
-    totals = hot.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
-    return cold.withColumns(plain).unionByName(_attach(hot.drop(*aggs), totals, by))
+    totals = df.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()])
+    return _join_values(df.drop(*aggs), totals, by)
 
 
 def zscore(df: DataFrame, by: list[str], value: str, out: str = "z", split: Split = DEFAULT_SPLIT) -> DataFrame:

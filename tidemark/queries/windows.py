@@ -21,20 +21,16 @@ from tidemark.operators.windows import (
 from tidemark.queries._registry import query
 
 
-def _ints(df, *names):
-    return df.withColumns({n: F.col(n).cast("int") for n in names})
-
-
 @query("""
     SELECT p_brand, p_partkey, p_size,
-           CAST(row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS INTEGER) AS row_number,
-           CAST(rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS INTEGER) AS rank,
-           CAST(dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS INTEGER) AS dense_rank
+           row_number() OVER (PARTITION BY p_brand ORDER BY p_size DESC, p_partkey) AS row_number,
+           rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS rank,
+           dense_rank() OVER (PARTITION BY p_brand ORDER BY p_size DESC) AS dense_rank
     FROM part
 """)
 def rank_trio(t):
     parts = t.part.select("p_brand", "p_partkey", "p_size")
-    return _ints(ranks(parts, ["p_brand"], ["-p_size"], ["p_partkey"]), "row_number", "rank", "dense_rank")
+    return ranks(parts, ["p_brand"], ["-p_size"], ["p_partkey"])
 
 
 def _orders(t):
@@ -223,7 +219,7 @@ def zscore_native(t):
 
 @query("""
     SELECT event_id, user_id, CASE WHEN v IS NOT NULL THEN
-             CAST(rank() OVER (PARTITION BY user_id ORDER BY v DESC NULLS LAST) AS INTEGER) END AS position
+             rank() OVER (PARTITION BY user_id ORDER BY v DESC NULLS LAST) END AS position
     FROM (SELECT event_id, user_id, CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS v FROM events)
 """)
 def rank_nullable(t):
@@ -232,5 +228,5 @@ def rank_nullable(t):
     events = t.events.select("event_id", "user_id", value.alias("v"))
     found = ranks(events, ["user_id"], ["-v"], ["event_id"])
     return found.select(
-        "event_id", "user_id", F.when(F.col("v").isNotNull(), F.col("rank").cast("int")).alias("position")
+        "event_id", "user_id", F.when(F.col("v").isNotNull(), F.col("rank")).alias("position")
     )
