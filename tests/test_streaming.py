@@ -13,7 +13,7 @@ from tests.fixtures import ORDERS, orders, rows, staff, write_csv, write_lines
 from tidemark import schemas
 from tidemark.plans import order_monitor
 from tidemark.streaming.batches import batch_slice_writer
-from tidemark.streaming.runs import cached_batch, progress_report, run_available, start
+from tidemark.streaming.runs import NotFinishedError, cached_batch, progress_report, run_available, start
 from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.windows import windowed
 
@@ -211,3 +211,18 @@ def test_stream_table_reads_a_file_or_a_folder(spark, tmp_path):
     part = next((tmp_path / "t.parquet").glob("part-*.parquet"))
     run_available(stream_table(spark, str(part)), str(tmp_path / "c2"), memory="file_rows")
     assert spark.table("file_rows").count() == 10
+
+
+def test_a_drain_that_runs_out_of_time_raises(spark, tmp_path):
+    import time
+
+    (tmp_path / "in").mkdir()
+    spark.range(4).repartition(4).write.mode("overwrite").parquet(str(tmp_path / "in"))
+    stream = stream_files(spark, str(tmp_path / "in"), spark.range(1).schema, "parquet", 1)
+    with pytest.raises(NotFinishedError):
+        run_available(stream, str(tmp_path / "state"), timeout=1, batch=lambda df, i: time.sleep(3))
+    assert not [q for q in spark.streams.active if q.isActive]
+    # The next run goes on and is whole.
+    seen = []
+    run_available(stream, str(tmp_path / "state"), timeout=120, batch=lambda df, i: seen.extend(r["id"] for r in df.collect()))
+    assert set(seen) <= {0, 1, 2, 3} and seen

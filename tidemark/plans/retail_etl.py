@@ -1,4 +1,4 @@
-"""Retail sales: raw orders -> quarantine -> enriched orders -> totals."""
+"""Retail sales: raw orders -> bronze -> quarantine -> enriched orders -> totals."""
 
 from __future__ import annotations
 
@@ -21,6 +21,7 @@ from tidemark.operators.quality import (
     tag,
 )
 from tidemark.sources.files import read_csv
+from tidemark.sources.sinks import write_slice
 
 
 @dataclass(frozen=True)
@@ -81,24 +82,50 @@ def build(
     return Layers(orders, dead, good.join(accounts, on), gold)
 
 
-def run(spark: SparkSession, orders_csv: str, staff_csv: str, out: str) -> Layers:
-    """Read landing files, write bronze, silver, dead letters and the three golds."""
-    read_csv(spark, orders_csv, schemas.landing_orders()).write.mode("overwrite").parquet(f"{out}/bronze_orders")
-    read_csv(spark, staff_csv, schemas.staff()).write.mode("overwrite").parquet(f"{out}/bronze_staff")
-    bronze = spark.read.parquet(f"{out}/bronze_orders")
-    people = spark.read.parquet(f"{out}/bronze_staff")
+def append_bronze(df: DataFrame, path: str, batch: str) -> None:
+    """Append a batch as it came, with the batch it came in and when; a re-send adds rows, nothing is lost.
 
-    # Rows are judged once; the two outcomes are partitions of one table.
-    refs = [Ref("unknown_emp_id", "emp_id", people, "emp_id")]
-    judged = tag(bronze, [positive("amount")], refs).withColumn("is_dead", F.size(REASONS) > 0)
-    judged.write.mode("overwrite").partitionBy("is_dead").parquet(f"{out}/judged_orders")
-    good, dead = sides(spark.read.parquet(f"{out}/judged_orders"))
+    Running the same batch again after a failure replaces only what it wrote.
+    """
+    stamped = df.withColumn("ingested_at", F.current_timestamp())
+    write_slice(stamped, path, "ingest_batch", batch)
 
-    good.join(people.select("emp_id", "name", "department"), "emp_id").write.mode("overwrite").parquet(
-        f"{out}/silver_orders"
-    )
-    silver = spark.read.parquet(f"{out}/silver_orders")
-    golds = {"region": ["region"], "department": ["department"], "employee": ["emp_id", "name"]}
+
+def run_tables(
+    spark: SparkSession,
+    orders: DataFrame,
+    accounts: DataFrame,
+    out: str,
+    rules: list[Rule],
+    refs: list[Ref],
+    on: list[str],
+    golds: dict[str, list[str]],
+    amount: str = "amount",
+    batch: str = "0",
+) -> Layers:
+    """Append a batch to bronze, then write silver, dead letters and the golds from all of bronze.
+
+    Rows are judged once; the two outcomes are partitions of one table.  The
+    accounts are joined once, into silver, and the golds read silver.
+    """
+    append_bronze(orders, f"{out}/bronze", batch)
+    bronze = spark.read.parquet(f"{out}/bronze")
+    judged = tag(bronze, rules, refs).withColumn("is_dead", F.size(REASONS) > 0)
+    judged.write.mode("overwrite").partitionBy("is_dead").parquet(f"{out}/judged")
+    good, dead = sides(spark.read.parquet(f"{out}/judged"))
+    good.join(accounts, on).write.mode("overwrite").parquet(f"{out}/silver")
+    silver = spark.read.parquet(f"{out}/silver")
     for name, by in golds.items():
-        totals(silver, by).write.mode("overwrite").parquet(f"{out}/gold_{name}")
+        totals(silver, by, amount).write.mode("overwrite").parquet(f"{out}/gold_{name}")
     return Layers(bronze, dead, silver, {name: spark.read.parquet(f"{out}/gold_{name}") for name in golds})
+
+
+def run(spark: SparkSession, orders_csv: str, staff_csv: str, out: str, batch: str = "0") -> Layers:
+    """The job over landing files of orders and staff."""
+    read_csv(spark, staff_csv, schemas.staff()).write.mode("overwrite").parquet(f"{out}/bronze_staff")
+    people = spark.read.parquet(f"{out}/bronze_staff").select("emp_id", "name", "department")
+    return run_tables(
+        spark, read_csv(spark, orders_csv, schemas.landing_orders()), people, out, [positive("amount")],
+        [Ref("unknown_emp_id", "emp_id", people, "emp_id")], ["emp_id"],
+        {"region": ["region"], "department": ["department"], "employee": ["emp_id", "name"]}, batch=batch,
+    )

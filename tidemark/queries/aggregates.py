@@ -141,6 +141,15 @@ def agg_empty_group(t):
     return t.part.filter("p_size > 1000").groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
 
 
+@query("""
+    SELECT p_brand, count(*) AS parts FROM part WHERE p_size > 48 AND p_brand < 'Brand#3' GROUP BY 1
+""")
+def agg_some_groups(t):
+    """The twin with rows: groups without any are missing, the others counted."""
+    some = t.part.filter((F.col("p_size") > 48) & (F.col("p_brand") < "Brand#3"))
+    return some.groupBy("p_brand").agg(F.count(F.lit(1)).alias("parts"))
+
+
 @query("""
     WITH per AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1),
          seg AS (SELECT c_mktsegment, CAST(sum(n) AS DOUBLE) / count(*) AS avg_orders

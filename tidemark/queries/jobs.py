@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import money_sum
 from tidemark.operators.quality import Ref, Rule, dead_letter_rate, profile, reconcile, split_bad, tag
 from tidemark.operators.windows import latest
 from tidemark.plans import customer_360 as c360
 from tidemark.plans import retail_etl
 from tidemark.queries._registry import query
+from tidemark.session import scratch_path
 
 _RULES_SQL = """
     WITH judged AS (
@@ -117,6 +119,57 @@ def gold_customer(t):
     return _gold(t, ["o_custkey", "name"])
 
 
+@query("""
+    WITH judged AS (
+      SELECT o_orderkey, o_custkey, o_totalprice, c_mktsegment,
+             o_totalprice > 5000 AND c_custkey IS NOT NULL AS good
+      FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0)
+    SELECT 'bronze' AS layer, 'all' AS part, count(*) AS row_count,
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders
+    UNION ALL SELECT CASE WHEN good THEN 'silver' ELSE 'dead' END, 'all', count(*),
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) FROM judged GROUP BY good
+    UNION ALL SELECT 'gold', c_mktsegment, count(*), CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+           FROM judged WHERE good GROUP BY c_mktsegment
+""")
+def retail_layers(t):
+    """The retail job with its tables written: the second run of a batch replaces the first."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    known = t.customer.filter("c_acctbal > 0")
+    accounts = known.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("segment"))
+    out = scratch_path(t.spark, "retail")
+    for _ in range(2):
+        made = retail_etl.run_tables(
+            t.spark, orders, accounts, out, _rules()[:1], [Ref("unknown_customer", "o_custkey", known, "c_custkey")],
+            ["o_custkey"], {"segment": ["segment"]}, "o_totalprice", "2024-01-01",
+        )
+    layers = [
+        frame.agg(
+            F.lit(name).alias("layer"), F.lit("all").alias("part"), F.count(F.lit(1)).alias("row_count"),
+            money_sum("o_totalprice").alias("total"),
+        )
+        for name, frame in (("bronze", made.bronze), ("silver", made.silver), ("dead", made.dead))
+    ]
+    gold = made.gold["segment"].select(
+        F.lit("gold").alias("layer"), F.col("segment").alias("part"), F.col("order_count").alias("row_count"),
+        F.col("total_amount").alias("total"),
+    )
+    return layers[0].unionByName(layers[1]).unionByName(layers[2]).unionByName(gold)
+
+
+@query("""
+    SELECT '2024-01-01' AS batch, count(*) AS row_count, count(*) AS stamped FROM orders
+    UNION ALL SELECT '2024-01-02', count(*), count(*) FROM orders WHERE o_orderkey % 15 = 1
+""")
+def bronze_append(t):
+    """A batch and a re-send of some of its orders: bronze keeps both, a repeated run of either adds nothing."""
+    path = scratch_path(t.spark, "bronze")
+    again = t.orders.filter("o_orderkey % 15 = 1")
+    for rows, batch in ((t.orders, "2024-01-01"), (again, "2024-01-02"), (again, "2024-01-02")):
+        retail_etl.append_bronze(rows, path, batch)
+    bronze = t.spark.read.parquet(path).groupBy(F.col("ingest_batch").cast("string").alias("batch"))
+    return bronze.agg(F.count(F.lit(1)).alias("row_count"), F.count("ingested_at").alias("stamped"))
+
+
 @query("""
     WITH dim AS (SELECT c_custkey AS cust_id, c_mktsegment AS tier, DATE '1995-01-01' AS s,
                         CASE WHEN c_acctbal > 4000 THEN DATE '1998-06-01' END AS e FROM customer

@@ -288,6 +288,16 @@ def not_in_null(t):
     return not_in(t.supplier, "s_nationkey", listed, "n").select("s_suppkey")
 
 
+@query("""
+    SELECT s_suppkey FROM supplier WHERE s_nationkey NOT IN
+      (SELECT nullif(c_nationkey, 0) FROM customer WHERE c_nationkey BETWEEN 1 AND 12)
+""")
+def not_in_rows(t):
+    """The twin of ``not_in_null`` with rows: this list holds no NULL."""
+    some = t.customer.filter("c_nationkey BETWEEN 1 AND 12").select(F.nullif("c_nationkey", F.lit(0)).alias("n"))
+    return not_in(t.supplier, "s_nationkey", some, "n").select("s_suppkey")
+
+
 @query("""
     SELECT o_orderkey, nullif(o_custkey, 1) AS cust FROM orders
     WHERE nullif(o_custkey, 1) NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 5000)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import money
-from tidemark.operators.layout import co_locate
+from tidemark.operators.layout import co_locate, reused, spread
+from tidemark.operators import skew
 from tidemark.operators.skew import hot_keys, key_skew, partition_balance, salted_agg
 from tidemark.queries._registry import query
 
@@ -54,3 +55,41 @@ def partition_profile(t):
     salt = F.pmod(F.xxhash64("event_id"), F.lit(8)).alias("salt")
     salted = partition_balance(co_locate(events.select("*", salt), ["key", "salt"], 16))
     return plain.unionByName(salted.withColumn("layout", F.lit("by key and salt")))
+
+
+@query("""
+    SELECT 'spread' AS layout, 8 AS partitions, count(*) AS row_count FROM events
+    UNION ALL SELECT 'by user', 8, count(*) FROM events
+""")
+def partition_rows(t):
+    """Round-robin and hash layouts: the rows of all partitions add up to the table, whatever the split."""
+    layouts = {"spread": spread(t.events, 8), "by user": co_locate(t.events, ["user_id"], 8)}
+    found = [
+        skew.partition_profile(df).agg(
+            F.lit(name).alias("layout"), F.lit(8).alias("partitions"),
+            F.sum("row_count").alias("row_count"),
+        )
+        for name, df in layouts.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query("""
+    SELECT user_id, count(*) AS events, max(value) AS highest,
+           count(*) FILTER (WHERE event_type = 'purchase') AS purchases
+    FROM events GROUP BY 1
+""")
+def one_shuffle_many_steps(t):
+    """Hash partitions by key serve two groupings and their join."""
+    events = co_locate(t.events, ["user_id"])
+    totals = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("events"), F.max("value").alias("highest"))
+    bought = events.filter("event_type = 'purchase'").groupBy("user_id").agg(F.count(F.lit(1)).alias("purchases"))
+    return totals.join(bought, "user_id", "left").na.fill({"purchases": 0})
+
+
+@query("SELECT count(*) AS row_count, max(value) AS highest FROM events WHERE event_type = 'purchase'")
+def reuse_branch(t):
+    """A branch that two actions read is kept between them and released."""
+    with reused(t.events.filter("event_type = 'purchase'").select("value")) as kept:
+        count, highest = kept.count(), kept.agg(F.max("value")).first()[0]
+    return t.spark.createDataFrame([(count, highest)], "row_count bigint, highest double")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-
+import functools
 import uuid
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,17 +15,18 @@ from tidemark.functions.scalars import money_sum
 from tidemark.operators.quality import Rule
 from tidemark.plans import daily_load
 from tidemark.queries._registry import query
-from tidemark.session import cut_lineage, scratch_path
+from tidemark.session import scratch_path
 from tidemark.sources import catalog
 from tidemark.sources.files import (
-    CORRUPT,
     read_csv,
+    read_csv_inferred,
     read_evolving,
+    read_json_document,
     read_json_lines,
-    read_marked,
     read_orc,
     read_parquet,
     read_with_quarantine,
+    reliable_count,
 )
 from tidemark.sources.sinks import compact, replace_slice, write
 
@@ -159,9 +162,7 @@ def csv_quarantine(t):
         .otherwise(F.concat_ws(",", key, value))
     )
     t.events.select(line.alias("value")).write.text(path)
-    schema = StructType.fromDDL(_EVENT)
-    marked = cut_lineage(read_marked(t.spark, path, schema, header=False))
-    return _count_sides(marked.filter(F.col(CORRUPT).isNull()), marked.filter(F.col(CORRUPT).isNotNull()))
+    return _count_sides(*read_with_quarantine(t.spark, path, StructType.fromDDL(_EVENT), "csv", header=False))
 
 
 @query("""
@@ -220,3 +221,80 @@ def catalog_tables(t):
     t.spark.catalog.dropTempView(f"{name}_view")
     catalog.drop_table(t.spark, name)
     return found
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def csv_inferred(t):
+    path = scratch_path(t.spark, "csv")
+    t.nation.write.csv(path, header=True)
+    return read_csv_inferred(t.spark, path)
+
+
+@query("""
+    SELECT 'PERMISSIVE' AS mode, count(*) AS row_count, count(*) FILTER (WHERE o_orderkey % 10 = 0) AS missing FROM orders
+    UNION ALL SELECT 'DROPMALFORMED', count(*) FILTER (WHERE o_orderkey % 10 <> 0), 0 FROM orders
+""")
+def csv_modes(t):
+    """Every tenth price is no number: kept as NULL, or the line is dropped.  Counts parse every column."""
+    path = scratch_path(t.spark, "csv")
+    price = F.when(F.col("o_orderkey") % 10 == 0, F.lit("bad")).otherwise(F.col("o_totalprice").cast("string"))
+    t.orders.select("o_orderkey", price.alias("o_totalprice")).write.csv(path, header=True)
+    schema = StructType.fromDDL("o_orderkey bigint, o_totalprice double")
+    found = []
+    for mode in ("PERMISSIVE", "DROPMALFORMED"):
+        rows = read_csv(t.spark, path, schema, mode)
+        found.append((mode, reliable_count(rows), rows.filter("o_totalprice IS NULL").count()))
+    return t.spark.createDataFrame(found, "mode string, row_count bigint, missing bigint")
+
+
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def json_document(t):
+    """All nations as one indented JSON array."""
+    path = scratch_path(t.spark, "json")
+    rows = F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name", "n_regionkey")))
+    t.nation.agg(F.to_json(rows, {"pretty": "true"}).alias("value")).write.text(path)
+    return read_json_document(t.spark, path, t.nation.schema)
+
+
+@query("""
+    SELECT 'append' AS mode, 2 * count(*) AS row_count FROM customer
+    UNION ALL SELECT 'ignore', count(*) FROM customer
+    UNION ALL SELECT 'overwrite', count(*) FILTER (WHERE c_acctbal > 0) FROM customer
+    UNION ALL SELECT 'errorifexists', count(*) FROM customer
+""")
+def write_modes(t):
+    """Each mode on a table that is there already."""
+    found = []
+    for mode in ("append", "ignore", "overwrite", "errorifexists"):
+        path = scratch_path(t.spark, mode)
+        write(t.customer, path)
+        rows = t.customer.filter("c_acctbal > 0") if mode in ("overwrite", "ignore") else t.customer
+        if mode == "errorifexists":
+            try:
+                write(rows, path)
+            except AnalysisException as error:
+                if error.getCondition() != "PATH_ALREADY_EXISTS":
+                    raise
+        else:
+            write(rows, path, mode)
+        found.append(read_parquet(t.spark, path).agg(F.lit(mode).alias("mode"), F.count(F.lit(1)).alias("row_count")))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+@query("""
+    SELECT 'managed' AS kind, column_name AS name, position, count(*) AS row_count
+    FROM (VALUES ('c_custkey', 0), ('c_name', 1)) v(column_name, position), customer GROUP BY ALL
+""")
+def managed_table(t):
+    """Save, describe and count a managed table; it is dropped only with its files' loss accepted."""
+    name = f"managed_{uuid.uuid4().hex}"
+    catalog.save_managed(t.customer.select("c_custkey", "c_name"), name)
+    kind = "managed" if catalog.is_managed(t.spark, name) else "external"
+    columns = [(kind, c, i) for i, (c, _) in enumerate(catalog.describe_columns(t.spark, name))]
+    count = t.spark.table(name).count()
+    try:
+        catalog.drop_table(t.spark, name)
+    except PermissionError:
+        catalog.drop_table(t.spark, name, delete_files=True)
+    described = t.spark.createDataFrame(columns, "kind string, name string, position int")
+    return described.withColumn("row_count", F.lit(count).cast("bigint"))

@@ -51,10 +51,23 @@ def start(
     return writer.format("console").start()
 
 
+class NotFinishedError(TimeoutError):
+    """A drain was stopped before it had processed everything; its sink is not whole."""
+
+
 def run_available(df: DataFrame, checkpoint: str, timeout: int | None = None, **sink) -> StreamingQuery:
-    """Process everything present and stop; sinks and mode as for ``start``."""
+    """Process everything present and stop; sinks and mode as for ``start``.
+
+    A drain that is not through after ``timeout`` seconds is stopped and
+    raises, as its sink holds only a part; a later run with the same checkpoint
+    goes on from there.
+    """
     query = start(df, checkpoint, available_now=True, **sink)
-    query.awaitTermination(timeout)
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
+        query.stop()
+        raise NotFinishedError(f"not finished after {timeout} s; the last batch was {(query.lastProgress or {}).get('batchId')}")
     return query
 
 
