@@ -70,9 +70,9 @@ def test_broadcast_and_merge_plans(people, sales):
 def versions(spark):
     return spark.createDataFrame(
         [
-            (1, "alice", "gold", day("2024-01-01"), None, True),
-            (2, "bob", "silver", day("2024-01-01"), day("2024-01-02"), False),
-            (2, "bob", "gold", day("2024-01-02"), None, True),
+            (71, "Orla", "basic", day("2021-03-10"), day("2021-09-05"), False),
+            (71, "Orla", "plus", day("2021-09-05"), None, True),
+            (88, "Piet", "basic", day("2020-12-24"), None, True),
         ],
         schemas.customer_dimension(),
     )
@@ -80,17 +80,17 @@ def versions(spark):
 
 def facts(spark):
     return spark.createDataFrame(
-        [(1, 2, 100.0, day("2024-01-01")), (2, 2, 200.0, day("2024-01-02")), (3, 2, 1.0, day("2023-12-31")),
-         (4, 9, 1.0, day("2024-01-01"))],
+        [(501, 71, 12.5, day("2021-09-04")), (502, 71, 7.0, day("2021-09-05")), (503, 71, 3.25, day("2021-03-09")),
+         (504, 60, 8.0, day("2021-05-01"))],
         schemas.customer_orders(),
     )
 
 
 def test_point_in_time_join(spark):
     got = joins.pit_join(facts(spark), versions(spark), ["cust_id"], "order_date")
-    assert rows(got, "order_id", "tier") == [(1, "silver"), (2, "gold"), (3, None), (4, None)]
+    assert rows(got, "order_id", "tier") == [(501, "basic"), (502, "plus"), (503, None), (504, None)]
     inner = joins.pit_join(facts(spark), versions(spark), ["cust_id"], "order_date", how="inner")
-    assert rows(inner, "order_id", "tier") == [(1, "silver"), (2, "gold")]
+    assert rows(inner, "order_id", "tier") == [(501, "basic"), (502, "plus")]
     assert "NestedLoop" not in plan_of(got)
     with pytest.raises(ValueError):
         joins.pit_join(facts(spark), versions(spark), ["cust_id"], "order_date", how="full")
@@ -99,7 +99,7 @@ def test_point_in_time_join(spark):
 def test_point_in_time_join_shows_overlaps(spark):
     clash = versions(spark).withColumn("effective_end", F.lit(None).cast("date"))
     got = joins.pit_join(facts(spark), clash, ["cust_id"], "order_date")
-    assert rows(got.filter("order_id = 2"), "tier") == [("gold",), ("silver",)]
+    assert rows(got.filter("order_id = 502"), "tier") == [("basic",), ("plus",)]
 
 
 def test_range_join_equals_comparison_of_all_pairs(spark):
@@ -127,21 +127,25 @@ def test_range_join_does_not_list_wide_ranges_cell_by_cell(spark):
 
 # --- skew -------------------------------------------------------------------
 
-N = 20_000
+N = 24_000
+#: Of every twelve rows ten belong to the busiest shop.
+BUSY = "shop-0"
+BUSY_SHARE = 10 / 12
 
 
 @pytest.fixture(scope="module")
 def hot(spark):
-    """Nine tenths of the rows carry one key, the rest spread over 999."""
-    key = F.when(F.col("id") < N * 0.9, "HOT").otherwise(F.concat_ws("_", F.lit("key"), (F.col("id") % 999)))
-    return spark.range(N).select("id", key.alias("key"), (F.col("id") % 7).alias("value")).persist()
+    """Sales of one busy shop among 400 quiet ones; shops are numbered by the square of the row number."""
+    quiet = F.format_string("shop-%d", F.pmod(F.col("id") * F.col("id"), F.lit(400)) + 1)
+    shop = F.when(F.pmod("id", F.lit(12)) < 10, F.lit(BUSY)).otherwise(quiet)
+    return spark.range(N).select("id", shop.alias("key"), (F.col("id") % 7).alias("value")).persist()
 
 
 def test_salting_balances_partitions(hot):
     plain = skew.partition_balance(layout.co_locate(hot, ["key"], 8)).first()
     salted = skew.add_salt(hot, ["id"], 8)
     spread = skew.partition_balance(layout.co_locate(salted, ["key", skew.SALT], 16)).first()
-    assert plain["largest"] >= N * 0.9
+    assert plain["largest"] >= N * BUSY_SHARE
     assert spread["largest"] < plain["largest"] / 2.5
     assert skew.partition_profile(hot).agg(F.sum("row_count")).first()[0] == N
 
@@ -166,7 +170,7 @@ def test_salted_aggregate_null_rules(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("only_hot", [False, True])
 def test_salted_join_equals_plain(spark, hot, how, only_hot):
-    small = spark.createDataFrame([("HOT", 1), ("HOT", 2), ("key_5", 3), ("none", 4), (None, 5)], "key string, tag int")
+    small = spark.createDataFrame([(BUSY, 1), (BUSY, 2), ("shop-5", 3), ("none", 4), (None, 5)], "key string, tag int")
     keys = skew.hot_keys(hot, ["key"], 0.1) if only_hot else None
     got = skew.salted_join(hot, small, ["key"], ["id"], 8, how, keys)
     assert rows(got.groupBy(*got.columns[1:]).count()) == rows(
@@ -182,8 +186,8 @@ def test_salted_join_refuses_right_and_full(hot):
 
 def test_key_skew_and_hot_keys(hot):
     top = skew.key_skew(hot, ["key"], 3).first()
-    assert (top["key"], top["share"]) == ("HOT", 0.9)
-    assert rows(skew.hot_keys(hot, ["key"], 0.05)) == [("HOT",)]
+    assert (top["key"], top["share"]) == (BUSY, pytest.approx(BUSY_SHARE))
+    assert rows(skew.hot_keys(hot, ["key"], 0.05)) == [(BUSY,)]
     with pytest.raises(ValueError):
         skew.hot_keys(hot, ["key"], 0)
 

@@ -16,10 +16,10 @@ def test_csv_typed(spark, tmp_path):
 
 
 def test_inference_loses_leading_zeros(spark, tmp_path):
-    path = write_lines(tmp_path / "zip.csv", ["zip_code,city", "00501,Holtsville", "10001,New York"])
-    assert rows(files.read_csv_inferred(spark, path), "zip_code") == [(10001,), (501,)]
-    typed = files.read_csv(spark, path, spark.createDataFrame([], "zip_code string, city string").schema)
-    assert rows(typed, "zip_code") == [("00501",), ("10001",)]
+    path = write_lines(tmp_path / "parts.csv", ["part_no,bin", "0077,left", "4100,right"])
+    assert rows(files.read_csv_inferred(spark, path), "part_no") == [(4100,), (77,)]
+    typed = files.read_csv(spark, path, spark.createDataFrame([], "part_no string, bin string").schema)
+    assert rows(typed, "part_no") == [("0077",), ("4100",)]
 
 
 @pytest.fixture
@@ -54,21 +54,20 @@ def test_csv_quarantine_keeps_raw_text(spark, messy):
 
 
 JSON_LINES = [
-    '{"order_id": 1, "customer": "alice", "amount": 10.0}',
-    '{"order_id": 2, "customer": "bob", "amount": 20.0}',
-    '{"order_id": 3, "customer": "carol" "amount": 30.0}',
-    '{"order_id": 4, "customer": "dave", "amount": "not_a_number"}',
-    '{"order_id": 5, "customer": "erin", "amount": 50.0}',
+    '{"reading": 10, "sensor": "roof", "celsius": 21.5}',
+    '{"reading": 11, "sensor": "cellar", "celsius": "cold"}',
+    '{"reading": 12, "sensor": "roof", "celsius": 22.0}',
+    '{"reading": 13 "sensor": "garden"}',
 ]
 
 
 def test_json_quarantine(spark, tmp_path):
     path = write_lines(tmp_path / "in.json", JSON_LINES)
-    schema = spark.createDataFrame([], "order_id int, customer string, amount double").schema
+    schema = spark.createDataFrame([], "reading int, sensor string, celsius double").schema
     clean, bad = files.read_with_quarantine(spark, path, schema, "json")
-    assert rows(clean, "order_id") == [(1,), (2,), (5,)]
+    assert rows(clean, "reading") == [(10,), (12,)]
     # Broken syntax loses the row, a wrong type only its field; both keep the text.
-    assert rows(bad) == [(4, "dave", None, JSON_LINES[3]), (None, None, None, JSON_LINES[2])]
+    assert rows(bad) == [(11, "cellar", None, JSON_LINES[1]), (None, None, None, JSON_LINES[3])]
 
 
 def test_schema_is_not_changed_by_the_corrupt_column():

@@ -15,29 +15,29 @@ CUST = "cust_id int, name string, tier string, points int"
 
 @pytest.fixture(scope="module")
 def target(spark):
-    return spark.createDataFrame([(1, "alice", "gold", 100), (2, "bob", "silver", 50), (3, "carol", "silver", 75)], CUST)
+    return spark.createDataFrame([(11, "Ines", "adult", 31), (12, "Jory", "child", 4), (13, "Kofi", "child", 9)], CUST)
 
 
 @pytest.fixture(scope="module")
 def updates(spark):
-    return spark.createDataFrame([(2, "bob", "silver", 90), (4, "dave", "bronze", 10)], CUST)
+    return spark.createDataFrame([(12, "Jory", "child", 17), (14, "Lena", "staff", 2)], CUST)
 
 
 def test_upsert(target, updates):
     got = ops.upsert(target, updates, ["cust_id"])
-    assert rows(got, "cust_id", "points") == [(1, 100), (2, 90), (3, 75), (4, 10)]
+    assert rows(got, "cust_id", "points") == [(11, 31), (12, 17), (13, 9), (14, 2)]
     assert rows(ops.upsert(got, updates, ["cust_id"])) == rows(got)
 
 
 def test_upsert_condition_and_columns(spark, target):
-    updates = spark.createDataFrame([(1, "x", "none", 5), (2, "y", "none", 70)], CUST)
+    updates = spark.createDataFrame([(11, "x", "none", 5), (12, "y", "none", 6)], CUST)
     got = ops.upsert(target, updates, ["cust_id"], ["points"], F.col("s_points") > F.col("points"))
-    assert rows(got) == [(1, "alice", "gold", 100), (2, "bob", "silver", 70), (3, "carol", "silver", 75)]
+    assert rows(got) == [(11, "Ines", "adult", 31), (12, "Jory", "child", 6), (13, "Kofi", "child", 9)]
 
 
 def test_upsert_can_set_null(spark, target):
-    updates = spark.createDataFrame([(1, None, None, None)], CUST)
-    assert (1, None, None, None) in rows(ops.upsert(target, updates, ["cust_id"]))
+    updates = spark.createDataFrame([(11, None, None, None)], CUST)
+    assert (11, None, None, None) in rows(ops.upsert(target, updates, ["cust_id"]))
 
 
 def test_duplicate_update_keys_are_refused(target, updates):
@@ -53,33 +53,33 @@ def test_null_keys_never_match(spark, target):
 
 def test_repeated_target_keys_are_all_updated(target, updates):
     got = ops.upsert(target.union(target), updates, ["cust_id"])
-    assert rows(got.filter("cust_id = 2"), "points") == [(90,), (90,)]
+    assert rows(got.filter("cust_id = 12"), "points") == [(17,), (17,)]
     assert got.count() == 7
 
 
 def test_delete_matched(target, updates):
-    assert rows(ops.delete_matched(target, updates, ["cust_id"]), "cust_id") == [(1,), (3,)]
+    assert rows(ops.delete_matched(target, updates, ["cust_id"]), "cust_id") == [(11,), (13,)]
 
 
 def test_merge_metrics(target, updates):
     got = ops.merge_metrics(target, updates, ["cust_id"]).first().asDict()
     assert got == {"rows_updated": 1, "rows_inserted": 1, "rows_deleted": 0, "rows_unchanged": 2}
-    gone = ops.merge_metrics(target, updates, ["cust_id"], delete=F.col("points") < 60).first()
+    gone = ops.merge_metrics(target, updates, ["cust_id"], delete=F.col("points") < 5).first()
     assert (gone["rows_updated"], gone["rows_deleted"]) == (0, 1)
 
 
 def test_insert_new_twice(target, updates):
     once = ops.insert_new(target, updates, ["cust_id"])
-    assert rows(once, "cust_id", "points") == [(1, 100), (2, 50), (3, 75), (4, 10)]
+    assert rows(once, "cust_id", "points") == [(11, 31), (12, 4), (13, 9), (14, 2)]
     assert rows(ops.insert_new(once, updates, ["cust_id"])) == rows(once)
 
 
 def test_evolve_append(spark, target):
-    wider = spark.createDataFrame([(1, "alice", "gold", 100, "US")], CUST + ", country string")
+    wider = spark.createDataFrame([(11, "Ines", "adult", 31, "north")], CUST + ", branch string")
     with pytest.raises(ops.SchemaMismatchError):
         ops.evolve_append(target, wider)
     got = ops.evolve_append(target, wider, allow_new=True)
-    assert rows(got.filter("cust_id = 1"), "cust_id", "country") == [(1, "US"), (1, None)]
+    assert rows(got.filter("cust_id = 11"), "cust_id", "branch") == [(11, "north"), (11, None)]
     clash = target.withColumn("points", F.col("points").cast("string"))
     with pytest.raises(ops.SchemaMismatchError, match="points"):
         ops.evolve_append(target, clash, allow_new=True)
@@ -167,9 +167,9 @@ def test_rows_without_a_key_are_refused_where_a_rerun_would_repeat_them(spark, t
 
 def test_unknown_current_flag_loses_no_version(spark, dim):
     vague = dim.withColumn("is_current", F.lit(None).cast("boolean"))
-    got = scd.scd2_apply(vague, incoming(spark, (2, "bob", "gold")), ["cust_id"], ["tier"], DAY(2024, 2, 1))
-    assert rows(got, "cust_id", "tier") == [(1, "gold"), (2, "gold"), (2, "silver")]
-    assert scd.scd2_changes(vague, incoming(spark, (2, "bob", "gold")), ["cust_id"], ["tier"]).count() == 1
+    got = scd.scd2_apply(vague, incoming(spark, (2, "Owen", "large")), ["cust_id"], ["tier"], DAY(2024, 2, 1))
+    assert rows(got, "cust_id", "tier") == [(1, "large"), (2, "large"), (2, "small")]
+    assert scd.scd2_changes(vague, incoming(spark, (2, "Owen", "large")), ["cust_id"], ["tier"]).count() == 1
 
 
 # --- dimensions -------------------------------------------------------------
@@ -180,7 +180,7 @@ DAY = dt.date
 @pytest.fixture(scope="module")
 def dim(spark):
     return spark.createDataFrame(
-        [(1, "alice", "gold", DAY(2024, 1, 1), None, True), (2, "bob", "silver", DAY(2024, 1, 1), None, True)],
+        [(1, "Nuria", "large", DAY(2024, 1, 1), None, True), (2, "Owen", "small", DAY(2024, 1, 1), None, True)],
         schemas.customer_dimension(),
     )
 
@@ -190,22 +190,22 @@ def incoming(spark, *data):
 
 
 def test_changes(spark, dim):
-    got = scd.scd2_changes(dim, incoming(spark, (1, "alice", "gold"), (2, "bob", "gold")), ["cust_id"], ["tier"])
-    assert rows(got) == [(2, "bob", "gold")]
-    to_null = scd.scd2_changes(dim, incoming(spark, (1, "alice", None)), ["cust_id"], ["tier"])
-    assert rows(to_null) == [(1, "alice", None)]
+    got = scd.scd2_changes(dim, incoming(spark, (1, "Nuria", "large"), (2, "Owen", "large")), ["cust_id"], ["tier"])
+    assert rows(got) == [(2, "Owen", "large")]
+    to_null = scd.scd2_changes(dim, incoming(spark, (1, "Nuria", None)), ["cust_id"], ["tier"])
+    assert rows(to_null) == [(1, "Nuria", None)]
 
 
 def test_apply(spark, dim):
-    news = incoming(spark, (2, "bob", "gold"), (3, "carol", "bronze"))
+    news = incoming(spark, (2, "Owen", "large"), (3, "Petra", "tiny"))
     got = scd.scd2_apply(dim, news, ["cust_id"], ["tier"], DAY(2024, 1, 2))
     assert rows(got) == rows(
         spark.createDataFrame(
             [
-                (1, "alice", "gold", DAY(2024, 1, 1), None, True),
-                (2, "bob", "silver", DAY(2024, 1, 1), DAY(2024, 1, 2), False),
-                (2, "bob", "gold", DAY(2024, 1, 2), None, True),
-                (3, "carol", "bronze", DAY(2024, 1, 2), None, True),
+                (1, "Nuria", "large", DAY(2024, 1, 1), None, True),
+                (2, "Owen", "small", DAY(2024, 1, 1), DAY(2024, 1, 2), False),
+                (2, "Owen", "large", DAY(2024, 1, 2), None, True),
+                (3, "Petra", "tiny", DAY(2024, 1, 2), None, True),
             ],
             schemas.customer_dimension(),
         )
@@ -213,20 +213,20 @@ def test_apply(spark, dim):
     assert got.columns == dim.columns
     again = scd.scd2_apply(got, news, ["cust_id"], ["tier"], DAY(2024, 1, 2))
     assert rows(again) == rows(got)
-    assert rows(scd.scd2_on(got, DAY(2024, 1, 1)), "cust_id", "tier") == [(1, "gold"), (2, "silver")]
-    assert rows(scd.scd2_on(got, DAY(2024, 1, 2)), "cust_id", "tier") == [(1, "gold"), (2, "gold"), (3, "bronze")]
+    assert rows(scd.scd2_on(got, DAY(2024, 1, 1)), "cust_id", "tier") == [(1, "large"), (2, "small")]
+    assert rows(scd.scd2_on(got, DAY(2024, 1, 2)), "cust_id", "tier") == [(1, "large"), (2, "large"), (3, "tiny")]
     assert scd.overlaps(got, ["cust_id"]).count() == 0
 
 
 def test_apply_null_transitions(spark, dim):
-    once = scd.scd2_apply(dim, incoming(spark, (1, "alice", None)), ["cust_id"], ["tier"], DAY(2024, 2, 1))
-    assert rows(scd.scd2_on(once, DAY(2024, 3, 1)), "cust_id", "tier") == [(1, None), (2, "silver")]
-    twice = scd.scd2_apply(once, incoming(spark, (1, "alice", "gold")), ["cust_id"], ["tier"], DAY(2024, 4, 1))
+    once = scd.scd2_apply(dim, incoming(spark, (1, "Nuria", None)), ["cust_id"], ["tier"], DAY(2024, 2, 1))
+    assert rows(scd.scd2_on(once, DAY(2024, 3, 1)), "cust_id", "tier") == [(1, None), (2, "small")]
+    twice = scd.scd2_apply(once, incoming(spark, (1, "Nuria", "large")), ["cust_id"], ["tier"], DAY(2024, 4, 1))
     assert twice.filter("cust_id = 1").count() == 3
 
 
 def test_apply_refuses_early_dates_and_duplicates(spark, dim):
-    late = scd.scd2_apply(dim, incoming(spark, (2, "bob", "gold")), ["cust_id"], ["tier"], DAY(2024, 1, 1))
+    late = scd.scd2_apply(dim, incoming(spark, (2, "Owen", "large")), ["cust_id"], ["tier"], DAY(2024, 1, 1))
     with pytest.raises(Exception, match="not later"):
         late.collect()
     with pytest.raises(ops.DuplicateKeyError):
@@ -235,6 +235,6 @@ def test_apply_refuses_early_dates_and_duplicates(spark, dim):
 
 def test_overlaps(spark, dim):
     clash = dim.unionByName(
-        spark.createDataFrame([(1, "alice", "x", DAY(2024, 5, 1), None, True)], schemas.customer_dimension())
+        spark.createDataFrame([(1, "Nuria", "x", DAY(2024, 5, 1), None, True)], schemas.customer_dimension())
     )
     assert rows(scd.overlaps(clash, ["cust_id"]), "cust_id", "tier") == [(1, "x")]

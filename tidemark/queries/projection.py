@@ -328,5 +328,5 @@ def sql_df_twin_frame(t):
     return (
         t.customer.filter(F.col("c_acctbal") > 0)
         .groupBy("c_mktsegment")
-        .agg(F.count(F.lit(1)).alias("customers"), F.sum(money("c_acctbal")).cast("double").alias("balance"))
+        .agg(F.count(F.lit(1)).alias("customers"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("balance"))
     )
