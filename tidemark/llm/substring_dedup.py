@@ -3,7 +3,7 @@
 A repeat of 13 words holds at least one whole block of a grid of 7-word blocks,
 wherever it lies.  So only the non-overlapping blocks of each document are
 indexed, every rolling 7-word window is probed against them, and hits are
-extended: all 13-word windows around a hit are compared by 128-bit digests, and
+extended: all 13-word windows around a hit are compared by 96-bit digests, and
 runs of repeated windows cover the maximal repeats.
 
 Documents are dealt into chunks once (a shuffle of the texts, reused by all
@@ -107,15 +107,31 @@ def _repeated(words: Words, block: int, size: int, hits: np.ndarray) -> np.ndarr
     return starts[total[starts + size - block + 1] > total[starts]]
 
 
+#: 96-bit digest of a window.
+DIGEST = np.dtype([("a", "<u8"), ("b", "<u4")])
+
+
 def _digests(words: Words, starts: np.ndarray, size: int) -> np.ndarray:
-    """128-bit digests of windows as pairs of numbers."""
-    pairs = np.empty(len(starts), [("a", "<u8"), ("b", "<u8")])
+    pairs = np.empty(len(starts), DIGEST)
     if len(starts):
         pairs["a"] = window_hashes(words.hashes, size, FIRST)[starts]
-        pairs["b"] = window_hashes(words.hashes, size, SECOND)[starts]
+        pairs["b"] = (window_hashes(words.hashes, size, SECOND)[starts] >> np.uint64(32)).astype(np.uint32)
     return pairs
 
 
+def _packed(pairs: np.ndarray, keys: np.ndarray) -> bytes:
+    """Digests and keys, plane by plane."""
+    return _planes(pairs["a"], 8) + _planes(pairs["b"], 4) + _planes(keys, 8)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    count = len(data) // 20
+    pairs = np.empty(count, DIGEST)
+    pairs["a"] = _unplaned(data[: 8 * count], 8)
+    pairs["b"] = _unplaned(data[8 * count : 12 * count], 4)
+    return pairs, _unplaned(data[12 * count :], 8).astype(np.int64)
+
+
 def remove_repeats(
     docs: DataFrame, size: int = 13, block: int = 7, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -178,7 +194,7 @@ def remove_repeats(
 
     def extend(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(frame) or not len(found):
-            return pd.DataFrame([], columns=["bucket", "chunk", "digests", "least", "several"])
+            return pd.DataFrame([], columns=["bucket", "chunk", "data", "several"])
         words = read(frame)
         hits = np.sort(np.concatenate([_unplaned(data, 6) for data in found["data"]]))
         starts = _repeated(words, block, size, hits)
@@ -190,29 +206,26 @@ def remove_repeats(
         np.minimum.at(least, back, keys)
         np.maximum.at(most, back, keys)
         rows = [
-            (b, frame["chunk"].iloc[0], distinct[i:j].tobytes(), least[i:j].tobytes(), (least < most)[i:j].tobytes())
+            (b, frame["chunk"].iloc[0], _packed(distinct[i:j], least[i:j]), np.packbits((least < most)[i:j]).tobytes())
             for b, i, j in _slices(_bucket(distinct["a"], 64, buckets))
         ]
-        return pd.DataFrame(rows, columns=["bucket", "chunk", "digests", "least", "several"])
+        return pd.DataFrame(rows, columns=["bucket", "chunk", "data", "several"])
 
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        """The smallest key of each window that several documents hold, returned to their chunks."""
-        parts = [np.frombuffer(data, [("a", "<u8"), ("b", "<u8")]) for data in frame["digests"]]
-        keys = [np.frombuffer(data, np.int64) for data in frame["least"]]
-        several = [np.frombuffer(data, bool) for data in frame["several"]]
-        distinct, back = np.unique(np.concatenate(parts), return_inverse=True)
+        """The smallest key of each window, returned to the chunks where a larger key holds it."""
+        parts = [_unpacked(data) for data in frame["data"]]
+        distinct, back = np.unique(np.concatenate([pairs for pairs, _ in parts]), return_inverse=True)
         least = np.full(len(distinct), LAST, np.int64)
-        np.minimum.at(least, back, np.concatenate(keys))
-        shared = np.bincount(back, minlength=len(distinct)) > 1
-        shared |= np.bincount(back, weights=np.concatenate(several), minlength=len(distinct)) > 0
+        np.minimum.at(least, back, np.concatenate([keys for _, keys in parts]))
         rows, at = [], 0
-        for chunk, part in zip(frame["chunk"], parts):
-            own = back[at : at + len(part)]
-            at += len(part)
-            own = own[shared[own]]
-            if len(own):
-                rows.append((chunk, distinct[own].tobytes(), least[own].tobytes()))
-        return pd.DataFrame(rows, columns=["chunk", "digests", "least"])
+        for chunk, (pairs, keys), several in zip(frame["chunk"], parts, frame["several"]):
+            own = back[at : at + len(pairs)]
+            at += len(pairs)
+            many = np.unpackbits(np.frombuffer(several, np.uint8), count=len(pairs)).astype(bool)
+            wanted = many | (least[own] < keys)
+            if wanted.any():
+                rows.append((chunk, _packed(pairs[wanted], least[own[wanted]])))
+        return pd.DataFrame(rows, columns=["chunk", "data"])
 
     def remove(frame: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         if not len(frame):
@@ -220,8 +233,9 @@ def remove_repeats(
         words = read(frame)
         gone = np.zeros(len(words.hashes) + 1, np.int64)
         if len(found):
-            known = np.concatenate([np.frombuffer(data, [("a", "<u8"), ("b", "<u8")]) for data in found["digests"]])
-            least = np.concatenate([np.frombuffer(data, np.int64) for data in found["least"]])
+            parts = [_unpacked(data) for data in found["data"]]
+            known = np.concatenate([pairs for pairs, _ in parts])
+            least = np.concatenate([keys for _, keys in parts])
             order = np.argsort(known["a"], kind="stable")
             known, least = known[order], least[order]
             starts = np.flatnonzero(words.left >= size)
@@ -249,9 +263,9 @@ def remove_repeats(
     probes = by_chunk.applyInPandas(probe, "bucket long, chunk long, data binary")
     anchors = probes.groupBy("bucket").applyInPandas(meet, "chunk long, data binary")
     windows = by_chunk.cogroup(anchors.groupBy("chunk")).applyInPandas(
-        extend, "bucket long, chunk long, digests binary, least binary, several binary"
+        extend, "bucket long, chunk long, data binary, several binary"
     )
-    owners = windows.groupBy("bucket").applyInPandas(settle, "chunk long, digests binary, least binary")
+    owners = windows.groupBy("bucket").applyInPandas(settle, "chunk long, data binary")
     result = by_chunk.cogroup(owners.groupBy("chunk")).applyInPandas(
         remove, "key long, n_words long, n_removed long, kept_text string"
     )
