@@ -47,7 +47,7 @@ SPACED = re.compile(r"(?<!\S)[^\s.,;:](?:[ \t]+[^\s.,;:]){2,}(?!\S)")
 WORDS = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"(.)\1")
 #: Pieces of text remembered per Python worker; beyond it the memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Lengths of word beginnings used as features.
 BEGINNINGS = (4, 5, 6)
 #: A stem is dense if it is one in so many different pieces of a text.
@@ -74,6 +74,20 @@ def symbol_table() -> np.ndarray:
     return table
 
 
+def portions(texts: pd.Series, size: int) -> Iterator[list[str]]:
+    """Texts in groups of about ``size`` characters, so that what is made of them stays small."""
+    held: list[str] = []
+    total = 0
+    for body in texts:
+        held.append(body)
+        total += len(body)
+        if total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
+
+
 def language_counts(docs: DataFrame, text: str) -> DataFrame:
     """(gram, n): how often each run of three symbols occurs in all texts, word edges included."""
 
@@ -81,13 +95,14 @@ def language_counts(docs: DataFrame, text: str) -> DataFrame:
         table = remembered("toxicity symbols", symbol_table)
         total = np.zeros(SYMBOLS**3, np.int64)
         for batch in batches:
-            # A line break between texts: no run crosses documents.
-            codes = np.frombuffer("\n".join(["", *batch["text"], ""]).encode("utf-32-le", "surrogatepass"), "<u4")
-            symbols = table[codes].astype(np.int32)
-            # Several characters between two words are one edge.
-            symbols = symbols[np.r_[True, (symbols[1:] != EDGE) | (symbols[:-1] != EDGE)]]
-            runs = (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:]
-            total += np.bincount(runs, minlength=len(total))
+            for texts in portions(batch["text"], 1 << 20):
+                # A line break between texts: no run crosses documents.
+                codes = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), "<u4")
+                symbols = table[codes]
+                # Several characters between two words are one edge.
+                symbols = symbols[np.r_[True, (symbols[1:] != EDGE) | (symbols[:-1] != EDGE)]].astype(np.int32)
+                runs = (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:]
+                total += np.bincount(runs, minlength=len(total))
         grams = np.flatnonzero(total)
         yield pd.DataFrame({"gram": grams.astype(np.int64), "n": total[grams]})
 
@@ -287,17 +302,19 @@ def train(
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(shared.value)
-        memory: dict[str, set[str]] = {}
+        memory: dict[str, tuple[str, ...]] = {}
         for batch in batches:
             out = []
             for body, mark in zip(batch["text"], batch["label"]):
                 body = body.lower()
                 words = reader.spaced(body)
                 pieces = set(body.split())
+                if len(memory) > REMEMBERED:
+                    memory.clear()
                 for piece in pieces:
                     if piece not in memory:
-                        memory[piece] = reader.words(piece)
-                    words |= memory[piece]
+                        memory[piece] = tuple(reader.words(piece))
+                    words.update(memory[piece])
                 counts = Counter(stem for word in words for stem in stems(word))
                 out.append((features(counts, len(pieces)), mark))
             yield pd.DataFrame(out, columns=["features", "label"])
@@ -344,11 +361,11 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.reader = model, Reader(model.language)
         self.stems = {name.split("~")[0] for name in model.weights}
-        self.memory: dict[str, frozenset[str]] = {}
+        self.memory: dict[str, tuple[str, ...]] = {}
 
-    def telling(self, words: set[str]) -> frozenset[str]:
+    def telling(self, words: set[str]) -> tuple[str, ...]:
         """Words with a stem that has a weight."""
-        return frozenset(w for w in words if not self.stems.isdisjoint(stems(w)))
+        return tuple(w for w in words if not self.stems.isdisjoint(stems(w)))
 
     def __call__(self, text: str) -> float:
         text = text.lower()
@@ -360,7 +377,7 @@ class Scorer:
             memory[piece] = self.telling(self.reader.words(piece))
         words = set(self.telling(self.reader.spaced(text)))
         for found in filter(None, map(memory.__getitem__, pieces)):
-            words |= found
+            words.update(found)
         weights = self.model.weights
         counts = Counter(stem for word in words for stem in stems(word) if stem in self.stems)
         # Added up in one order, so that a text has one score.
