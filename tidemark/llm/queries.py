@@ -232,3 +232,31 @@ def op2_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_documents(docs, table(spark, sf_dir, "labels"), threshold=0.7)
     return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+ORACLES["op7_near_duplicates"] = r"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s
+    FROM (SELECT doc_id, w, least(5, len(w)) AS k, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i
+          FROM doc WHERE len(w) > 0)
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+    SELECT x, y FROM common JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
+    WHERE 100 * k >= 85 * (p.n + q.n - k)
+), near AS (
+    SELECT x, y FROM link UNION ALL SELECT y, x FROM link
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM doc UNION SELECT reach.a, near.y FROM reach JOIN near ON reach.b = near.x
+), least_of AS (
+    SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM doc LEFT JOIN size USING (doc_id) JOIN least_of USING (doc_id)
+"""
