@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import connected
 from tidemark.llm.hashing import window_hashes, word_hashes
 from tidemark.llm.words import content_id, or_empty
+from tidemark.llm.worker import small_batches
 from tidemark.session import cut_lineage
 
 REGISTER_BITS, MANTISSA = 7, 10
@@ -329,6 +330,7 @@ def near_duplicates(
     rows that share a key but not a text are judged each by its own text.
     Other columns are ignored; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     rows = cut_lineage(sketches(docs, size, key, text))
     nodes = nodes_of(rows)
     buckets = buckets_of(nodes)

@@ -15,12 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.worker import remembered
+from tidemark.llm.worker import remembered, small_batches
 
 #: Texts of these characters only are encoded word by word (see ``WordEncoder``).
 PLAIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
 #: Words kept per Python worker; beyond it the memory is emptied.
-REMEMBERED = 1_500_000
+REMEMBERED = 1_000_000
 #: The bucket stands above this bit of a sequence id.
 BUCKET_SHIFT = 58
 
@@ -103,6 +103,7 @@ def pack_binary(
     """
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
+    small_batches(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as file:
         definition = docs.sparkSession.sparkContext.broadcast(file.read())
     end = np.array([end_id], "<u4").tobytes()

@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.worker import remembered
+from tidemark.llm.worker import remembered, small_batches
 
 CACHE = "content string, tokenizer string, n_tokens long"
 #: Counts of words kept per Python worker; beyond it the memory is emptied.
@@ -101,6 +101,7 @@ def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
 def count_misses(docs: DataFrame, model_path: str, cache_path: str, text: str = "text") -> None:
     """Encode the distinct contents that the cache lacks, and append their counts."""
     spark = docs.sparkSession
+    small_batches(spark)
     version = tokenizer_digest(model_path)
     with open(model_path, "rb") as file:
         model = spark.sparkContext.broadcast(file.read())

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.worker import remembered
+from tidemark.llm.worker import remembered, small_batches
 from tidemark.session import cut_lineage
 
 #: Symbols of the language model: a word's edge, a-z, the accented letters of Latin-1, any other letter.
@@ -46,8 +46,11 @@ LONE_GAP, WORD_GAP = 4.0, 1.0
 SPACED = re.compile(r"(?<!\S)[^\s.,;:](?:[ \t]+[^\s.,;:]){2,}(?!\S)")
 WORDS = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"(.)\1")
+TRIPLE = re.compile(r"(.)\1\1")
+#: A word of plain Latin letters, with marks behind it.
+LATIN = re.compile("([a-zß-öø-ÿ]+)[.,;:|]*")
 #: Pieces of text remembered per Python worker; beyond it the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: Lengths of word beginnings used as features.
 BEGINNINGS = (4, 5, 6)
 #: A stem is dense if it is one in so many different pieces of a text.
@@ -291,6 +294,7 @@ def train(
     score: 0.75 where all rows seen are toxic, else 0.01.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     language = language_model(docs, text)
     known = labels.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"))
     known = known.filter(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
@@ -304,20 +308,23 @@ def train(
         reader = Reader(shared.value)
         memory: dict[str, tuple[str, ...]] = {}
         for batch in batches:
-            out = []
-            for body, mark in zip(batch["text"], batch["label"]):
-                body = body.lower()
-                words = reader.spaced(body)
-                pieces = set(body.split())
-                if len(memory) > REMEMBERED:
-                    memory.clear()
-                for piece in pieces:
-                    if piece not in memory:
-                        memory[piece] = tuple(reader.words(piece))
-                    words.update(memory[piece])
-                counts = Counter(stem for word in words for stem in stems(word))
-                out.append((features(counts, len(pieces)), mark))
-            yield pd.DataFrame(out, columns=["features", "label"])
+            for at in range(0, len(batch), 64):
+                # Features of a few documents at a time: they take many times the room of the text.
+                out = []
+                part = batch.iloc[at : at + 64]
+                for body, mark in zip(part["text"], part["label"]):
+                    body = body.lower()
+                    words = reader.spaced(body)
+                    pieces = set(body.split())
+                    if len(memory) > REMEMBERED:
+                        memory.clear()
+                    for piece in pieces:
+                        if piece not in memory:
+                            memory[piece] = tuple(reader.words(piece))
+                        words.update(memory[piece])
+                    counts = Counter(stem for word in words for stem in stems(word))
+                    out.append((features(counts, len(pieces)), mark))
+                yield pd.DataFrame(out, columns=["features", "label"])
 
     read = cut_lineage(sample.mapInPandas(present, "features array<string>, label int"))
     toxic = F.sum(F.when(F.col("label") == 1, 1).otherwise(0))
@@ -367,6 +374,23 @@ class Scorer:
         """Words with a stem that has a weight."""
         return tuple(w for w in words if not self.stems.isdisjoint(stems(w)))
 
+    def read(self, piece: str) -> tuple[str, ...]:
+        """The telling words of a piece as it stands and as restored.
+
+        A Latin word can be read only with or without its doubled letters; if
+        none of these readings tells anything, it need not be decoded.
+        """
+        plain = LATIN.fullmatch(piece)
+        if plain and not TRIPLE.search(plain[1]):
+            first, *rest = REPEATED.split(plain[1])
+            if len(rest) <= 8:
+                readings = [first]
+                for letter, after in zip(rest[::2], rest[1::2]):
+                    readings = [r + out + after for r in readings for out in (letter * 2, letter)]
+                if not rest or not self.telling(set(readings)):
+                    return self.telling({plain[1]})
+        return self.telling(self.reader.words(piece))
+
     def __call__(self, text: str) -> float:
         text = text.lower()
         memory = self.memory
@@ -374,7 +398,7 @@ class Scorer:
             memory.clear()
         pieces = set(text.split())
         for piece in pieces.difference(memory):
-            memory[piece] = self.telling(self.reader.words(piece))
+            memory[piece] = self.read(piece)
         words = set(self.telling(self.reader.spaced(text)))
         for found in filter(None, map(memory.__getitem__, pieces)):
             words.update(found)
