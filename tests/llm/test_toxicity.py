@@ -4,7 +4,7 @@ import zlib
 import pytest
 
 from tests.llm.cases import DOCS, EXTRA, awkward_docs, awkward_texts, no_docs
-from tidemark.llm.toxicity import Restorer, fit_weights, language_model, score_documents, simplified
+from tidemark.llm.toxicity import Model, Reader, Restorer, Scorer, fit_weights, language_model, score_documents, simplified, spans
 
 BAD = ("grumbler", "sneakthief", "blockhead")
 
@@ -68,3 +68,30 @@ def test_weights_need_two_classes():
     assert fit_weights([([0], 1)], ["a"])[0] == {}
     weights, intercept = fit_weights([([0], 1), ([], 0)] * 20, ["a"])
     assert weights["a"] + intercept > 1 > 0 > intercept
+
+
+def test_marks_digits_and_groups_reach_the_lattice(spark):
+    words = "stupid worthless ass evil idiot you are the man".split()
+    docs = spark.createDataFrame([(i, " ".join(words)) for i in range(50)], "doc_id long, text string")
+    language = language_model(docs)
+    reader = Reader(language)
+    found = [
+        ("$$tupid", "stupid"), ("worthle$$", "worthless"), ("worthle$$!!", "worthless"), ("a$$", "ass"), ("!!$$tupid", "stupid"),
+        ("@$$", "ass"), ("455", "ass"), ("evi|", "evil"), ("**evil**", "evil"),
+    ]
+    assert [piece for piece, plain in found if plain not in reader.words(piece)] == []
+    apart = ["st up id", "i\nd\ni\no\nt", "i\u00a0d\u00a0i\u00a0o\u00a0t", "you st up id man", "you are i d i o t."]
+    read = [set().union(*map(reader.span, spans(text))) for text in apart]
+    assert [text for text, found in zip(apart, read) if not {"stupid", "idiot"} & found] == []
+    scorer = Scorer(Model(language, {f"={w}": 5.0 for w in ("stupid", "worthless", "ass", "evil", "idiot")}, -2.0))
+    assert [text for text in [*dict(found[:-1]), *apart, "4 5 5"] if scorer(text) < 0.7] == []
+    assert scorer("you are the man") < 0.2
+
+
+def test_plain_groups_are_skipped_without_loss(spark):
+    docs, _ = corpus(spark)
+    scorer = Scorer(Model(language_model(docs), {"=taren": 1.0, "4sand": 1.0, "=oor": 1.0, "=mi": 1.0}, 0.0))
+    pick = random.Random(7)
+    for _ in range(300):
+        span = " ".join(pick.choice(["ta", "ren", "or", "o", "mi", "sa", "nd", "an", "d", "oo"]) for _ in range(pick.randint(3, 7)))
+        assert set(scorer.read_span(span)) >= set(scorer.telling(scorer.reader.span(span, [])))

@@ -42,15 +42,22 @@ HIDING = "*#%"
 LOOK_ALIKE, GAP, LEFT_OUT, HIDDEN, UNDOUBLED, UNREPEATED = 0.7, 10.0, 1.5, 0.5, 5.0, 0.7
 #: A gap between two words, next to a letter that stands alone and elsewhere.
 LONE_GAP, WORD_GAP = 4.0, 1.0
-#: Three single characters or more, set apart by white space.
-SPACED = re.compile(r"(?<!\S)[^\s.,;:](?:[ \t]+[^\s.,;:]){2,}(?!\S)")
+#: Three groups or more, set apart by any white space: of one character each, and of up to three.
+SPACED, SPLIT = (
+    re.compile(rf"(?<![^\s\"'(\[{{«]){group}(?:\s+{group}){{2,}}(?=[.,;:?!\"')\]}}…»]*(?!\S))")
+    for group in (r"[^\s.,;:]", r"[^\s.,;:]{1,3}")
+)
 WORDS = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"(.)\1")
 TRIPLE = re.compile(r"(.)\1\1")
-#: A word of plain Latin letters, with marks behind it.
-LATIN = re.compile("([a-zß-öø-ÿ]+)[.,;:|]*")
+#: A word of plain Latin letters, with marks behind it that stand for no letter.
+LATIN = re.compile("([a-zß-öø-ÿ]+)[.,;:]*")
+#: Groups of plain Latin letters.
+LATIN_GROUPS = re.compile("[a-zß-öø-ÿ ]+")
 #: Pieces of text remembered per Python worker; beyond it the memory is emptied.
 REMEMBERED = 200_000
+#: Groups read again from each group on.
+AHEAD = 24
 #: Lengths of word beginnings used as features.
 BEGINNINGS = (4, 5, 6)
 #: A stem is dense if it is one in so many different pieces of a text.
@@ -130,14 +137,22 @@ def language_model(docs: DataFrame, text: str = "text") -> np.ndarray:
     return np.log(p3).astype(np.float32)
 
 
+#: Score and reading (linked backwards) by the last two symbols.
+Paths = dict[tuple[int, int], tuple[float, tuple | None]]
+START: Paths = {(EDGE, EDGE): (0.0, None)}
+
+
 class Restorer:
     """Viterbi decoding of suspicious pieces of text."""
 
     def __init__(self, language: np.ndarray):
         self.language = language.tolist()
 
-    def lattice(self, piece: str) -> list[list[tuple[str, float]]]:
-        """For each run of one character what it may stand for, with its cost."""
+    def lattice(self, piece: str, doubled: bool = False) -> list[list[tuple[str, float]]]:
+        """For each run of one character what it may stand for, with its cost.
+
+        With ``doubled`` two look-alikes are two letters.
+        """
         runs = [m.group() for m in re.finditer(r"(.)\1*", piece, re.S)]
         # Single characters between marks or spaces belong together rather than not.
         lone = re.search(r"(?:^|[\W_])\w(?:[\W_]+\w){2,}(?:$|[\W_])", piece) is not None
@@ -160,38 +175,128 @@ class Restorer:
                 # A mark that looks like a letter, before another character, is rather that letter.
                 meant = 6.0 * (char in LOOKS and i < len(runs) - 1) + 8.0 * hiding
                 options += [(" ", gap + meant), ("", 0.0 if lone else LEFT_OUT + meant)]
-            for look in LOOKS.get(char, ""):
-                options.append((look, LOOK_ALIKE + (0.3 if length > 1 else 0.0)))
-                if length == 2:
-                    options.append((look * 2, LOOK_ALIKE))
+            options += looking(run, doubled)
             if hiding:
                 options += [(hidden * length, HIDDEN * length) for hidden in "abcdefghijklmnopqrstuvwxyz"]
             steps.append(options)
         return steps
 
-    def __call__(self, piece: str) -> str:
-        """The likeliest reading of a piece, words set apart by spaces."""
-        paths: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
-        for options in self.lattice(piece):
-            reached: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, read) in paths.items():
-                for out, cost in options:
-                    x, y, gained = a, b, score - cost
-                    for char in out:
-                        z = EDGE if char == " " else SYMBOL.get(char, OTHER)
-                        if z == EDGE and y == EDGE:
-                            continue
-                        gained += self.language[x][y][z]
-                        x, y = y, z
-                    known = reached.get((x, y))
-                    if known is None or gained > known[0]:
-                        reached[(x, y)] = (gained, read + out)
-            paths = reached
+    def step(self, paths: Paths, options: list[tuple[str, float]]) -> Paths:
+        """The best path to each pair of last symbols, one run of characters further."""
+        reached: Paths = {}
+        for (a, b), (score, read) in paths.items():
+            for out, cost in options:
+                x, y, gained = a, b, score - cost
+                for char in out:
+                    z = EDGE if char == " " else SYMBOL.get(char, OTHER)
+                    if z == EDGE and y == EDGE:
+                        continue
+                    gained += self.language[x][y][z]
+                    x, y = y, z
+                known = reached.get((x, y))
+                if known is None or gained > known[0]:
+                    reached[(x, y)] = (gained, (read, out) if out else read)
+        return reached
+
+    def best(self, paths: Paths) -> str:
+        """What the likeliest path reads."""
         # A word ends where the piece ends.
         ends = (
             (score + (self.language[a][b][EDGE] if b != EDGE else 0.0), read) for (a, b), (score, read) in paths.items()
         )
-        return max(ends)[1]
+        read = max(ends, key=lambda end: end[0])[1]
+        parts = []
+        while read:
+            read, out = read
+            parts.append(out)
+        return "".join(reversed(parts))
+
+    def __call__(self, piece: str) -> str:
+        """The likeliest reading of a piece, words set apart by spaces."""
+        paths = START
+        for options in self.lattice(piece):
+            paths = self.step(paths, options)
+        return self.best(paths)
+
+    def through(self, paths: Paths, marks: str, doubled: bool, anew: bool = False) -> Iterator[tuple[Paths, Paths]]:
+        """After each run of marks that looks like a letter: the paths that read it, and these with those that leave it out.
+
+        With ``anew`` a word may begin at any of them.
+        """
+        for run in re.finditer(r"(.)\1*", marks):
+            options = looking(run[0], doubled)
+            if not options:
+                continue
+            read = self.step({**paths, **START} if anew else paths, options)
+            every = dict(read)
+            for state, (score, before) in paths.items():
+                if state != (EDGE, EDGE) and (state not in every or score - LEFT_OUT > every[state][0]):
+                    every[state] = (score - LEFT_OUT, before)
+            yield read, every
+            paths = every
+
+    def readings(self, piece: str) -> Iterator[str]:
+        """Readings of a piece whose ends may be decoration or letters.
+
+        Marks at the ends are left out in one reading; in the others they are
+        read as letters, from their beginning or from any mark on at the front,
+        up to each of the marks at the back.  Two look-alikes side by side are
+        one letter or two, whichever is likelier, and again two.
+        """
+        begin, end = 0, len(piece)
+        while begin < end and is_mark(piece[begin]):
+            begin += 1
+        while end > begin and is_mark(piece[end - 1]):
+            end -= 1
+        front, middle, back = piece[:begin], piece[begin:end], piece[end:]
+        twice = any(m[1] in LOOKS for m in REPEATED.finditer(piece))
+        for doubled in (False, True) if twice else (False,):
+            starts = [START]
+            for anew in (False, True):
+                found = list(self.through(START, front, doubled, anew))
+                if found and middle:
+                    starts.append(found[-1][1])
+                elif found:
+                    yield from (self.best(read) for read, _ in found)
+                if len(found) < 2:
+                    break
+            steps = self.lattice(middle, doubled)
+            for paths in starts if middle else ():
+                for options in steps:
+                    paths = self.step(paths, options)
+                yield self.best(paths)
+                yield from (self.best(read) for read, _ in self.through(paths, back, doubled) if read)
+
+
+def looking(run: str, doubled: bool) -> list[tuple[str, float]]:
+    """What a run of one character looks like, with its cost."""
+    options = []
+    for look in LOOKS.get(run[0], ""):
+        if len(run) != 2 or not doubled:
+            options.append((look, LOOK_ALIKE + (0.3 if len(run) > 1 else 0.0)))
+        if len(run) == 2:
+            options.append((look * 2, LOOK_ALIKE))
+    return options
+
+
+def is_mark(char: str) -> bool:
+    """Neither a letter, a digit, an underscore nor white space."""
+    return not (char.isalnum() or char == "_" or char.isspace())
+
+
+def legible(piece: str) -> bool:
+    """Something in it is a letter or looks like one."""
+    return any(c.isalpha() or c in LOOKS for c in piece)
+
+
+def spans(text: str) -> set[str]:
+    """Characters and short groups set apart, one space between them."""
+    found = set()
+    for match in SPLIT.finditer(text):
+        found.add(" ".join(match[0].split()))
+        # Where the groups are single characters, these are read by themselves too.
+        found.update(" ".join(inner[0].split()) for inner in SPACED.finditer(text, *match.span()))
+    return {span for span in found if legible(span)}
 
 
 def simplified(piece: str) -> str:
@@ -212,19 +317,21 @@ class Reader:
         piece = simplified(piece)
         found = set(WORDS.findall(piece))
         core = piece.strip(".,;:?\"'()[]{}…«»")
-        # Runs of marks at the ends are decoration, single ones may be letters.
-        core = re.sub(r"^[^\w\s]{2,}|[^\w\s]{2,}$", "", core)
-        if not any(c.isalpha() for c in core):
+        if not legible(core):
             return found
         if len(found) == 1 and core in found and not REPEATED.search(core) and not any(c in LOOKS for c in core):
             return found
-        return found | set(WORDS.findall(self.restore(core)))
+        return found.union(*map(WORDS.findall, self.restore.readings(core)))
+
+    def span(self, span: str, begins: list[int] | None = None) -> set[str]:
+        """Words of one of ``spans``: of all of it, and again from each group on, or those of ``begins``.
 
-    def spaced(self, text: str) -> set[str]:
-        found: set[str] = set()
-        for match in SPACED.finditer(text):
-            if any(c.isalpha() for c in match.group()):
-                found.update(WORDS.findall(self.restore(simplified(match.group()))))
+        What stands before a word can draw its beginning to itself.
+        """
+        groups = span.split(" ")
+        found = set(WORDS.findall(self.restore(simplified(span))))
+        for i in range(1, len(groups) - 1) if begins is None else begins:
+            found.update(WORDS.findall(self.restore(simplified(" ".join(groups[i : i + AHEAD])))))
         return found
 
 
@@ -314,10 +421,14 @@ def train(
                 part = batch.iloc[at : at + 64]
                 for body, mark in zip(part["text"], part["label"]):
                     body = body.lower()
-                    words = reader.spaced(body)
+                    words: set[str] = set()
                     pieces = set(body.split())
                     if len(memory) > REMEMBERED:
                         memory.clear()
+                    for span in spans(body):
+                        if span not in memory:
+                            memory[span] = tuple(reader.span(span))
+                        words.update(memory[span])
                     for piece in pieces:
                         if piece not in memory:
                             memory[piece] = tuple(reader.words(piece))
@@ -369,6 +480,10 @@ class Scorer:
         self.model, self.reader = model, Reader(model.language)
         self.stems = {name.split("~")[0] for name in model.weights}
         self.memory: dict[str, tuple[str, ...]] = {}
+        #: What a telling word is or begins with, and the same with doubled letters once.
+        self.told = {stem[1:] for stem in self.stems}
+        self.folded = {REPEATED.sub(r"\1", told) for told in self.told}
+        self.lengths = sorted({len(told) for told in self.told | self.folded})
 
     def telling(self, words: set[str]) -> tuple[str, ...]:
         """Words with a stem that has a weight."""
@@ -391,6 +506,32 @@ class Scorer:
                     return self.telling({plain[1]})
         return self.telling(self.reader.words(piece))
 
+    def begins(self, span: str) -> list[int]:
+        """Groups of a span that can begin like a telling word, those behind put to them.
+
+        Latin groups can be read only as they are, put together, and with or
+        without doubled letters.
+        """
+        groups = span.split(" ")
+        joined = "".join(groups)
+        if not LATIN_GROUPS.fullmatch(span) or TRIPLE.search(joined):
+            return list(range(len(groups)))
+        found = []
+        longest, at = self.lengths[-1] if self.lengths else 0, 0
+        for i, group in enumerate(groups):
+            ahead, known = joined[at : at + 2 * longest], self.told
+            if REPEATED.search(ahead):
+                ahead, known = REPEATED.sub(r"\1", ahead), self.folded
+            if any(ahead[:length] in known for length in self.lengths):
+                found.append(i)
+            at += len(group)
+        return found
+
+    def read_span(self, span: str) -> tuple[str, ...]:
+        """The telling words of short groups put together."""
+        begins = self.begins(span)
+        return self.telling(self.reader.span(span, begins)) if begins else ()
+
     def __call__(self, text: str) -> float:
         text = text.lower()
         memory = self.memory
@@ -399,8 +540,12 @@ class Scorer:
         pieces = set(text.split())
         for piece in pieces.difference(memory):
             memory[piece] = self.read(piece)
-        words = set(self.telling(self.reader.spaced(text)))
-        for found in filter(None, map(memory.__getitem__, pieces)):
+        # A span has white space in it, so it is never a piece.
+        apart = spans(text)
+        for span in apart.difference(memory):
+            memory[span] = self.read_span(span)
+        words: set[str] = set()
+        for found in filter(None, map(memory.__getitem__, [*pieces, *apart])):
             words.update(found)
         weights = self.model.weights
         counts = Counter(stem for word in words for stem in stems(word) if stem in self.stems)
