@@ -6,7 +6,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.cases import awkward_docs, awkward_texts, no_docs
-from tidemark.llm.packing import cut, pack_binary, write_buckets
+from tidemark.llm.packing import WordEncoder, cut, pack_binary, write_buckets
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -48,3 +48,12 @@ def test_parameters_and_empty_input(spark, tmp_path):
     assert read.count() == pieces.count()
     crc = {(r["doc_id"], r["start"]): zlib.crc32(r["ids"]) for r in pieces.collect() if r["doc_id"]}
     assert {(r["doc_id"], r["start"]): zlib.crc32(r["ids"]) for r in read.collect()} == crc
+
+
+def test_special_tokens_in_other_case_are_text():
+    tokenizer = Tokenizer.from_file(PATH)
+    with open(PATH, encoding="utf-8") as file:
+        encoder = WordEncoder(file.read())
+    for text in ("hello <|ENDOFTEXT|> world", "a<|StartOfText|>b", "hello <|endoftext|> world", "HELLO world"):
+        ids = np.frombuffer(encoder(text), "<u4").tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids

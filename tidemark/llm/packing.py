@@ -48,7 +48,8 @@ class WordEncoder:
     The tokenizer lower-cases and drops white space, so a text's ids are those
     of its words, one after the other; ids of words seen before are looked up.
     Texts with other characters than ``PLAIN`` (case folding and composition
-    look across words there) or with a special token go through it whole.
+    look across words there) or with a special token, in whatever case, go through
+    it whole.
     """
 
     def __init__(self, definition: str):
@@ -64,11 +65,13 @@ class WordEncoder:
         return np.array(ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text) or self.special.search(text):
+        lowered = text.lower()
+        # The name of a special token in other case is text, but its lower-cased word would be the token.
+        if not PLAIN.fullmatch(text) or self.special.search(text) or self.special.search(lowered):
             return self.whole(text)
         if len(self.words) > REMEMBERED:
             self.words.clear()
-        return b"".join(map(self.words.__getitem__, text.lower().split()))
+        return b"".join(map(self.words.__getitem__, lowered.split()))
 
 
 def cut(count: int, longest: int) -> list[tuple[int, int]]:
