@@ -13,7 +13,7 @@ from tests.fixtures import ORDERS, orders, rows, staff, write_csv, write_lines
 from tidemark import schemas
 from tidemark.plans import order_monitor
 from tidemark.streaming.batches import batch_slice_writer
-from tidemark.streaming.runs import NotFinishedError, cached_batch, progress_report, run_available, start
+from tidemark.streaming.runs import NotFinishedError, cached_batch, progress_log, progress_report, run_available, start
 from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.windows import windowed
 
@@ -203,6 +203,21 @@ def test_progress_report(spark, landing, tmp_path):
     assert report.filter("add_batch_ms IS NULL OR trigger_ms < add_batch_ms").count() == 0
 
 
+def test_progress_log_keeps_what_spark_forgets(spark, landing, tmp_path):
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, "2")
+    try:
+        with progress_log(spark) as log:
+            query = run_available(orders_stream(spark, landing, 1), str(tmp_path / "cp"), memory="logged")
+            assert len(query.recentProgress) < 3
+            report = progress_report(spark, query, log)
+        assert rows(report, "batch_id", "num_input_rows") == [(0, 5), (1, 5), (2, 5)]
+        with pytest.raises(ValueError):
+            progress_report(spark, query)
+    finally:
+        spark.conf.unset(kept)
+
+
 def test_stream_table_reads_a_file_or_a_folder(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
     stream = stream_table(spark, str(tmp_path / "t.parquet"))

@@ -10,7 +10,7 @@ from tidemark.plans import order_monitor
 from tidemark.queries._registry import query
 from tidemark.session import scratch_path
 from tidemark.streaming.batches import batch_slice_writer
-from tidemark.streaming.runs import progress_report, run_available, start
+from tidemark.streaming.runs import progress_log, progress_report, run_available, start
 from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.windows import windowed
 
@@ -169,12 +169,13 @@ def stream_interval(t):
     """Started with an interval trigger, drained, stopped; its progress report adds up to the table."""
     out = scratch_path(t.spark, "interval")
     events = stream_table(t.spark, t.path("events"), MAX_FILES).select("event_id", "value")
-    running = start(events, f"{out}/state", path=f"{out}/rows", every="1 second")
-    try:
-        running.processAllAvailable()
-        report = progress_report(t.spark, running)
-    finally:
-        running.stop()
+    with progress_log(t.spark) as log:
+        running = start(events, f"{out}/state", path=f"{out}/rows", every="1 second")
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+        report = progress_report(t.spark, running, log)
     return report.agg(
         F.sum("num_input_rows").alias("rows_seen"), F.sum("rows_dropped_late").alias("dropped_late")
     )

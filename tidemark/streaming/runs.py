@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidemark.operators.layout import reused
 
@@ -84,10 +87,66 @@ def cached_batch(fn: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, i
     return handle
 
 
-def progress_report(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per finished trigger: rows, rates, phases, and whether input outruns processing."""
+class ProgressLog(StreamingQueryListener):
+    """Progress of every trigger by run; Spark itself keeps only the newest ones."""
+
+    def __init__(self):
+        self.runs: dict[str, list[dict]] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self.lock = threading.Lock()
+
+    def end(self, run: str) -> threading.Event:
+        with self.lock:
+            return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = json.loads(event.progress.json)
+        self.runs.setdefault(p["runId"], []).append(p)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.end(str(event.runId)).set()
+
+    def of(self, query: StreamingQuery, timeout: int = 60) -> list[dict]:
+        """All triggers of a stopped query, once Spark has told of its end."""
+        if query.isActive:
+            raise ValueError("stop the query first: events of its last triggers may be on their way")
+        if not self.end(str(query.runId)).wait(timeout):
+            raise TimeoutError(f"the end of run {query.runId} was not told within {timeout} s")
+        return self.runs.get(str(query.runId), [])
+
+
+@contextmanager
+def progress_log(spark: SparkSession) -> Iterator[ProgressLog]:
+    """Records the queries started inside; read it inside too, with ``progress_report``."""
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
+def progress_report(spark: SparkSession, query: StreamingQuery, log: ProgressLog | None = None) -> DataFrame:
+    """One row per finished trigger: rows, rates, phases, and whether input outruns processing.
+
+    With a ``log`` these are all triggers of a stopped query.  Without one they
+    are those Spark remembers; where it may have forgotten some, this raises.
+    """
     rows = []
-    for p in query.recentProgress:
+    if log is None:
+        told = query.recentProgress
+        # Spark drops the oldest as soon as so many are there, which leaves one less.
+        if len(told) >= int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")) - 1:
+            raise ValueError("Spark may have forgotten older triggers; start the query inside progress_log")
+    else:
+        told = log.of(query)
+    for p in told:
         phases = p["durationMs"]
         came, done = p.get("inputRowsPerSecond"), p.get("processedRowsPerSecond")
         late = sum(s.get("numRowsDroppedByWatermark", 0) for s in p["stateOperators"])
