@@ -4,6 +4,7 @@ import zlib
 import pytest
 
 from tests.llm.cases import DOCS, EXTRA, awkward_docs, awkward_texts, no_docs
+from tidemark.llm import toxicity
 from tidemark.llm.toxicity import Model, Reader, Restorer, Scorer, fit_weights, language_model, score_documents, simplified, spans
 
 BAD = ("grumbler", "sneakthief", "blockhead")
@@ -95,3 +96,20 @@ def test_plain_groups_are_skipped_without_loss(spark):
     for _ in range(300):
         span = " ".join(pick.choice(["ta", "ren", "or", "o", "mi", "sa", "nd", "an", "d", "oo"]) for _ in range(pick.randint(3, 7)))
         assert set(scorer.read_span(span)) >= set(scorer.telling(scorer.reader.span(span, [])))
+
+
+def test_repeated_rows_and_contents_stay_within_the_sample(spark, monkeypatch):
+    docs, labels = corpus(spark)
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_weights", lambda rows, names: seen.append(len(rows)) or fit_weights(rows, names))
+    keys = [k for k in range(600) if zlib.crc32(str(k).encode()) % 3 != 1]
+    once = docs.filter(f"doc_id = {keys[0]}")
+    many = docs
+    for _ in range(5):
+        many = many.union(once)
+    toxicity.train(many, labels)
+    assert seen == [len(keys)]
+    contents = spark.createDataFrame([(keys[0], f"text {i}") for i in range(40)], "doc_id long, text string")
+    toxicity.train(contents, labels, max_labelled=10_000)
+    toxicity.train(contents, spark.createDataFrame([(keys[0], 1)], "doc_id long, toxic int"), max_labelled=7)
+    assert seen[1:] == [40, 7]

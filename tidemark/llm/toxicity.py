@@ -395,7 +395,7 @@ def train(
     """Language model of all documents; word weights from labelled ones.
 
     At most ``max_labelled`` labelled documents (chosen by the hash of their
-    key) are used, none of them held out.  Labels other than 0 and 1 and rows
+    key and content, repeated rows once) are used, none of them held out.  Labels other than 0 and 1 and rows
     without a key are left out; the larger of several labels counts.  Only the
     text is an input.  Without labelled rows of both classes all texts get one
     score: 0.75 where all rows seen are toxic, else 0.01.
@@ -407,8 +407,15 @@ def train(
     known = known.filter(F.col("label").isin(0, 1) & F.col("key").isNotNull() & ~held_out(F.col("key")))
     chosen = known.groupBy("key").agg(F.max("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(max_labelled)
     texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # The sample is bounded, so it may be broadcast; written once, as it is read twice.
-    sample = cut_lineage(texts.join(F.broadcast(chosen), "key").select("text", "label"))
+    # The keys are bounded, so they may be broadcast; a repeated row counts once.  Written once, as it is read twice.
+    found = texts.join(F.broadcast(chosen), "key").distinct()
+    # The default partitions, as small ones put together would leave decoding to a few tasks.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    contents = cut_lineage(found.withColumn("content", F.xxhash64("text")).repartition(parts, "key", "content"))
+    # A key may have many contents, so rows are bounded again.
+    order = (F.xxhash64("key"), "key", "content")
+    kept = contents.select("key", "content").orderBy(*order).limit(max_labelled)
+    sample = contents.join(F.broadcast(kept), ["key", "content"], "left_semi").select("text", "label")
     shared = spark.sparkContext.broadcast(language)
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
