@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontaminate, near_dup, packing, secret_scan, substring_dedup, token_counts, topk_blocks, toxicity, url_filter
+from tidemark.llm import (
+    bpe_stream,
+    chat_format,
+    decontaminate,
+    hard_negatives,
+    near_dup,
+    packing,
+    secret_scan,
+    spelling,
+    substring_dedup,
+    token_counts,
+    topk_blocks,
+    toxicity,
+    url_filter,
+)
 from tidemark.session import scratch_path, split_skewed_joins
 
 QUERIES = {}
@@ -260,3 +274,104 @@ WITH RECURSIVE doc AS (
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS kept
 FROM doc LEFT JOIN size USING (doc_id) JOIN least_of USING (doc_id)
 """
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(
+        table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, positives=5, negatives=5, low=80, high=100, label=label
+    )
+
+
+ORACLES["op11_hard_negatives"] = r"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query
+def op12_bpe_stream(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = bpe_stream.decode(bpe_stream.encode(docs, path), path)
+    return read.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(
+        table(spark, sf_dir, "documents"), least_length=5, least_count=3, ratio=2, noise=97
+    )
+
+
+# The checksum byte by byte from its polynomial; words are near if a pattern with one place left open, or
+# one deletion, makes them the same.
+ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE remainders AS (
+    SELECT list(r ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(list_prepend(b, range(8)),
+            lambda c, step: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS r
+        FROM (SELECT unnest(range(256)) AS b))
+), run AS (
+    SELECT doc_id, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS r FROM documents) GROUP BY ALL
+), coded AS (
+    SELECT r, n, hex(encode(doc_id || ':' || r)) AS h FROM run
+), drawn AS (
+    SELECT r, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(h), 2),
+               lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+               lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])), 4294967295) AS crc
+    FROM coded, remainders
+), word AS (
+    SELECT CASE WHEN crc % 97 = 0 THEN substr(r, 1, crc % length(r)) || substr(r, crc % length(r) + 2) ELSE r END AS word,
+           CAST(sum(n) AS BIGINT) AS n
+    FROM drawn GROUP BY 1 HAVING sum(n) >= 3
+), kept AS (
+    SELECT word, n FROM word WHERE length(word) >= 5
+), cut AS (
+    SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b
+    FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM kept)
+), pair AS (
+    SELECT x.word AS u, y.word AS v FROM cut x JOIN cut y USING (i, a, b) WHERE x.word < y.word
+    UNION SELECT d.word, c FROM (SELECT DISTINCT word, a || b AS c FROM cut) d JOIN kept k ON k.word = c
+), link AS (
+    SELECT u AS word, v AS near FROM pair UNION ALL SELECT v, u FROM pair
+), best AS (
+    SELECT l.word, count(*) AS n_near, arg_min(l.near, (-k.n, l.near)) AS form, max(k.n) AS top
+    FROM link l JOIN kept k ON k.word = l.near GROUP BY l.word
+), found AS (
+    SELECT k.word, k.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * k.n THEN form END AS form,
+           CASE WHEN top >= 2 * k.n THEN top END AS form_n
+    FROM kept k LEFT JOIN best USING (word)
+), walk(word, root) AS (
+    SELECT word, word FROM found UNION ALL
+    SELECT walk.word, f.form FROM walk JOIN found f ON f.word = walk.root WHERE f.form IS NOT NULL
+)
+SELECT word, form, root, n, n_near, form_n
+FROM walk JOIN found USING (word)
+WHERE root IN (SELECT word FROM found WHERE form IS NULL)
+"""
