@@ -1,5 +1,6 @@
 import json
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -45,11 +46,11 @@ def toy(rules):
 def plain_merge(transducer, piece):
     ids = [transducer.byte_ids[byte] for byte in piece]
     while True:
-        found = [(transducer.rules[pair][0], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in transducer.rules]
+        found = [(transducer.rules[pair], at) for at, pair in enumerate(zip(ids, ids[1:])) if pair in transducer.rules]
         if not found:
             return ids
         at = min(found)[1]
-        ids[at : at + 2] = [transducer.rules[ids[at], ids[at + 1]][1]]
+        ids[at : at + 2] = [transducer.made[transducer.rules[ids[at], ids[at + 1]]]]
 
 
 def random_rules(pick):
@@ -92,6 +93,7 @@ def test_stream_equals_merging_everything():
         step = pick.randint(1, 50)
         parts = [text[at : at + step] for at in range(0, len(text), step)]
         assert sum(transducer.stream(parts), []) == plain_merge(transducer, text) == transducer.merged(text)
+        assert transducer._merged_short(text) == transducer._merged_long(text)
 
 
 def test_merge_lists_that_do_not_go_in_order_are_refused():
@@ -128,6 +130,12 @@ def test_encoder_equals_the_library(encoder, library):
         assert ids_of(encoder, text) == library.encode(text, add_special_tokens=False).ids, text[:100]
 
 
+def test_latin_characters_are_of_the_kinds_spelt_out(encoder):
+    for char in sorted(bpe_stream.LATIN):
+        spelt = tuple(bool(re.match(f"[{kind}]", char)) for kind in (bpe_stream._LETTER, bpe_stream._NUMBER, bpe_stream._SPACE))
+        assert encoder.kind(char) == spelt, hex(ord(char))
+
+
 def test_long_texts_in_portions(encoder, library):
     pick = random.Random(4)
     text = " ".join("".join(pick.choice("aeinrst,.'") for _ in range(pick.randint(1, 9))) for _ in range(60_000))
