@@ -4,11 +4,13 @@ import datetime as dt
 
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.fixtures import day, orders, rows, staff, write_csv, write_lines, write_staff_csv
 from tidemark import schemas
-from tidemark.functions.udfs import GroupTooLargeError, apply_grouped, null_safe, udf_null_audit
+from tidemark.functions import udfs
+from tidemark.functions.udfs import GroupTooLargeError, apply_grouped, map_grouped, null_safe, udf_null_audit
 from tidemark.operators.quality import Rule, positive
 from tidemark.operators.windows import zscore
 from tidemark.plans import customer_360, daily_load, retail_etl
@@ -52,13 +54,28 @@ def test_grouped_map_equals_built_in(spark):
 def test_group_guard(spark):
     with pytest.raises(GroupTooLargeError, match="Engineering"):
         apply_grouped(staff(spark), ["department"], center, SCHEMA, max_group_rows=5)
-    mixed = apply_grouped(
-        staff(spark), ["department"], center, SCHEMA, 5,
-        oversize=lambda big: zscore(big, ["department"], "salary").select("emp_id", "department", "z"),
-    )
-    plain = apply_grouped(staff(spark), ["department"], center, SCHEMA)
-    r = F.round("z", 9)
-    assert rows(mixed.select("emp_id", r)) == rows(plain.select("emp_id", r))
+
+
+def test_map_grouped_over_small_chunks(spark, monkeypatch):
+    """Groups in pieces of three rows, states of one task handed on early: the same as plain pandas per group."""
+    monkeypatch.setattr(udfs, "HELD_STATES", 1)
+    monkeypatch.setattr(udfs, "STATE_PARTS", 2)
+    rows_ = [(i, [None, "a", "b"][i % 3] if i < 60 else f"k{i}", None if i % 7 == 0 else float(i % 11)) for i in range(70)]
+    df = spark.createDataFrame(rows_, "id int, key string, v double").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        got = map_grouped(
+            df, ["key"],
+            lambda part: {"n": int(part["v"].count()), "total": float(part["v"].sum())},
+            lambda states: {"n": int(states["n"].sum()), "total": float(states["total"].sum())},
+            lambda part: part[["id"]].assign(share=part["v"] / part["total"].where(part["n"] > 0)),
+            "n long, total double", "id int, share double",
+        )
+        total = F.sum("v").over(Window.partitionBy("key"))
+        assert rows(got.select("id", F.round("share", 9))) == rows(df.select("id", F.round(F.try_divide("v", total), 9)))
+        assert map_grouped(df.limit(0), ["key"], dict, dict, lambda p: p[["id"]], "n long", "id int").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 def test_pandas_udf_equals_expression(spark):

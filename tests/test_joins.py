@@ -168,16 +168,25 @@ def test_salted_aggregate_null_rules(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("only_hot", [False, True])
-def test_salted_join_equals_plain(spark, hot, how, only_hot):
+@pytest.mark.parametrize("per_salt", [40, 10**6])
+def test_salted_join_equals_plain(spark, hot, how, per_salt):
     small = spark.createDataFrame([(BUSY, 1), (BUSY, 2), ("shop-5", 3), ("none", 4), (None, 5)], "key string, tag int")
-    keys = skew.hot_keys(hot, ["key"], 0.1) if only_hot else None
-    got = skew.salted_join(hot, small, ["key"], ["id"], 8, how, keys)
+    got = skew.salted_join(hot, small, ["key"], ["id"], per_salt, how)
     assert rows(got.groupBy(*got.columns[1:]).count()) == rows(
         (want := hot.join(small, "key", how)).groupBy(*want.columns[1:]).count()
     )
 
 
+def test_only_large_keys_get_salts_and_as_many_as_they_need(spark, hot):
+    small = spark.createDataFrame([(BUSY, 1), ("shop-5", 2), (None, 3)], "key string, tag int")
+    busy = hot.filter(F.col("key") == BUSY).count()
+    assert rows(skew.salt_counts(hot, ["key"], 50)) == [(BUSY, -(-busy // 50))]
+    left, right = skew.salted_parts(hot, small, ["key"], ["id"], 50)
+    sizes = [r["count"] for r in left.groupBy("key", skew.SALT).count().collect()]
+    assert sum(sizes) == N and max(sizes) <= 80
+    assert rows(right.groupBy("tag").count()) == [(1, -(-busy // 50)), (2, 1), (3, 1)]
+
+
 def test_salted_join_refuses_right_and_full(hot):
     for how in ("right", "full"):
         with pytest.raises(ValueError):

@@ -1,11 +1,15 @@
 """Readers, writers and the catalog."""
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tests.fixtures import MESSY_LINES, ORDER_HEADER, STAFF, orders, plan_of, rows, staff, write_csv, write_lines
 from tidemark import schemas
+from tidemark.session import checkpoint_root
 from tidemark.sources import catalog, files, sinks
 
 
@@ -246,3 +250,34 @@ def test_column_pruning_and_pushdown_reach_the_scan(spark, tmp_path):
     plan = plan_of(files.read_parquet(spark, path).filter("amount > 500").select("order_id"))
     assert "PushedFilters: [IsNotNull(amount), GreaterThan(amount,500.0)]" in plan
     assert "ReadSchema: struct<order_id:int,amount:double>" in plan
+
+
+def test_quarantine_writes_nothing_and_parses_whole_records(spark, tmp_path):
+    """Headers of every file, blank lines, short and long lines, a wrong type; only the corrupt column is asked for."""
+    for name, lines in {"a": ["id,at,v", "1,2024-01-05,1.5", "", "2,2024-01-06,bad", "3,not a day,2.5"],
+                        "b": ["id,at,v", "4,2024-01-07,3.5", "5,2024-01-08", "6,2024-01-09,1.0,7", '7,"2024-01-10",4.5']}.items():
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    schema = StructType.fromDDL("id int, at date, v double")
+    scratch = set(os.listdir(checkpoint_root(spark))) if os.path.isdir(checkpoint_root(spark)) else set()
+    clean, bad = files.read_with_quarantine(spark, str(tmp_path), schema)
+    assert rows(clean.select("id")) == [(1,), (4,), (7,)] and clean.columns == ["id", "at", "v"]
+    assert rows(bad.select(files.CORRUPT)) == [
+        ("2,2024-01-06,bad",), ("3,not a day,2.5",), ("5,2024-01-08",), ("6,2024-01-09,1.0,7",),
+    ]
+    assert (clean.count(), bad.count()) == (3, 4)
+    marked = rows(files.read_marked(spark, str(tmp_path), schema).select("id", "at", "v", files.CORRUPT))
+    assert marked == rows(clean.withColumn(files.CORRUPT, F.lit(None)).unionByName(bad))
+    now = set(os.listdir(checkpoint_root(spark))) if os.path.isdir(checkpoint_root(spark)) else set()
+    assert now == scratch
+
+
+def test_quarantine_of_records_over_several_lines(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,"two\nlines"\nx,"one"\n')
+    clean, bad = files.read_with_quarantine(spark, str(tmp_path / "a.csv"), StructType.fromDDL("id int, v string"), multiLine=True)
+    assert rows(clean) == [(1, "two\nlines")] and bad.count() == 1
+
+
+def test_quarantine_of_an_empty_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    clean, bad = files.read_with_quarantine(spark, str(tmp_path), StructType.fromDDL("id int"))
+    assert (clean.count(), bad.count()) == (0, 0)

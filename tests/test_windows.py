@@ -12,7 +12,7 @@ from tidemark.operators import windows as ops
 from tidemark.operators.joins import pit_join
 from tidemark.operators.windows import Split
 
-SPLITS = [Split(0.05, 20, 4), Split(0.0001, 1, 500)]
+SPLITS = [Split(20, 12), Split(1, 500)]
 
 
 def skewed(spark, seed=1, n=300):
@@ -151,7 +151,7 @@ def test_leading_order_types(spark, kind):
         "timestamp_ntz": F.timestamp_seconds(F.col("id") * 777).cast("timestamp_ntz"),
     }.get(kind, (F.col("id") * 3).cast(kind))
     df = base.withColumn("at", at)
-    got = ops.ranks(df, ["key"], ["at"], ["id"], Split(0.1, 10, 5)).select("id", "row_number")
+    got = ops.ranks(df, ["key"], ["at"], ["id"], Split(10, 20)).select("id", "row_number")
     want = df.select("id", F.row_number().over(Window.partitionBy("key").orderBy("at", "id")).alias("row_number"))
     assert rows(got) == rows(want)
 
@@ -169,7 +169,7 @@ def test_one_result_whatever_the_size(spark, kind):
     df = spark.range(300).select(
         "id", F.lit("all").alias("key"), at.alias("at"), F.col("id").cast("decimal(18,2)").alias("money")
     )
-    split = Split(0.1, 20, 16)
+    split = Split(20, 16)
     calls = [
         lambda how: ops.ranks(df, ["key"], ["at"], ["id"], how),
         lambda how: ops.running(df, ["key"], ["at"], {"t": "money", "n": "id"}, ["id"], how),
@@ -189,7 +189,7 @@ def test_one_result_whatever_the_size(spark, kind):
 
 def test_neighbours_of_one_crowded_day_are_spread(spark):
     df = spark.range(2000).select("id", F.when(F.col("id") >= 0, 1).alias("key"), F.lit(5).alias("day"))
-    split = Split(0.1, 100, 64)
+    split = Split(100, 64)
     sizes = [r["count"] for r in ops.chunked(df, ["key"], ["day", "id"], split).hot.groupBy("__chunk").count().collect()]
     assert max(sizes) < 400
     got = ops.lag_lead(df, ["key"], ["day"], ["id"], {"p": ("id", 1, None)}, split=split)
@@ -198,8 +198,8 @@ def test_neighbours_of_one_crowded_day_are_spread(spark):
 
 def test_full_width_window_does_not_multiply_rows(spark):
     df = spark.range(4000).select("id", F.when(F.col("id") >= 0, 1).alias("key"), F.lit(1).alias("one"))
-    got = ops.within(df, ["key"], "id", 10_000, {"n": "one"}, Split(0.1, 100, 64))
-    assert "explode" not in plan_of(got) and got.agg(F.max("n"), F.count("n")).first()[:] == (4000, 4000)
+    got = ops.within(df, ["key"], "id", 10_000, {"n": "one"}, Split(100, 64))
+    assert "sequence(" not in plan_of(got) and got.agg(F.max("n"), F.count("n")).first()[:] == (4000, 4000)
 
 
 @pytest.mark.parametrize("lead", ["at", "-at"])
@@ -211,10 +211,10 @@ def test_text_order(spark, lead):
     order = F.col("at").desc_nulls_last() if lead[0] == "-" else F.col("at").asc_nulls_first()
     w = Window.partitionBy("key").orderBy(order, "id")
     want = df.withColumns({"row_number": F.row_number().over(w), "p": F.lag("id").over(w)})
-    assert rows(ops.ranks(df, ["key"], [lead], ["id"], Split(0.05, 20, 8)).select("id", "row_number")) == rows(
+    assert rows(ops.ranks(df, ["key"], [lead], ["id"], Split(20, 16)).select("id", "row_number")) == rows(
         want.select("id", "row_number")
     )
-    got = ops.lag_lead(df, ["key"], [lead], ["id"], lags={"p": ("id", 1, None)}, split=Split(0.05, 20, 8))
+    got = ops.lag_lead(df, ["key"], [lead], ["id"], lags={"p": ("id", 1, None)}, split=Split(20, 16))
     assert rows(got.select("id", "p")) == rows(want.select("id", "p"))
 
 
@@ -224,8 +224,9 @@ def test_crowded_values_are_cut_again(spark, lead, tie):
     at = F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, None).otherwise(F.col("id") % 11)
     key = F.when(F.col("id") % 10 != 9, "hot").otherwise(F.col("id").cast("string"))
     df = spark.range(3000).select("id", key.alias("key"), at.cast("int").alias("at"), (F.col("id") % 13).alias("value"))
-    split = Split(0.05, 100, 64)
-    sizes = [r["count"] for r in ops.chunked(df, ["key"], [lead, tie], split).hot.groupBy("__chunk").count().collect()]
+    split = Split(100, 64)
+    hot = ops.chunked(df, ["key"], [lead, tie], split).hot.filter("key = 'hot'")
+    sizes = [r["count"] for r in hot.groupBy("__chunk").count().collect()]
     assert sum(sizes) == 2700 and max(sizes) < 350
     order = [F.col("at").desc_nulls_last() if lead[0] == "-" else F.col("at").asc_nulls_first(),
              F.col("id").desc() if tie[0] == "-" else F.col("id").asc()]
@@ -309,34 +310,82 @@ def test_zscore_null_rules(spark):
     assert rows(single, "z") == [(None,)]
 
 
-def test_plain_window_when_no_key_is_hot(frame):
-    got = ops.running(frame, ["key", "id"], ["at"], {"t": "value"})
+def test_plain_window_for_a_small_table(frame):
+    got = ops.running(frame, ["key", "id"], ["at"], {"t": "value"}, split=Split(1000, 4))
     assert "BroadcastHashJoin" not in plan_of(got)
 
 
 def test_hot_rows_are_not_gathered_under_one_key(frame):
-    """With a split the window partitions by key and chunk."""
-    got = ops.ranks(frame, ["key"], ["at"], ["id"], Split(0.05, 20, 4))
+    """With cuts the window partitions by key and chunk."""
+    got = ops.ranks(frame, ["key"], ["at"], ["id"], Split(20, 12))
     assert "__chunk" in plan_of(got)
 
 
-def test_chunks_are_even_and_cut_from_a_sample(spark):
-    """Two million rows, half under one key: the cut points come from a sample."""
-    key = F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id"))
-    big = spark.range(2_000_000).select("id", key.alias("key"), (F.col("id") * 7919 % 1_000_003).alias("at"))
-    split = Split(0.2, 100_000, 64)
-    rows_ = ops.chunked(big, ["key"], ["at"], split)
-    assert rows_.pieces in (10, 11)  # the sketch estimates the size
-    sizes = [r["count"] for r in rows_.hot.groupBy("__chunk").count().collect()]
-    assert sum(sizes) == 1_000_000 and max(sizes) < 130_000
-    ranked = ops.ranks(big, ["key"], ["at"], ["id"], split).filter("key = -1")
-    got = ranked.agg(F.max("row_number"), F.count_distinct("row_number"), F.min("row_number")).first()
-    assert tuple(got) == (1_000_000, 1_000_000, 1)
+@pytest.mark.parametrize("share", [0.009, 0.9])
+def test_large_and_middling_keys_both_spread(spark, share):
+    """Two million rows: a key with 90 % of them and one with 0.9 % get chunks of the same size."""
+    total, own = 2_000_000, int(2_000_000 * share)
+    key = F.when(F.col("id") < own, F.lit(-1)).otherwise(F.col("id"))
+    big = spark.range(total).select(
+        "id", key.alias("key"), (F.col("id") * 7919 % 1_000_003).alias("at"), F.lit(1).cast("bigint").alias("one")
+    ).repartition(8, "id")
+    split = Split(1, 1000)
+    cut = ops.chunked(big, ["key"], ["at", "id"], split)
+    sizes = [r["count"] for r in cut.df.groupBy("key", "__chunk").count().filter("key = -1").collect()]
+    assert sum(sizes) == own and max(sizes) < 5 * total / 1000
+    found = ops.running(big, ["key"], ["at"], {"n": "one"}, ["id"], split).filter("key = -1")
+    assert found.agg(F.max("n"), F.count_distinct("n"), F.min("n")).first()[:] == (own, own, 1)
+
+
+def test_one_job_while_planning(spark, frame):
+    tracker = spark.sparkContext.statusTracker()
+    split = Split(20, 12)
+    calls = {
+        "ranks": lambda: ops.ranks(frame, ["key"], ["at"], ["id"], split),
+        "rows": lambda: ops.running(frame, ["key"], ["at"], {"t": "value"}, ["id"], split),
+        "range": lambda: ops.running(frame, ["key"], ["at"], {"t": "value"}, split=split),
+        "lag": lambda: ops.lag_lead(frame, ["key"], ["at"], ["id"], {"p": ("id", 1, None)}, split=split),
+    }
+    for name, call in calls.items():
+        spark.sparkContext.setJobGroup(f"planning {name}", name)
+        try:
+            call()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        # An adaptive query runs each of its stages as a job; they are one query here.
+        calls[name] = len(tracker.getJobIdsForGroup(f"planning {name}"))
+    assert max(calls.values()) <= 3, calls
+
+
+def test_rows_are_lent_to_the_next_chunk_only(spark):
+    """Frames far shorter than a chunk: each chunk gets just the rows before it, whatever the key's size."""
+    df = spark.range(20_000).select("id", F.lit("all").alias("key"), F.col("id").alias("at")).repartition(4)
+    rows_ = ops.chunked(df, ["key"], ["at"], Split(100, 40))
+    lent = ops._halo(rows_, ["at"], 3, after=False)
+    sizes = [r["count"] for r in lent.groupBy("__chunk").count().collect()]
+    assert len(sizes) > 20 and set(sizes) == {3}
+    behind = ops._halo(rows_, ["at"], 3, after=True)
+    assert {r["count"] for r in behind.groupBy("__chunk").count().collect()} == {3}
+
+
+def test_peers_parted_by_cuts_share_totals_and_ranks(spark):
+    """One ordering value holds half of a key, so its peers lie in many chunks."""
+    at = F.when(F.col("id") % 2 == 0, F.lit(50)).otherwise(F.col("id") % 100)
+    df = spark.range(4000).select("id", F.lit(1).alias("key"), at.alias("at"), (F.col("id") % 7).alias("value")).persist()
+    split = Split(50, 64)
+    sizes = [r["count"] for r in ops.chunked(df, ["key"], ["at", "id"], split).hot.groupBy("__chunk").count().collect()]
+    assert len(sizes) > 40 and max(sizes) < 400
+    w = Window.partitionBy("key").orderBy("at")
+    want = df.withColumns({"t": F.sum("value").over(w), "c": F.count("value").over(w)})
+    got = ops.running(df, ["key"], ["at"], {"t": "value", "c": F.lit(1).cast("bigint")}, split=split)
+    assert rows(got) == rows(want)
+    want = df.withColumns({"rank": F.rank().over(w), "dense_rank": F.dense_rank().over(w)})
+    assert rows(ops.ranks(df, ["key"], ["at"], ["id"], split).drop("row_number")) == rows(want)
 
 
-def test_small_keys_are_never_split(frame):
+def test_small_tables_are_never_cut(frame):
     assert ops.chunked(frame, ["key"], ["at"], Split()).hot is None
-    assert ops.chunked(frame, ["key"], ["at"], Split(0.05, 20, 4)).pieces == 4
+    assert ops.chunked(frame, ["key"], ["at"], Split(20, 12)).hot is not None
 
 
 def test_sketch_finds_every_hot_key(frame):

@@ -158,31 +158,53 @@ def salted_agg(
     return add_salt(df, id_cols, salts).groupBy(*keys, SALT).agg(*first).groupBy(*keys).agg(*second)
 
 
+#: Most keys that get salts: every other key has fewer rows than any of these.
+MOST_SALTED = 100_000
+
+
+def salt_counts(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """Keys with more than ``rows`` rows and the ``salts`` they need to have about that many per salt, as a local table.
+
+    Counts are exact and combined map-side.  Only the ``MOST_SALTED`` largest
+    keys are fetched, which bounds the table: what comes after them holds less
+    than a hundred-thousandth of the rows each.
+    """
+    large = key_counts(df, keys).filter(F.col("row_count") > rows)
+    ordered = large.orderBy(F.col("row_count").desc()).limit(MOST_SALTED)
+    return settled(ordered.select(*keys, F.ceil(F.col("row_count") / rows).cast("int").alias("salts")))
+
+
+def _with_salts(df: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``__salts``: how many salts the row's key (NULL included) has, 1 for all keys not listed."""
+    marked = counts.select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.col("salts").alias("__salts"))
+    on = all_of(same(F.col(k), F.col(f"__h_{k}")) for k in keys)
+    joined = df.join(F.broadcast(marked), on, "left").drop(*[f"__h_{k}" for k in keys])
+    return joined.withColumn("__salts", F.coalesce("__salts", F.lit(1)))
+
+
+def salted_parts(
+    big: DataFrame, small: DataFrame, on: list[str], id_cols: list[str], rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a salted join with their ``SALT``: rows of a large key spread, its partners repeated."""
+    counts = salt_counts(big, on, rows)
+    spread = F.pmod(F.xxhash64(*id_cols), F.col("__salts")).cast("int")
+    left = _with_salts(big, counts, on).withColumn(SALT, spread).drop("__salts")
+    repeated = F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))
+    return left, _with_salts(small, counts, on).withColumn(SALT, repeated).drop("__salts")
+
+
 def salted_join(
-    big: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    id_cols: list[str],
-    salts: int = 16,
-    how: str = "inner",
-    hot: DataFrame | None = None,
+    big: DataFrame, small: DataFrame, on: list[str], id_cols: list[str], rows: int = 1_000_000, how: str = "inner"
 ) -> DataFrame:
-    """Join with the big side's keys spread over ``salts`` sub-keys.
+    """Join with the large keys of the big side spread over as many sub-keys as they need.
 
-    The small side is repeated once per salt.  With ``hot`` (see ``hot_keys``)
-    only those keys are salted and repeated; all other rows keep salt 0.
-    ``id_cols`` identify a row of the big side.  Right and full joins are
-    refused, since a repeated unmatched row would come out several times.
+    A key with more than ``rows`` rows gets one salt per ``rows`` of them, from
+    exact counts, and only its partners on the small side are repeated.  All
+    other keys, and their partners, stay as they are.  ``id_cols`` identify a row
+    of the big side.  Right and full joins are refused, since a repeated
+    unmatched row would come out several times.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a {how} join cannot be salted")
-    if hot is None:
-        salted = add_salt(big, id_cols, salts)
-        spread = small.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    else:
-        salted = mark_hot(big, hot, on).withColumn(
-            SALT, F.when(F.col("__hot"), salt_of(id_cols, salts)).otherwise(F.lit(0))
-        ).drop("__hot")
-        last = F.when(F.col("__hot"), F.lit(salts - 1)).otherwise(F.lit(0))
-        spread = mark_hot(small, hot, on).withColumn(SALT, F.explode(F.sequence(F.lit(0), last))).drop("__hot")
-    return salted.join(spread, [*on, SALT], how).drop(SALT)
+    left, right = salted_parts(big, small, on, id_cols, rows)
+    return left.join(right, [*on, SALT], how).drop(SALT)

@@ -1,58 +1,51 @@
-"""Window operators that hold when one key owns a large share of the rows.
-
-A plain window sends every row of a key to one task.  Here the keys holding
-more than ``share`` of the rows are looked up first, with a small sketch.
-Without any, or when those fit a task anyway, the plain window runs.  Otherwise
-each hot key is cut into ordered chunks along the first ordering column, at
-quantiles of that key's own values, and windows run per (key, chunk).  What a chunk needs from the other
-ones is small:
-
-* running totals and ranks need one total per earlier chunk,
-* lag, lead and moving frames need a few neighbouring rows,
-* whole-key totals need one row per key.
-
-At most ``2 / share`` keys are cut, into at most ``MAX_CHUNKS`` chunks together,
-so these summaries have a fixed upper size whatever the data, and only they are
-fetched or broadcast.  A first ordering value that itself fills many chunks is
-cut again along the second ordering column.  What depends on the ordering value
-alone (rank, RANGE frames) is worked out on combined values of the hot keys.
-The input is read once more per summary; store an expensive one first
-(``session.cut_lineage``).
+"""Window operators that hold however the rows spread over keys: distributed prefix scans.
+
+All rows, of all keys, form one line in the order (key, ordering columns).  One
+job draws a sample of it and cuts it into pieces of about equal size, as many as
+the session has shuffle partitions.  A key that a cut goes through has several
+chunks; windows run per (key, chunk), so no task gets more than about one piece,
+whether a key owns 90 % of the rows or 0.9 %.  What a chunk needs from the
+others is small:
+
+* running totals, ranks and last versions need one carry per earlier chunk,
+* peers (rows of one ordering value) that lie on both sides of a cut need that
+  value's share of the other chunks,
+* lag, lead and moving frames need a few rows of the neighbouring chunks.
+
+There are fewer cuts than pieces, so the cuts and all carries have at most two
+rows per piece, and only they are fetched or broadcast.  Any cuts give the same
+result.  A table of at most ``Split.rows`` rows keeps the plain window.  The
+input is read once for the sample and once per carry; store an expensive one
+first (``session.cut_lineage``).
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import all_of, as_col, bare, same, sort_columns
-from tidemark.operators.skew import heavy_hashes, settled
+from tidemark.session import cut_lineage
 
 CHUNK = "__chunk"
-BOUNDS = "__bounds"
-FINER = "__finer"
+CUTS = "__cuts"
+EDGE = "__edge"
 
 
 @dataclass(frozen=True)
 class Split:
-    """When a key counts as hot, and how finely it is cut.
+    """``rows``: a table of at most so many is not cut.  ``chunks``: pieces of the whole line; by default the
+    session's shuffle partitions, the number of tasks it gives any shuffle."""
 
-    ``share``: part of all rows that makes a key hot.  ``rows``: rows aimed at
-    per chunk; a table whose largest key has fewer is not split.  ``chunks``:
-    most chunks per key.  However these are set, all hot keys together get at
-    most ``MAX_CHUNKS`` chunks, the size bound of every summary.
-    """
-
-    share: float = 0.01
     rows: int = 1_000_000
-    chunks: int = 4096
+    chunks: int | None = None
 
 
-MAX_CHUNKS = 100_000
 DEFAULT_SPLIT = Split()
+#: Sampled rows: of a task's first rows all, of later ones fewer and fewer; and of all tasks, per piece.
+PER_TASK, PER_PIECE, SAMPLED = 64, 64, 200_000
 
 
 def _check(by: list[str], order: list[str]) -> None:
@@ -68,49 +61,58 @@ def _matches(keys: list[str], prefix: str) -> Column:
 
 @dataclass(frozen=True)
 class Chunked:
-    """Rows with their chunk: -1 for ordinary keys, 0.. along the order for hot ones.
+    """Rows with their chunk: -1 for keys without a cut, 0.. along the order for the others.
 
-    ``hot`` holds the rows of hot keys only, and is None when nothing is cut.
+    ``hot`` holds the rows of cut keys only, and is None when nothing is cut.
     """
 
     df: DataFrame
     by: list[str]
     hot: DataFrame | None
-    pieces: int = 1
 
     @property
     def keys(self) -> list[str]:
         return [*self.by, CHUNK]
 
     def window(self, order: list[str]) -> WindowSpec:
-        """Within a chunk, or within the key where nothing is split."""
+        """Within a chunk, or within the key where nothing is cut."""
         return Window.partitionBy(*(self.by if self.hot is None else self.keys)).orderBy(*sort_columns(order))
 
 
-#: Sampled values per chunk; more make chunks more even.
-SAMPLED = 32
-
+def cut_points(df: DataFrame, by: list[str], order: list[str], split: Split) -> DataFrame | None:
+    """Keys that the cuts go through, each with its cuts in order (columns ``by`` and ``CUTS``); None without any.
 
-def _cuts(
-    values: DataFrame, hashes: dict[int, int], split: Split, most: int
-) -> tuple[DataFrame, int] | None:
-    """Cut points per hot group of ``values`` (columns ``__h`` and ``__v``); None when all groups fit a task.
-
-    Any cut points give right results, so a sample of the values will do, sorted
-    and read at even steps.  Every type that can be sorted can be cut.
+    The i-th row of a task is taken with the chance ``PER_TASK / i`` and stands
+    for ``i / PER_TASK`` rows, which needs no count of the table beforehand.  Of
+    these a weighted sample of bounded size is lined up; its even steps are the
+    cuts.
     """
-    pieces = min(split.chunks, math.ceil(max(hashes.values()) / split.rows), most // len(hashes)) if hashes else 1
+    pieces = split.chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if pieces < 2:
         return None
-    values = values.filter(F.col("__h").isin(list(hashes)) & F.col("__v").isNotNull())
-    share = SAMPLED * pieces / max(hashes.values())
-    if share < 0.5:
-        values = values.sample(share, seed=7)
-    found = F.sort_array(F.collect_list("__v"))
-    steps = F.sequence(F.lit(1), F.lit(pieces - 1))
-    at = F.transform(steps, lambda i: F.get("found", F.floor(i * F.size("found") / pieces).cast("int")))
-    picked = values.groupBy("__h").agg(found.alias("found")).select("__h", F.array_distinct(at).alias("cuts"))
-    return settled(picked), pieces
+    names = list(dict.fromkeys([*by, *bare(order)]))
+    most = max(4 * pieces, min(PER_PIECE * pieces, SAMPLED))
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33)) + 1
+    weight = F.greatest(F.lit(1.0), F.col("__cut_i") / F.lit(float(PER_TASK)))
+    thinned = df.select(*names).withColumn("__cut_i", place).filter(F.rand(7) * F.col("__cut_i") < PER_TASK)
+    drawn = thinned.select(*names, weight.alias("__cut_w"), (-F.log1p(-F.rand(11)) / weight).alias("__cut_key"))
+    sample = drawn.orderBy("__cut_key").limit(most)
+    # Windows over everything, which is the bounded sample here.
+    line, all_rows = Window.orderBy(*sort_columns([*by, *order])), Window.partitionBy()
+    held, least = F.count(F.lit(1)).over(all_rows), F.max("__cut_key").over(all_rows)
+    total = F.when(F.col("__cut_m") < most, F.sum("__cut_w").over(all_rows)).otherwise(F.col("__cut_m") / least)
+    numbered = sample.withColumn("__cut_row", F.row_number().over(line)).withColumn("__cut_m", held)
+    numbered = numbered.withColumn("__cut_p", F.least(F.lit(pieces), F.ceil(total / split.rows)))
+
+    def step(at: Column) -> Column:
+        return F.floor(at * F.col("__cut_p") / F.col("__cut_m"))
+
+    at = F.col("__cut_row")
+    cuts = numbered.filter((step(at) > step(at - 1)) & (at < F.col("__cut_m")))
+    cut = F.struct("__cut_row", *[F.col(name).alias(f"__o{i}") for i, name in enumerate(bare(order))])
+    grouped = cuts.groupBy(*by).agg(F.sort_array(F.collect_list(cut)).alias(CUTS))
+    found = grouped.toArrow()
+    return df.sparkSession.createDataFrame(found, schema=grouped.schema) if found.num_rows else None
 
 
 def _pinned(hashed: Column) -> Column:
@@ -121,77 +123,64 @@ def _pinned(hashed: Column) -> Column:
     return hashed + F.spark_partition_id() * F.lit(0).cast("bigint")
 
 
-def _passed(bounds: Column, value: Column, pieces: int) -> Column:
-    """How many of the sorted cut points lie at or below ``value``; 0 for NULL.
+def _beyond(cut: str, order: list[str]) -> str:
+    """Whether a row lies at a cut or behind it (SQL), NULL sorting as in ``sort_columns``."""
+    found = "true"
+    for i, name in reversed(list(enumerate(order))):
+        mine, other = f"`{name.lstrip('-')}`", f"{cut}.__o{i}"
+        low, high = (mine, other) if name.startswith("-") else (other, mine)
+        before = f"({low} IS NULL AND {high} IS NOT NULL) OR coalesce({low} < {high}, false)"
+        found = f"CASE WHEN {before} THEN true WHEN {mine} <=> {other} THEN {found} ELSE false END"
+    return found
+
+
+def _passed(order: list[str], most: int) -> Column:
+    """How many of the sorted cuts a row has passed, by halving steps; -1 where its key has none.
 
-    Found by halving steps instead of looking at every cut point.
+    As SQL text, which takes one call to build instead of hundreds.
     """
-    steps = F.array(*[F.lit(2**i) for i in reversed(range(pieces.bit_length()))])
-    return F.reduce(
-        steps,
-        F.lit(0),
-        lambda at, width: F.when(F.get(bounds, at + width - 1) <= value, at + width).otherwise(at),
-    )
+    steps = ", ".join(str(2**i) for i in reversed(range(most.bit_length())))
+    beyond = _beyond(f"get({CUTS}, __i + __w - 1)", order)
+    further = f"CASE WHEN __i + __w <= size({CUTS}) AND ({beyond}) THEN __i + __w ELSE __i END"
+    return F.expr(f"CASE WHEN {CUTS} IS NULL THEN -1 ELSE reduce(array({steps}), 0, (__i, __w) -> {further}) END")
 
 
-def _place(passed: Column, value: Column, descending: bool) -> Column:
-    """Chunk along the order: 0.. with NULL at its end, and a cut point's own rows by themselves.
+def _at_cut(order: list[str]) -> Column:
+    """Whether a row's ordering value is that of the cut before or behind its chunk: only such peers can be parted."""
 
-    Values between two cut points have odd chunks; the rows equal to a cut
-    point, and NULLs, have even ones.
-    """
-    bounds = F.col(BOUNDS)
-    on_cut = F.coalesce(F.get(bounds, passed - 1) == value, F.lit(False))
-    at = 2 * passed - on_cut.cast("int")
-    if descending:
-        return F.when(value.isNull(), 2 * F.size(bounds) + 2).otherwise(2 * F.size(bounds) - at + 1)
-    return F.when(value.isNull(), F.lit(0)).otherwise(at + 1)
+    def equal(cut: str) -> str:
+        values = " AND ".join(f"`{name}` <=> {cut}.__o{i}" for i, name in enumerate(bare(order)))
+        return f"({cut} IS NOT NULL AND {values})"
+
+    return F.expr(f"{CUTS} IS NOT NULL AND ({equal(f'get({CUTS}, {CHUNK} - 1)')} OR {equal(f'get({CUTS}, {CHUNK})')})")
 
 
-def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, keep_bounds: bool = False) -> Chunked:
-    """Find the hot keys and number their chunks along the whole ``order``."""
+def chunked(df: DataFrame, by: list[str], order: list[str], split: Split, peers: list[str] | None = None) -> Chunked:
+    """Number the chunks of every key along the whole ``order``.
+
+    With ``peers``, the leading part of ``order``, a column ``EDGE`` tells rows
+    whose peers may lie in several chunks.
+    """
     _check(by, order)
-    hashes, total = heavy_hashes(df, by, split.share)
-    plain = Chunked(df.withColumn(CHUNK, F.lit(-1)), by, None)
-    if not hashes or max(hashes.values()) <= split.rows:
-        return plain
-    lead, *rest = bare(order)
-    value = F.col(lead)
-    own = _pinned(F.xxhash64(*by))
-    found = _cuts(df.select(own.alias("__h"), value.alias("__v")), hashes, split, MAX_CHUNKS // 4)
-    if found is None:
-        return plain
-    bounds, pieces = found
-    place, finer = _place(F.col("__passed"), value, order[0].startswith("-")), None
-    if rest:
-        second = F.col(rest[0])
-        peers = _pinned(F.xxhash64(*by, lead))
-        crowded, _ = heavy_hashes(df.select(*by, lead), [*by, lead], split.share)
-        finer = _cuts(df.select(peers.alias("__h"), second.alias("__v")), crowded, split, MAX_CHUNKS // 2)
-    if finer is not None:
-        passed = F.coalesce(_passed(F.col(FINER), second, finer[1]), F.lit(0))
-        inner = F.coalesce(F.size(FINER), F.lit(0)) - passed if order[1].startswith("-") else passed
-        alone = F.col(FINER).isNotNull() & (F.pmod(place, F.lit(2)) == 0)
-        place = place * (finer[1] + 1) + F.when(alone, inner).otherwise(F.lit(0))
+    cuts = cut_points(df, by, order, split)
+    if cuts is None:
+        return Chunked(df.withColumn(CHUNK, F.lit(-1)), by, None)
+    most = split.chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    renamed = cuts.withColumnsRenamed({k: f"__k_{k}" for k in by})
+    renamed = F.broadcast(renamed.withColumn("__k", F.xxhash64(*[f"__k_{k}" for k in by])))
+    on = (F.col("__l") == F.col("__k")) & _matches(by, "__k_")
+    placed, passed = df.withColumn("__l", _pinned(F.xxhash64(*by))), _passed(order, most)
+    edge = [_at_cut(peers).alias(EDGE)] if peers else []
 
     def numbered(how: str) -> DataFrame:
-        cuts = bounds.select(F.col("__h").alias("__hot"), F.col("cuts").alias(BOUNDS))
-        joined = df.withColumn("__own", own).join(F.broadcast(cuts), F.col("__own") == F.col("__hot"), how)
-        joined = joined.withColumn("__passed", _passed(F.col(BOUNDS), value, pieces))
-        if finer is not None:
-            cuts = finer[0].select(F.col("__h").alias("__crowd"), F.col("cuts").alias(FINER))
-            joined = joined.withColumn("__own", peers).join(
-                F.broadcast(cuts), F.col("__own") == F.col("__crowd"), "left"
-            )
-        chunk = place if how == "inner" else F.when(F.col("__hot").isNull(), F.lit(-1)).otherwise(place)
-        joined = joined.withColumn(CHUNK, chunk).drop("__own", "__hot", "__passed", "__crowd", FINER)
-        return joined if keep_bounds else joined.drop(BOUNDS)
+        joined = placed.join(renamed, on, how).select(*df.columns, CUTS, passed.alias(CHUNK))
+        return joined.select(*df.columns, CHUNK, *edge)
 
-    return Chunked(numbered("left"), by, numbered("inner"), pieces)
+    return Chunked(numbered("left"), by, numbered("inner"))
 
 
 def _earlier(by: list[str]) -> WindowSpec:
-    """Over chunk summaries: everything in the key's earlier chunks."""
+    """Over carries: everything in the key's earlier chunks."""
     return Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
 
 
@@ -201,22 +190,43 @@ def _attach(df: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), _matches(keys, "__k_"), "left").drop(*[f"__k_{k}" for k in keys])
 
 
-def _parted(df: DataFrame, by: list[str], split: Split) -> tuple[DataFrame, DataFrame] | None:
-    """``(rows of ordinary keys, rows of hot keys)``, None when no key is too large for a task."""
-    hashes, _ = heavy_hashes(df, by, split.share)
-    if not hashes or max(hashes.values()) <= split.rows:
-        return None
-    is_hot = F.xxhash64(*by).isin(list(hashes))
-    return df.filter(~is_hot), df.filter(is_hot)
-
-
-def _join_values(df: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
-    """Put per-value results back on the rows; NULL keys match."""
+def _join_values(df: DataFrame, found: DataFrame, keys: list[str], bounded: bool = False) -> DataFrame:
+    """Put per-value results back on the rows; NULL keys match.  ``bounded`` results are broadcast."""
     renamed = found.withColumnsRenamed({k: f"__k_{k}" for k in keys})
     renamed = renamed.withColumn("__k", _pinned(F.xxhash64(*[f"__k_{k}" for k in keys])))
     placed = df.withColumn("__l", _pinned(F.xxhash64(*keys)))
     on = (F.col("__l") == F.col("__k")) & _matches(keys, "__k_")
-    return placed.join(renamed, on, "left").drop("__l", "__k", *[f"__k_{k}" for k in keys])
+    joined = placed.join(F.broadcast(renamed) if bounded else renamed, on, "left")
+    return joined.drop("__l", "__k", *[f"__k_{k}" for k in keys])
+
+
+def _plus(*parts: Column) -> Column:
+    """Sum of totals; a NULL one has seen no value, and does not spoil the others."""
+    total = parts[0]
+    for part in parts[1:]:
+        total = F.when(total.isNull(), part).when(part.isNull(), total).otherwise(total + part)
+    return total
+
+
+def _carried(rows: Chunked, sums: list[str]) -> DataFrame:
+    """Per chunk, the totals ``__b_`` of the key's earlier chunks."""
+    totals = rows.hot.groupBy(*rows.keys).agg(*[F.sum(n).alias(f"__t_{n}") for n in sums])
+    return totals.select(*rows.keys, *[F.sum(f"__t_{n}").over(_earlier(rows.by)).alias(f"__b_{n}") for n in sums])
+
+
+def _parted(rows: Chunked, order: list[str], sums: list[str]) -> DataFrame:
+    """Per chunk and value at a cut, the value's totals in earlier (``__e_``) and later (``__a_``) chunks."""
+    values = [n for n in dict.fromkeys(bare(order)) if n not in rows.by]
+    shared = rows.hot.filter(EDGE).groupBy(*rows.keys, *values).agg(*[F.sum(n).alias(f"__t_{n}") for n in sums])
+    line = Window.partitionBy(*rows.by, *values).orderBy(CHUNK)
+    earlier = line.rowsBetween(Window.unboundedPreceding, -1)
+    later = line.rowsBetween(1, Window.unboundedFollowing)
+    return shared.select(
+        *rows.keys,
+        *values,
+        *[F.sum(f"__t_{n}").over(earlier).alias(f"__e_{n}") for n in sums],
+        *[F.sum(f"__t_{n}").over(later).alias(f"__a_{n}") for n in sums],
+    )
 
 
 def _running_rows(df: DataFrame, by: list[str], order: list[str], sums: list[str], split: Split) -> DataFrame:
@@ -226,20 +236,16 @@ def _running_rows(df: DataFrame, by: list[str], order: list[str], sums: list[str
     local = rows.df.withColumns({f"__m_{n}": F.sum(n).over(frame) for n in sums})
     if rows.hot is None:
         return local.withColumns({n: F.col(f"__m_{n}") for n in sums}).drop(CHUNK, *[f"__m_{n}" for n in sums])
-    before = (
-        rows.hot.groupBy(*rows.keys)
-        .agg(*[F.sum(n).alias(f"__t_{n}") for n in sums])
-        .select(*rows.keys, *[F.sum(f"__t_{n}").over(_earlier(by)).alias(f"__b_{n}") for n in sums])
-    )
-    totals = {}
-    for n in sums:
-        mine, earlier = F.col(f"__m_{n}"), F.col(f"__b_{n}")
-        # A NULL side has seen no value yet, and does not spoil the other one.
-        totals[n] = F.when(mine.isNull(), earlier).when(earlier.isNull(), mine).otherwise(mine + earlier)
-    joined = _attach(local, before, rows.keys)
+    joined = _attach(local, _carried(rows, sums), rows.keys)
+    totals = {n: _plus(F.col(f"__m_{n}"), F.col(f"__b_{n}")) for n in sums}
     return joined.withColumns(totals).drop(CHUNK, *[f"__{p}_{n}" for n in sums for p in "mb"])
 
 
+def _spread(df: DataFrame) -> Column:
+    """A hash of the row, by which the peers of a crowded value can be parted."""
+    return F.xxhash64(*[name for name, kind in df.dtypes if "map<" not in kind and "variant" not in kind])
+
+
 def running(
     df: DataFrame,
     by: list[str],
@@ -262,15 +268,19 @@ def running(
             df.withColumns({n: as_col(c) for n, c in sums.items()}), by, order + tie, list(sums), split
         )
         return found.withColumns(typed)
-    peers = Window.partitionBy(*by).orderBy(*sort_columns(order))
-    parts = _parted(df, by, split)
-    if parts is None:
-        return df.withColumns({n: F.sum(as_col(c)).over(peers) for n, c in sums.items()})
-    cold, hot = parts
-    keys = list(dict.fromkeys([*by, *bare(order)]))
-    values = hot.groupBy(*keys).agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()])
-    warm = _join_values(hot, _running_rows(values, by, order, list(sums), split), keys).withColumns(typed)
-    return cold.withColumns({n: F.sum(as_col(c)).over(peers) for n, c in sums.items()}).unionByName(warm)
+    # Totals go to columns of their own, as an ordering column may be summed under its name.
+    own = {f"__s_{n}": as_col(c) for n, c in sums.items()}
+    rows = chunked(df.withColumns(own | {"__spread": _spread(df)}), by, [*order, "__spread"], split, peers=order)
+    local = rows.df.withColumns({f"__m_{n}": F.sum(n).over(rows.window(order)) for n in own})
+    if rows.hot is None:
+        totals = {n: F.col(f"__m___s_{n}") for n in sums}
+        return local.withColumns(totals).drop(CHUNK, "__spread", *own, *[f"__m_{n}" for n in own])
+    local = _attach(local, _carried(rows, list(own)), rows.keys)
+    values = [n for n in dict.fromkeys(bare(order)) if n not in by]
+    local = _attach(local, _parted(rows, order, list(own)), [*rows.keys, *values])
+    totals = {n: _plus(*[F.col(f"__{p}___s_{n}") for p in "mba"]) for n in sums}
+    made = [f"__{p}_{n}" for n in own for p in "mbea"]
+    return local.withColumns(totals).withColumns(typed).drop(CHUNK, EDGE, "__spread", *own, *made)
 
 
 def ranks(
@@ -285,57 +295,73 @@ def ranks(
     ``order`` decides peers; ``tie`` makes ``row_number`` reproducible.
     """
     _check(by, order)
-    peers = Window.partitionBy(*by).orderBy(*sort_columns(order))
-    lined = Window.partitionBy(*by).orderBy(*sort_columns(order + tie))
-    plain = {
-        "row_number": F.row_number().over(lined).cast("bigint"),
-        "rank": F.rank().over(peers).cast("bigint"),
-        "dense_rank": F.dense_rank().over(peers).cast("bigint"),
-    }
-    parts = _parted(df, by, split)
-    if parts is None:
-        return df.withColumns(plain)
-    cold, hot = parts
-    numbered = _running_rows(hot.withColumn("row_number", F.lit(1)), by, order + tie, ["row_number"], split)
-    # Both ranks follow from how many rows and values lie before a value.
-    keys = list(dict.fromkeys([*by, *bare(order)]))
-    counts = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.withColumns({"rank": F.col("__n"), "dense_rank": F.lit(1)})
-    placed = _running_rows(counts, by, order, ["rank", "dense_rank"], split)
-    placed = placed.withColumn("rank", F.col("rank") - F.col("__n") + 1).drop("__n")
-    warm = _join_values(numbered, placed, keys)
-    return cold.withColumns(plain).unionByName(warm.withColumns({n: F.col(n).cast("bigint") for n in plain}))
-
-
-def _neighbours(rows: Chunked, order: list[str], count: int, after: bool) -> DataFrame:
-    """Rows each hot chunk needs from outside: ``count`` before it, or after it.
-
-    Only the last (first) ``count`` rows of every chunk can be needed, so the
-    candidates number at most keys x chunks x count.  They are lined up per key
-    and every chunk asks for the positions next to its own first (last) row.
+    rows = chunked(df, by, order + tie, split, peers=order)
+    lined, peers = rows.window(order + tie), rows.window(order)
+    local = rows.df.withColumns(
+        {
+            "row_number": F.row_number().over(lined).cast("bigint"),
+            "rank": F.rank().over(peers).cast("bigint"),
+            "dense_rank": F.dense_rank().over(peers).cast("bigint"),
+        }
+    )
+    if rows.hot is None:
+        return local.drop(CHUNK)
+    values = [n for n in dict.fromkeys(bare(order)) if n not in by]
+    counted = Chunked(rows.df, by, rows.hot.withColumn("__n", F.lit(1).cast("bigint")))
+    parted = _parted(counted, order, ["__n"])
+    # A value that began in an earlier chunk is no new one.
+    again = parted.groupBy(*rows.keys).agg(F.count("__e___n").alias("__again"))
+    different = rows.hot.select(*rows.keys, *values).distinct().groupBy(*rows.keys).agg(F.count(F.lit(1)).alias("__d"))
+    new = F.col("__d") - F.coalesce("__again", F.lit(0))
+    fresh = _attach(different, again, rows.keys).select(
+        *rows.keys,
+        (F.sum(new).over(_earlier(by).rowsBetween(Window.unboundedPreceding, 0)) - F.col("__d")).alias("__dense"),
+    )
+    found = _attach(local, _carried(counted, ["__n"]), rows.keys)
+    found = _attach(_attach(found, fresh, rows.keys), parted, [*rows.keys, *values])
+    before = F.coalesce("__b___n", F.lit(0))
+    return found.withColumns(
+        {
+            "row_number": F.col("row_number") + before,
+            "rank": F.col("rank") + before - F.coalesce("__e___n", F.lit(0)),
+            "dense_rank": F.col("dense_rank") + F.coalesce("__dense", F.lit(0)),
+        }
+    ).drop(CHUNK, EDGE, "__dense", "__b___n", "__e___n", "__a___n")
+
+
+def _starts(rows: Chunked) -> DataFrame:
+    """Per cut key, its chunks in order with the rows before each and up to its end (``__line``)."""
+    sizes = rows.hot.groupBy(*rows.keys).agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(*rows.by).orderBy(CHUNK)
+    ends = sizes.withColumn("stop", F.sum("n").over(upto))
+    chunk = F.struct(F.col(CHUNK).alias("chunk"), (F.col("stop") - F.col("n")).alias("start"), "stop")
+    return ends.groupBy(*rows.by).agg(F.sort_array(F.collect_list(chunk)).alias("__line"))
+
+
+def _halo(rows: Chunked, order: list[str], count: int, after: bool) -> DataFrame:
+    """Rows lent to other chunks: the ``count`` before each chunk, or behind it.
+
+    Only the last (first) ``count`` rows of a chunk can be needed, which is all
+    that leaves a map task.  The rows before each chunk of the key are known, so
+    a row finds its own place in the key, and from it the chunks that begin (end)
+    no further than ``count`` rows away: the next one, or several short ones.
+    No task sees more of a key than that.
     """
     forward = sort_columns(order)
     backward = sort_columns([o[1:] if o.startswith("-") else f"-{o}" for o in order])
     inner = Window.partitionBy(*rows.keys).orderBy(*(forward if after else backward))
-    edge = rows.hot.withColumn("__e", F.row_number().over(inner)).filter(F.col("__e") <= count).drop("__e")
-    # Chunks never interleave, so (chunk, order) is the order of the whole key.
-    line = Window.partitionBy(*rows.by).orderBy(F.col(CHUNK), *forward)
-    placed = edge.withColumn("__pos", F.row_number().over(line))
-    if after:
-        first, last = F.max("__pos") + 1, F.max("__pos") + count
-    else:
-        first, last = F.min("__pos") - count, F.min("__pos") - 1
-    wanted = (
-        placed.groupBy(*rows.keys)
-        .agg(F.explode(F.sequence(first, last)).alias("__want"))
-        .withColumnsRenamed({k: f"__k_{k}" for k in rows.keys})
-    )
-    on = _matches(rows.by, "__k_") & (F.col("__pos") == F.col("__want"))
-    return (
-        placed.join(wanted, on)
-        .withColumn(CHUNK, F.col(f"__k_{CHUNK}"))
-        .drop("__pos", "__want", *[f"__k_{k}" for k in rows.keys])
-    )
+    edge = rows.hot.withColumn("__e", F.row_number().over(inner)).filter(F.col("__e") <= count)
+    placed = _join_values(edge, _starts(rows), rows.by, bounded=True)
+
+    def wanted(other: Column) -> Column:
+        if after:
+            return (other["chunk"] < F.col(CHUNK)) & (F.col("__at") < other["stop"] + count)
+        return (other["chunk"] > F.col(CHUNK)) & (F.col("__at") >= other["start"] - count)
+
+    mine = F.filter("__line", lambda other: other["chunk"] == F.col(CHUNK))[0]
+    at = mine["start"] + F.col("__e") - 1 if after else mine["stop"] - F.col("__e")
+    lent = placed.withColumn("__at", at).withColumn("__to", F.explode(F.filter("__line", wanted)["chunk"]))
+    return lent.withColumn(CHUNK, F.col("__to")).drop("__e", "__at", "__line", "__to")
 
 
 def neighbour_frame(
@@ -359,8 +385,7 @@ def neighbour_frame(
     lined = rows.df.withColumn("__own", F.lit(True))
     for count, is_after in ((before, False), (after, True)):
         if count:
-            lent = _neighbours(rows, full, count, is_after).withColumn("__own", F.lit(False))
-            lined = lined.unionByName(lent)
+            lined = lined.unionByName(_halo(rows, full, count, is_after).withColumn("__own", F.lit(False)))
     return lined.withColumns(columns(rows.window(full))).filter("__own").drop("__own", CHUNK)
 
 
@@ -430,48 +455,47 @@ def within(
     """Sums over rows whose integer ``order`` value lies in ``[current - width, current]``.
 
     The running total up to a value, less the running total before the value
-    ``width`` below it: each combined (key, value) is two points on one line,
-    whatever the width.  Whole numbers and decimals are exact; floats carry the
-    rounding of a difference.  Rows without an order value share one window.
+    ``width`` below it.  Rows are combined by (key, value) once and stored; each
+    combined value is two points, where its range ends and where it begins, and
+    the two sorted streams of points merge on one scanned line, whatever the
+    width.  Whole numbers and decimals are exact; floats carry the rounding of a
+    difference.  Rows without an order value share one window.
     """
+    _check(by, [order])
     plain = df.agg(*[F.sum(as_col(c)).alias(n) for n, c in sums.items()]).dtypes
     totals = df.groupBy(*by, order).agg(
         *[F.sum(as_col(c)).alias(n) for n, c in sums.items()],
         *[F.count(as_col(c)).alias(f"__c_{n}") for n, c in sums.items()],
     )
+    totals = cut_lineage(totals)
     names = [*sums, *[f"__c_{n}" for n in sums]]
-    kind = dict(df.dtypes)[order]
-    ends = totals.select(*by, F.col(order).alias("__ref"), F.col(order).alias("__at"), F.lit(1).alias("__side"), *names)
-    starts = ends.filter(F.col("__ref").isNotNull()).select(
-        *by,
-        "__ref",
-        (F.col("__at") - F.lit(width)).cast(kind).alias("__at"),
-        F.lit(0).alias("__side"),
-        *[F.lit(None).cast(t).alias(n) for n, t in ends.select(*names).dtypes],
+    ref = F.col(order)
+    point = [
+        F.struct(ref.alias("at"), F.lit(1).alias("side"), *names),
+        F.struct(
+            (ref - F.lit(width)).cast(dict(df.dtypes)[order]).alias("at"),
+            F.lit(0).alias("side"),
+            *[F.lit(None).cast(kind).alias(n) for n, kind in totals.select(*names).dtypes],
+        ),
+    ]
+    # A missing value comes first on the line and is in every total, so differences are free of it; it has no begin.
+    points = F.when(ref.isNull(), F.array(point[0])).otherwise(F.array(*point))
+    line = totals.select(*by, ref.alias("__ref"), F.explode(points).alias("__p")).select(
+        *by, "__ref", F.col("__p.at").alias("__at"), F.col("__p.side").alias("__side"), *[F.col(f"__p.{n}") for n in names]
     )
-    line = _running_rows(ends.unionByName(starts), by, ["__at", "__side"], names, split)
+    line = _running_rows(line, by, ["__at", "__side"], names, split)
     side = F.col("__side")
     found = line.groupBy(*by, "__ref").agg(
         *[F.max(F.when(side == 1, F.col(n))).alias(f"__u_{n}") for n in names],
         *[F.max(F.when(side == 0, F.col(n))).alias(f"__b_{n}") for n in names],
     )
-    # NULL order values come first on the line; their own sum is not part of other windows.
-    none = totals.filter(F.col(order).isNull()).select(*by, *[F.col(n).alias(f"__n_{n}") for n in names])
-    found = _join_values(found, none, by) if _nullable(df, order) else found.withColumns(
-        {f"__n_{n}": F.lit(None).cast("bigint") for n in names}
-    )
-    numbers = {}
-    for n, t in plain:
-        def inside(name):
-            before = F.coalesce(F.col(f"__b_{name}"), F.when(F.col("__ref").isNotNull(), F.col(f"__n_{name}")), F.lit(0))
-            return F.coalesce(F.col(f"__u_{name}"), F.lit(0)) - before
-        numbers[n] = F.when(inside(f"__c_{n}") > 0, inside(n)).cast(t)
-    found = found.select(*by, F.col("__ref").alias(order), *[c.alias(n) for n, c in numbers.items()])
-    return _join_values(df.drop(*sums), found, [*by, order])
 
+    def inside(name: str) -> Column:
+        return F.coalesce(F.col(f"__u_{name}"), F.lit(0)) - F.coalesce(F.col(f"__b_{name}"), F.lit(0))
 
-def _nullable(df: DataFrame, name: str) -> bool:
-    return df.schema[name].nullable
+    numbers = {n: F.when(inside(f"__c_{n}") > 0, inside(n)).cast(kind) for n, kind in plain}
+    found = found.select(*by, F.col("__ref").alias(order), *[c.alias(n) for n, c in numbers.items()])
+    return _join_values(df.drop(*sums), found, [*by, order])
 
 
 def with_totals(
@@ -541,8 +565,8 @@ def asof_versions(
 
     Versions must not overlap (see ``scd.overlaps``).  Facts and versions are
     lined up by time and each fact takes the last version seen, so no fact
-    meets all versions of its key.  A hot key is cut into chunks; each chunk
-    learns the last version of the earlier ones.
+    meets all versions of its key.  Each chunk of a cut key learns the last
+    version of the earlier ones.
     """
     version = F.struct(F.col(start).alias("__from"), F.col(end).alias("__until"), *payload)
     kind = dict(dim.dtypes)[start]

@@ -7,7 +7,9 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import cents, exact_sum, money_avg, money_sum
+from tidemark.operators.sketches import distinct_from_sketches, error_bound, replace_sketches, store_sketches
 from tidemark.queries._registry import query
+from tidemark.session import scratch_path
 
 
 @query("""
@@ -106,6 +108,33 @@ def approx_distinct_bound(t):
     )
 
 
+@query("""
+    WITH e AS (SELECT event_type, user_id, CAST(ts AS DATE) AS day FROM events)
+    SELECT event_type, count(DISTINCT user_id) AS users, TRUE AS within_bound FROM e GROUP BY 1
+    UNION ALL SELECT 'all', count(DISTINCT user_id), TRUE FROM e
+""")
+def distinct_from_days(t):
+    """Distinct users from sketches stored per day and type: all days but the last, the last one added, then again.
+
+    Next to the exact count: off by at most four standard errors.
+    """
+    path = scratch_path(t.spark, "sketches")
+    events = t.events.select("event_type", "user_id", F.to_date("ts").alias("day"))
+    last = events.agg(F.max("day").alias("day")).first()["day"]
+    store_sketches(events.filter(F.col("day") < F.lit(last)), path, ["day", "event_type"], "user_id")
+    for _ in range(2):
+        replace_sketches(events.filter(F.col("day") == F.lit(last)), path, ["day", "event_type"], "user_id", [last])
+    everyone = F.lit("all").alias("event_type")
+    exact = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("users"))
+    exact = exact.unionByName(events.agg(F.count_distinct("user_id").alias("users")).select(everyone, "users"))
+    estimate = distinct_from_sketches(t.spark, path, ["event_type"])
+    estimate = estimate.unionByName(distinct_from_sketches(t.spark, path).select(everyone, "estimate"))
+    off = F.abs(F.col("estimate") - F.col("users"))
+    return exact.join(estimate, "event_type").select(
+        "event_type", "users", (off <= error_bound(4) * F.col("users") + 1).alias("within_bound")
+    )
+
+
 @query("""
     SELECT o_custkey, count(*) AS orders, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM orders GROUP BY 1 HAVING count(*) > 12

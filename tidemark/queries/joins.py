@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import cents, exact_sum
 from tidemark.operators.joins import broadcast_small, null_safe_join, orphans, pit_join, range_join
-from tidemark.operators.skew import hot_keys, salted_join
-from tidemark.operators.windows import Split, asof_versions, lag_lead
+from tidemark.operators.skew import SALT, salted_join, salted_parts
+from tidemark.operators.windows import Split, asof_versions
 from tidemark.queries._registry import query
+from tidemark.session import cut_lineage
 
 
 def _orders(t):
@@ -185,13 +187,17 @@ def self_join(t):
 
 
 def _versions(t):
-    """Order-status history per customer: each order opens a version lasting to the next order date."""
+    """Order-status history per customer: each order opens a version lasting to the next order date.
+
+    A customer has one row a day, so a key's rows are bounded by the calendar and a plain window holds.
+    """
     per_day = t.orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("effective_start")).agg(
         F.max("o_orderpriority").alias("priority")
     )
-    return lag_lead(
-        per_day, ["o_custkey"], ["effective_start"], ["priority"], leads={"effective_end": ("effective_start", 1, None)}
-    ).select(F.col("o_custkey").alias("cust"), "priority", "effective_start", "effective_end")
+    following = F.lead("effective_start").over(Window.partitionBy("o_custkey").orderBy("effective_start"))
+    return per_day.select(
+        F.col("o_custkey").alias("cust"), "priority", "effective_start", following.alias("effective_end")
+    )
 
 
 def _facts(t):
@@ -224,7 +230,9 @@ def pit_join_inner(t):
 
 @query(_PIT.format(how="LEFT"))
 def pit_join_many_versions(t):
-    return asof_versions(_facts(t), _versions(t), ["cust"], "day", ["priority"], split=Split(0.005, 50, 8))
+    # Read for the sample, the carry and the line: stored once.
+    versions = cut_lineage(_versions(t))
+    return asof_versions(_facts(t), versions, ["cust"], "day", ["priority"], split=Split(1_000, 16))
 
 
 def _skewed_events(t):
@@ -245,14 +253,30 @@ def _labels(t):
 
 @query(_SKEWED + "SELECT e.key, event_id, value, label FROM e JOIN d ON e.key = d.key", name="salted_join")
 def salted_join_query(t):
-    return salted_join(_skewed_events(t), _labels(t), ["key"], ["event_id"], salts=8)
+    """The key of nine tenths of the rows gets as many salts as it needs, all others none."""
+    return salted_join(_skewed_events(t), _labels(t), ["key"], ["event_id"], rows=10_000)
 
 
 @query(_SKEWED + "SELECT e.key, event_id, value, label FROM e LEFT JOIN d ON e.key = d.key")
 def salted_join_hot(t):
     events = _skewed_events(t)
-    hot = hot_keys(events, ["key"], 0.05)
-    return salted_join(events, _labels(t), ["key"], ["event_id"], salts=8, how="left", hot=hot)
+    return salted_join(events, _labels(t), ["key"], ["event_id"], rows=10_000, how="left")
+
+
+@query("""
+    WITH e AS (SELECT CASE WHEN user_id % 10 <> 0 THEN -1 ELSE user_id END AS key FROM events),
+         n AS (SELECT key, count(*) AS row_count FROM e GROUP BY 1)
+    SELECT key, row_count, CAST(ceil(row_count / 500) AS INTEGER) AS salts, TRUE AS balanced
+    FROM n WHERE row_count > 500
+""")
+def salted_balance(t):
+    """Rows of each large key, its salts, and whether its largest sub-key is within half as much again of the aim."""
+    left, _ = salted_parts(_skewed_events(t), _labels(t), ["key"], ["event_id"], rows=500)
+    parts = left.groupBy("key", SALT).agg(F.count(F.lit(1)).alias("n"))
+    whole = parts.groupBy("key").agg(
+        F.sum("n").alias("row_count"), F.count(F.lit(1)).cast("int").alias("salts"), F.max("n").alias("largest")
+    )
+    return whole.filter("row_count > 500").select("key", "row_count", "salts", (F.col("largest") <= 750).alias("balanced"))
 
 
 @query("""

@@ -106,7 +106,7 @@ def sort_limit(t):
 def sort_nulls(t):
     """Positions under explicit null placement."""
     parts = t.part.select("p_brand", "p_partkey", F.nullif("p_size", F.lit(1)).alias("size"))
-    split = Split(0.01, 20, 8)
+    split = Split(1_000, 16)
 
     def position(order, name):
         return ranks(parts, ["p_brand"], [order], ["p_partkey"], split).select(

@@ -88,23 +88,25 @@ def replace_slice_query(t):
 
 
 @query("""
-    SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, count(*) AS orders,
-           CASE WHEN o_orderdate < DATE '1995-01-03' THEN 1.0 * count(*) ELSE round(sum(o_totalprice), 2) END AS total
-    FROM orders WHERE o_orderdate < DATE '1995-01-20' AND o_orderdate <> DATE '1995-01-03'
-    GROUP BY o_orderdate
+    SELECT strftime(month, '%Y-%m-%d') AS month, count(*) AS orders,
+           CASE WHEN year(month) = 1996 THEN 1.0 * count(*) ELSE round(sum(o_totalprice), 2) END AS total
+    FROM (SELECT o_totalprice, date_trunc('month', CAST(o_orderdate AS DATE)) AS month FROM orders)
+    WHERE month <> DATE '1997-01-01'
+    GROUP BY month
 """)
 def replace_slice_dates(t):
-    """Daily slices: the first two days replaced (named as text, then as dates), the third emptied."""
-    path = scratch_path(t.spark, "days")
-    day = F.col("o_orderdate").cast("date").alias("day")
-    orders = t.orders.filter("o_orderdate < DATE'1995-01-20'").select("o_orderkey", "o_totalprice", day)
-    write(orders, path, partition_by=["day"])
-    fixed = orders.filter("day < DATE'1995-01-03'").withColumn("o_totalprice", F.lit(1.0))
-    replace_slice(fixed, path, "day", ["1995-01-01", "1995-01-02", "1995-01-03"])
-    replace_slice(fixed, path, "day", [dt.date(1995, 1, d) for d in (1, 2, 3)])
+    """All orders in monthly slices: those of 1996 replaced (named as text, then as dates), January 1997 emptied."""
+    path = scratch_path(t.spark, "months")
+    month = F.trunc("o_orderdate", "month").alias("month")
+    orders = t.orders.select("o_orderkey", "o_totalprice", month)
+    write(orders, path, partition_by=["month"])
+    fixed = orders.filter("year(month) = 1996").withColumn("o_totalprice", F.lit(1.0))
+    months = [dt.date(1996, m, 1) for m in range(1, 13)] + [dt.date(1997, 1, 1)]
+    replace_slice(fixed, path, "month", [str(m) for m in months])
+    replace_slice(fixed, path, "month", months)
     return (
         read_parquet(t.spark, path)
-        .groupBy(F.col("day").cast("string").alias("day"))
+        .groupBy(F.col("month").cast("string").alias("month"))
         .agg(F.count(F.lit(1)).alias("orders"), money_sum("o_totalprice").alias("total"))
     )
 
@@ -223,11 +225,14 @@ def catalog_tables(t):
     return found
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT o_orderkey, o_orderpriority, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders")
 def csv_inferred(t):
+    """Numbers, text and days come back typed without a schema."""
     path = scratch_path(t.spark, "csv")
-    t.nation.write.csv(path, header=True)
-    return read_csv_inferred(t.spark, path)
+    day = F.to_date("o_orderdate").alias("day")
+    t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice", day).write.csv(path, header=True)
+    rows = read_csv_inferred(t.spark, path)
+    return rows.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint"))
 
 
 @query("""
@@ -247,13 +252,22 @@ def csv_modes(t):
     return t.spark.createDataFrame(found, "mode string, row_count bigint, missing bigint")
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+#: Orders in one JSON document at most about this many (by the hash of their key).
+DOCUMENT_ROWS = 1_000
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
 def json_document(t):
-    """All nations as one indented JSON array."""
+    """All orders as indented JSON arrays of about a thousand orders, a file each: a file is one value."""
     path = scratch_path(t.spark, "json")
-    rows = F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name", "n_regionkey")))
-    t.nation.agg(F.to_json(rows, {"pretty": "true"}).alias("value")).write.text(path)
-    return read_json_document(t.spark, path, t.nation.schema)
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    # As many documents as the table needs; Parquet counts its rows without reading them.
+    documents = max(1, orders.count() // DOCUMENT_ROWS)
+    number = F.pmod(F.xxhash64("o_orderkey"), F.lit(documents)).alias("document")
+    rows = F.sort_array(F.collect_list(F.struct(*orders.columns)))
+    arrays = orders.groupBy(number).agg(F.to_json(rows, {"pretty": "true"}).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_json_document(t.spark, path, orders.schema)
 
 
 @query("""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import money, money_sum
@@ -10,7 +11,7 @@ from tidemark.plans import order_monitor
 from tidemark.queries._registry import query
 from tidemark.session import scratch_path
 from tidemark.streaming.batches import batch_slice_writer
-from tidemark.streaming.runs import progress_log, progress_report, run_available, start
+from tidemark.streaming.runs import cached_batch, progress_log, progress_report, run_available, start
 from tidemark.streaming.sources import stream_files, stream_table
 from tidemark.streaming.windows import windowed
 
@@ -179,3 +180,68 @@ def stream_interval(t):
     return report.agg(
         F.sum("num_input_rows").alias("rows_seen"), F.sum("rows_dropped_late").alias("dropped_late")
     )
+
+
+@query("""
+    SELECT CASE WHEN value > 50 THEN 'good' ELSE 'rejected' END AS side, count(*) AS events,
+           CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, (SELECT count(*) FROM events) AS rows_read
+    FROM events GROUP BY 1
+""")
+def stream_cached(t):
+    """Two sinks fed from one cached micro-batch: the source is read once, so its triggers count each row once."""
+    out = scratch_path(t.spark, "cached")
+    sinks = {side: batch_slice_writer(f"{out}/{side}") for side in ("good", "rejected")}
+    good = F.coalesce(F.col("value") > 50, F.lit(False))
+
+    def handle(batch, batch_id):
+        sinks["good"](batch.filter(good), batch_id)
+        sinks["rejected"](batch.filter(~good), batch_id)
+
+    events = stream_table(t.spark, t.path("events"), MAX_FILES).select("event_id", "value")
+    with progress_log(t.spark) as log:
+        drained = run_available(events, f"{out}/state", batch=cached_batch(handle))
+        report = progress_report(t.spark, drained, log)
+    read = report.agg(F.sum("num_input_rows").alias("rows_read"))
+    sides = [
+        t.spark.read.schema(events.schema).parquet(f"{out}/{side}").select(F.lit(side).alias("side"), "value") for side in sinks
+    ]
+    counts = sides[0].unionByName(sides[1]).groupBy("side").agg(
+        F.count(F.lit(1)).alias("events"), money_sum("value").alias("total")
+    )
+    return counts.withColumn("rows_read", read.scalar())
+
+
+class LostRunError(RuntimeError):
+    """Raised by a batch function to end a run as a lost driver would."""
+
+
+@query("SELECT event_id, user_id, value FROM events")
+def stream_crash(t):
+    """A run dies after a batch is written and before it is committed; the next one repeats that batch: every row once."""
+    out = scratch_path(t.spark, "crash")
+    events = t.events.select("event_id", "user_id", "value")
+    store, tried, dying = batch_slice_writer(f"{out}/rows"), [], []
+
+    def handle(batch, batch_id):
+        store(batch, batch_id)
+        tried.append(batch_id)
+        if dying:
+            raise LostRunError("between the write and the commit")
+
+    # One part is committed, the second dies on its first batch and is run again, the third follows.
+    for part in range(3):
+        landing = _landed(t, out, events.filter(F.pmod("event_id", F.lit(3)) == part), f"part-{part}")
+        stream = stream_files(t.spark, landing, events.schema, "parquet", MAX_FILES)
+        if part == 1:
+            dying.append(True)
+            try:
+                run_available(stream, f"{out}/state", batch=handle)
+            except StreamingQueryException as error:
+                if "LostRunError" not in str(error):
+                    raise
+            lost = tried[-1]
+            dying.clear()
+        run_available(stream, f"{out}/state", batch=handle)
+    if tried.count(lost) != 2:
+        raise AssertionError(f"the lost batch {lost} was not repeated: {tried}")
+    return t.spark.read.parquet(f"{out}/rows").select("event_id", "user_id", "value")

@@ -5,8 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tidemark.functions.udfs import apply_grouped, null_safe, udf_null_audit
-from tidemark.operators.windows import zscore
+from tidemark.functions.udfs import map_grouped, null_safe, udf_null_audit
 from tidemark.queries._registry import query
 from tidemark.queries.windows import _Z, _nullable_values
 
@@ -69,15 +68,24 @@ def pandas_scale(t):
     SELECT event_type, event_id, z FROM ({_Z})
 """)
 def zscore_grouped(t):
-    """Group-wise pandas; a group too large for one worker takes the built-in way."""
+    """Group-wise pandas at any group size: count, mean and squared distances of chunks, combined, then used per chunk."""
 
-    def score(group: pd.DataFrame) -> pd.DataFrame:
-        v = group["v"]
-        return group[["event_id", "event_type"]].assign(z=(v - v.mean()) / v.std())
+    def partial(rows: pd.DataFrame) -> dict:
+        v = rows["v"].dropna()
+        mean = v.mean() if len(v) else 0.0
+        return {"n": len(v), "mean": mean, "off": ((v - mean) ** 2).sum()}
 
-    rows = _nullable_values(t)
-    found = apply_grouped(
-        rows, ["event_type"], score, "event_id long, event_type string, z double", 1_000_000,
-        oversize=lambda large: zscore(large, ["event_type"], "v").select("event_id", "event_type", "z"),
+    def combine(states: pd.DataFrame) -> dict:
+        n = states["n"].sum()
+        mean = (states["n"] * states["mean"]).sum() / n if n else 0.0
+        return {"n": n, "mean": mean, "off": (states["off"] + states["n"] * (states["mean"] - mean) ** 2).sum()}
+
+    def score(rows: pd.DataFrame) -> pd.DataFrame:
+        spread = (rows["off"] / (rows["n"] - 1).where(rows["n"] > 1)) ** 0.5
+        return rows[["event_id", "event_type"]].assign(z=(rows["v"] - rows["mean"]) / spread.where(spread > 0))
+
+    found = map_grouped(
+        _nullable_values(t), ["event_type"], partial, combine, score,
+        "n long, mean double, off double", "event_id long, event_type string, z double",
     )
     return found.select("event_id", "event_type", (F.round("z", 6) + F.lit(0.0)).alias("z"))

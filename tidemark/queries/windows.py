@@ -58,7 +58,7 @@ def running_total_hot(t):
     """Five keys share all rows, so each is cut into chunks."""
     orders = t.orders.select("o_orderkey", "o_orderpriority", F.to_date("o_orderdate").alias("day"), "o_totalprice")
     found = running(
-        orders, ["o_orderpriority"], ["day"], {"running": money("o_totalprice")}, ["o_orderkey"], Split(0.05, 1_000, 16)
+        orders, ["o_orderpriority"], ["day"], {"running": money("o_totalprice")}, ["o_orderkey"], Split(1_000, 16)
     )
     return found.select("o_orderkey", "o_orderpriority", F.col("running").cast("double").alias("running"))
 
@@ -85,7 +85,7 @@ def moving_avg(t):
     FROM customer
 """)
 def share_of_total(t):
-    found = with_totals(t.customer, ["c_mktsegment"], {"total": F.sum(money("c_acctbal"))}, Split(0.05, 100))
+    found = with_totals(t.customer, ["c_mktsegment"], {"total": F.sum(money("c_acctbal"))})
     total = F.col("total").cast("double")
     return found.select(
         "c_custkey", "c_mktsegment", "c_acctbal", total.alias("total"),
@@ -119,7 +119,7 @@ def lead_next(t):
     found = lag_lead(
         orders, ["o_orderstatus"], ["day"], ["o_orderkey"],
         lags={"third_before": ("o_orderkey", 3, -1)}, leads={"next_order": ("o_orderkey", 1, None)},
-        split=Split(0.05, 1_000, 16),
+        split=Split(1_000, 16),
     )
     return found.select("o_orderkey", "o_orderstatus", "next_order", "third_before")
 
@@ -172,7 +172,7 @@ def range_within_7d(t):
     )
     found = within(
         orders, ["o_orderpriority"], "day_no", 6,
-        {"week_total": money("o_totalprice"), "week_orders": F.lit(1).cast("bigint")}, Split(0.05, 1_000, 16),
+        {"week_total": money("o_totalprice"), "week_orders": F.lit(1).cast("bigint")}, Split(1_000, 16),
     )
     return found.select(
         "o_orderkey", "o_orderpriority", F.col("week_total").cast("double").alias("week_total"), "week_orders"
@@ -213,7 +213,7 @@ def _nullable_values(t):
 
 @query(_Z)
 def zscore_native(t):
-    found = zscore(_nullable_values(t), ["event_type"], "v", split=Split(0.05, 1_000))
+    found = zscore(_nullable_values(t), ["event_type"], "v")
     return found.select("event_id", "event_type", (F.round("z", 6) + F.lit(0.0)).alias("z"))
 
 

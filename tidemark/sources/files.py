@@ -36,15 +36,48 @@ def read_marked(spark: SparkSession, path, schema: T.StructType, fmt: str = "csv
     raise ValueError(f"no corrupt-record column for {fmt}")
 
 
+def parse_lines(spark: SparkSession, path, schema: T.StructType, fmt: str = "csv", **options) -> DataFrame:
+    """Every line parsed as one record, its raw text in ``_corrupt_record`` when anything failed.
+
+    Lines come in as text and are parsed by an expression, so that one plan
+    holds both the record and its raw form and nothing is written.  The whole
+    record is parsed whichever columns are used later.  Blank lines are no
+    records, as in the readers.  With a CSV header, lines equal to the first one
+    are headers (every file of a folder repeats it).
+    """
+    told = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
+    told = {name: str(value).lower() if isinstance(value, bool) else str(value) for name, value in told.items()}
+    reader = spark.read.option("lineSep", options["lineSep"]) if "lineSep" in options else spark.read
+    lines = reader.text(path).filter(F.trim("value") != "")
+    wanted = with_corrupt(schema)
+    if fmt == "json":
+        record = F.from_json("value", wanted, told)
+    elif fmt == "csv":
+        if told.pop("header", "true") == "true":
+            first = lines.select("value").head()
+            lines = lines.filter(F.col("value") != F.lit(first["value"])) if first else lines
+        record = F.from_csv(F.col("value"), wanted.toDDL(), told)
+    else:
+        raise ValueError(f"no corrupt-record column for {fmt}")
+    # Both sides read the struct as a whole: a parser that is asked for one field only skips the others' errors.
+    other = [name for name in lines.columns if name != "value"]
+    parsed = lines.select(record.alias("record"), *other).filter(F.length(F.col("record").cast("string")) > 0)
+    return parsed.select("record.*", *other)
+
+
 def read_with_quarantine(
     spark: SparkSession, path, schema: T.StructType, fmt: str = "csv", **options
 ) -> tuple[DataFrame, DataFrame]:
-    """``(clean, quarantine)``; the quarantine keeps the raw text.
+    """``(clean, quarantine)``; the quarantine keeps the raw text.  Nothing is written.
 
-    The parsed records are written out once first: a plan that touches only
-    the corrupt column would parse nothing and could not tell the two apart.
+    Only where a record may span lines (``multiLine``), or the files are not
+    UTF-8, the reader itself has to parse; then the records are stored once, as a
+    plan that touches only the corrupt column would parse nothing.
     """
-    marked = cut_lineage(read_marked(spark, path, schema, fmt, **options))
+    if any(options.get(name) for name in ("multiLine", "encoding", "charset")):
+        marked = cut_lineage(read_marked(spark, path, schema, fmt, **options))
+    else:
+        marked = parse_lines(spark, path, schema, fmt, **options)
     return marked.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), marked.filter(F.col(CORRUPT).isNotNull())
 
 
