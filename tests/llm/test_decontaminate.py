@@ -1,6 +1,9 @@
+import random
 import re
+import time
 from collections import Counter
 
+from tests.fixtures import plan_of
 from tests.llm.cases import awkward_docs, awkward_texts, no_docs, prose
 from tidemark.llm.decontaminate import cut_spans, drop_contaminated, find_hits
 
@@ -64,3 +67,20 @@ def test_empty_tables(spark):
     assert find_hits(no_docs(spark), benchmark(spark)).count() == 0
     rows = find_hits(awkward_docs(spark), benchmark(spark).limit(0)).collect()
     assert len(rows) == len(awkward_texts()) and not any(r["covered"] for r in rows)
+
+
+def test_very_long_text_is_linear(spark):
+    """Half a million words: the windows do not carry the words of the whole text."""
+    pick = random.Random(9)
+    words = [f"w{pick.randrange(10**6)}" for _ in range(500_000)]
+    words[250_000:250_010] = [f"planted{i}" for i in range(10)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "short")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([("a", " ".join(f"planted{i}" for i in range(10)))], "item_id string, text string")
+    began = time.monotonic()
+    found = find_hits(docs, benchmark)
+    first = {r["doc_id"]: r for r in found.collect()}
+    assert time.monotonic() - began < 60
+    assert (first[1]["n_words"], first[1]["covered"], first[2]["covered"]) == (500_000, list(range(250_000, 250_010)), [])
+    # What the Generate passes on from the row it expands.
+    carried = re.search(r"Generate posexplode.*?\[(key#[^\]]*)\], true", plan_of(found))[1]
+    assert [name.split("#")[0] for name in carried.split(", ")] == ["key", "content", "row", "n_words"]

@@ -78,12 +78,14 @@ def find_hits(
         F.monotonically_increasing_id().alias("row"),
         words_of(F.col(text)).alias("words"),
     )
+    # Counted below the Generate, so that no window carries the words of its whole text along.
+    rows = rows.withColumn("n_words", F.size("words").cast("long"))
     lengths = sorted(sizes, reverse=True) or [n]
     probes = rows.select(
         "key",
         "content",
         "row",
-        F.size("words").cast("long").alias("n_words"),
+        "n_words",
         F.posexplode_outer(F.concat(*[windows_of(F.col("words"), F.lit(m)) for m in lengths])).alias("at", "window"),
     )
     # Windows of one length follow those of another: where in the text the probe starts.
