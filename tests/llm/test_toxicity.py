@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -113,3 +114,62 @@ def test_repeated_rows_and_contents_stay_within_the_sample(spark, monkeypatch):
     toxicity.train(contents, labels, max_labelled=10_000)
     toxicity.train(contents, spark.createDataFrame([(keys[0], 1)], "doc_id long, toxic int"), max_labelled=7)
     assert seen[1:] == [40, 7]
+
+
+def random_piece(pick):
+    parts = ["grum", "bler", "block", "head", "a", "ss", "4", "$", "5", "0", "8l", "*", "-", ".", "oo", "kk", "е", "1", "|", "x", "(", "#"]
+    return "".join(pick.choice(parts) for _ in range(pick.randint(1, 7)))
+
+
+def test_pieces_that_spell_nothing_told_are_skipped_without_loss(spark):
+    """Scoring with the automaton finds exactly the telling words that decoding everything finds."""
+    docs, _ = corpus(spark)
+    weights = {"=grumbler": 1.0, "5block": 1.0, "4asso": 1.0, "=ass": 1.0, "4oste": 1.0}
+    scorer = Scorer(Model(language_model(docs), weights, 0.0))
+    pick = random.Random(11)
+    skipped = 0
+    for _ in range(1500):
+        piece = random_piece(pick)
+        everything = set(scorer.telling(scorer.reader.words(piece)))
+        spelt = scorer.spells(simplified(piece))
+        skipped += not spelt
+        assert set(scorer.read(piece)) == everything, piece
+    assert 300 < skipped < 1400
+    for _ in range(200):
+        span = " ".join(random_piece(pick)[: pick.randint(1, 3)] for _ in range(pick.randint(3, 8)))
+        if not scorer.spells(simplified(span)):
+            assert not scorer.telling(scorer.reader.span(span)), span
+
+
+def test_viterbi_equals_trying_all_paths(spark):
+    """The best path of small lattices against every combination of options."""
+    docs, _ = corpus(spark)
+    restore = Restorer(language_model(docs))
+
+    def cost_of(path):
+        a, b, total = 0, 0, 0.0
+        for out, cost in path:
+            total -= cost
+            for char in out:
+                z = toxicity.EDGE if char == " " else toxicity.SYMBOL.get(char, toxicity.OTHER)
+                if z == b == toxicity.EDGE:
+                    continue
+                total += restore.language[a][b][z]
+                a, b = b, z
+        return total + (restore.language[a][b][toxicity.EDGE] if b != toxicity.EDGE else 0.0)
+
+    for piece in ["8l0ck", "a$$", "g.r-u", "1d10t", "b*d", "oo0", "$t", "455"]:
+        paths = list(itertools.product(*restore.lattice(piece)))
+        best = max(map(cost_of, paths))
+        read = restore(piece)
+        assert any(abs(cost_of(p) - best) < 1e-6 and "".join(out for out, _ in p) == read for p in paths), piece
+
+
+def test_rejecting_keeps_columns_named_like_results(spark):
+    docs, labels = corpus(spark)
+    named = docs.selectExpr("doc_id", "text", "lang AS score", "source AS held_out", "'mine' AS predicted")
+    kept = toxicity.reject_documents(named, labels)
+    assert kept.dtypes == named.dtypes
+    assert kept.filter("score = 'en' AND held_out = 's' AND predicted = 'mine'").count() == kept.count() < docs.count()
+    scored = {r["doc_id"] for r in score_documents(docs, labels).filter("predicted = 0").collect()}
+    assert {r["doc_id"] for r in kept.collect()} == scored

@@ -49,13 +49,14 @@ SPACED, SPLIT = (
 )
 WORDS = re.compile(r"[^\W\d_]+")
 REPEATED = re.compile(r"(.)\1")
+RUN = re.compile(r"(.)\1*", re.S)
 TRIPLE = re.compile(r"(.)\1\1")
 #: A word of plain Latin letters, with marks behind it that stand for no letter.
 LATIN = re.compile("([a-zß-öø-ÿ]+)[.,;:]*")
 #: Groups of plain Latin letters.
 LATIN_GROUPS = re.compile("[a-zß-öø-ÿ ]+")
-#: Pieces of text remembered per Python worker; beyond it the memory is emptied.
-REMEMBERED = 200_000
+#: Pieces of text remembered per Python worker, none longer than this; beyond it the memory is emptied.
+REMEMBERED, LONGEST = 50_000, 64
 #: Groups read again from each group on.
 AHEAD = 24
 #: Lengths of word beginnings used as features.
@@ -432,14 +433,13 @@ def train(
                     pieces = set(body.split())
                     if len(memory) > REMEMBERED:
                         memory.clear()
-                    for span in spans(body):
-                        if span not in memory:
-                            memory[span] = tuple(reader.span(span))
-                        words.update(memory[span])
-                    for piece in pieces:
-                        if piece not in memory:
-                            memory[piece] = tuple(reader.words(piece))
-                        words.update(memory[piece])
+                    for read, parts in ((reader.span, spans(body)), (reader.words, pieces)):
+                        for part in parts:
+                            if (found := memory.get(part)) is None:
+                                found = tuple(read(part))
+                                if len(part) <= LONGEST:
+                                    memory[part] = found
+                            words.update(found)
                     counts = Counter(stem for word in words for stem in stems(word))
                     out.append((features(counts, len(pieces)), mark))
                 yield pd.DataFrame(out, columns=["features", "label"])
@@ -480,6 +480,73 @@ def train(
     return Model(language, {f: w for f, w in weights.items() if w}, intercept)
 
 
+class Spelling:
+    """Whether the lattice of a piece can spell a word that begins with one of some strings.
+
+    The strings form a tree, and the lattice is run through it as an automaton,
+    with every option that any reading of the piece has and no costs.  Where it
+    finds nothing, no reading has such a word, so nothing need be decoded.
+    """
+
+    def __init__(self, begins: set[str]):
+        self.root: dict = {}
+        for begin in begins:
+            node = self.root
+            for char in begin:
+                node = node.setdefault(char, {})
+            node[""] = True
+        #: What a run of one character can be read as, by character and length (up to three).
+        self.outs: dict[tuple[str, int], tuple[str, ...]] = {}
+
+    def read(self, char: str, length: int) -> tuple[str, ...]:
+        """The letters a run can stand for; nothing where it can be left out.  A gap ends the word and is not listed."""
+        looks = LOOKS.get(char, "")
+        found = {out for look in looks for out in ((look, look * 2) if length == 2 else (look,))}
+        if char.isalpha():
+            found |= {char * length, char, char * min(length, 2)}
+        elif not char.isalnum():
+            found.add("")
+        return tuple(found)
+
+    @staticmethod
+    def walk(node: dict, out: str) -> dict | None:
+        """The node behind ``out``; the node of a whole string where one ends on the way."""
+        for char in out:
+            node = node.get(char)
+            if node is None or "" in node:
+                return node
+        return node
+
+    def __call__(self, piece: str) -> bool:
+        nodes: list[dict] = []
+        begins = True
+        for run in RUN.finditer(piece):
+            char, length = run[1], run.end() - run.start()
+            if begins:
+                nodes.append(self.root)
+            if nodes:
+                if length > 3:
+                    outs = self.read(char, length)
+                elif (outs := self.outs.get((char, length))) is None:
+                    outs = self.outs[char, length] = self.read(char, length)
+                reached = []
+                for node in nodes:
+                    # Left out, a run keeps every node; the root comes again by itself.
+                    reached += [found for out in outs if (out or node is not self.root) and (found := self.walk(node, out)) is not None]
+                if char in HIDING:
+                    hidden = nodes
+                    for _ in range(length):
+                        hidden = [after for node in hidden for letter, after in node.items() if letter]
+                        reached += [node for node in hidden if "" in node]
+                    reached += hidden
+                if any("" in node for node in reached):
+                    return True
+                nodes = list({id(node): node for node in reached}.values())
+            # A word begins with the piece, or behind a mark or a digit, which may be a gap or left out.
+            begins = not char.isalpha()
+        return False
+
+
 class Scorer:
     """Score of whole texts; the words that matter in a piece of text are remembered."""
 
@@ -491,6 +558,7 @@ class Scorer:
         self.told = {stem[1:] for stem in self.stems}
         self.folded = {REPEATED.sub(r"\1", told) for told in self.told}
         self.lengths = sorted({len(told) for told in self.told | self.folded})
+        self.spells = Spelling(self.told)
 
     def telling(self, words: set[str]) -> tuple[str, ...]:
         """Words with a stem that has a weight."""
@@ -511,6 +579,9 @@ class Scorer:
                     readings = [r + out + after for r in readings for out in (letter * 2, letter)]
                 if not rest or not self.telling(set(readings)):
                     return self.telling({plain[1]})
+        simple = simplified(piece)
+        if not self.spells(simple):
+            return self.telling(set(WORDS.findall(simple)))
         return self.telling(self.reader.words(piece))
 
     def begins(self, span: str) -> list[int]:
@@ -536,6 +607,8 @@ class Scorer:
 
     def read_span(self, span: str) -> tuple[str, ...]:
         """The telling words of short groups put together."""
+        if not self.spells(simplified(span)):
+            return ()
         begins = self.begins(span)
         return self.telling(self.reader.span(span, begins)) if begins else ()
 
@@ -544,16 +617,18 @@ class Scorer:
         memory = self.memory
         if len(memory) > REMEMBERED:
             memory.clear()
-        pieces = set(text.split())
-        for piece in pieces.difference(memory):
-            memory[piece] = self.read(piece)
-        # A span has white space in it, so it is never a piece.
-        apart = spans(text)
-        for span in apart.difference(memory):
-            memory[span] = self.read_span(span)
+        pieces, apart = set(text.split()), spans(text)
         words: set[str] = set()
-        for found in filter(None, map(memory.__getitem__, [*pieces, *apart])):
-            words.update(found)
+        # A span has white space in it, so it is never a piece.
+        for read, parts in ((self.read, pieces), (self.read_span, apart)):
+            known = parts.intersection(memory)
+            for found in filter(None, map(memory.__getitem__, known)):
+                words.update(found)
+            for part in parts - known:
+                found = read(part)
+                words.update(found)
+                if len(part) <= LONGEST:
+                    memory[part] = found
         weights = self.model.weights
         counts = Counter(stem for word in words for stem in stems(word) if stem in self.stems)
         # Added up in one order, so that a text has one score.
@@ -588,9 +663,18 @@ def score_documents(
     """All columns of ``docs`` with ``held_out``, ``score`` and ``predicted`` (1 from ``threshold`` on).
 
     NULL and empty texts score as a text without words; rows without a key are
-    not held out; repeated rows score alike; an empty table gives an empty
-    result.
+    not held out; repeated rows score alike; very long texts are read whole; an
+    empty table gives an empty result.  Columns of ``docs`` with one of the
+    three names are replaced; ``reject_documents`` keeps them.
     """
     model = train(docs, labels, key=key, text=text, **options)
     scored = docs.withColumns({"held_out": held_out(F.col(key)), "score": score(docs.sparkSession, model, F.col(text))})
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def reject_documents(
+    docs: DataFrame, labels: DataFrame, threshold: float = 0.7, key: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all their columns as they are, whatever their names."""
+    model = train(docs, labels, key=key, text=text, **options)
+    return docs.filter(score(docs.sparkSession, model, F.col(text)) < threshold)
