@@ -1,7 +1,11 @@
 import re
+import zlib
+from urllib.parse import urlsplit
+
+from pyspark.sql import functions as F
 
 from tidemark.llm.queries import URL_RULES
-from tidemark.llm.url_filter import Rule, judge_urls, labelled_table, train
+from tidemark.llm.url_filter import Rule, grams, judge_urls, labelled_names, labelled_table, labelled_urls, train
 
 URLS = [
     None, "", "no scheme.example.net/en/", "http://a.example.net/en/1", "http://example.net/de/", "https://EXAMPLE.com/de/x?q#f",
@@ -40,11 +44,49 @@ def test_rules_and_model(spark):
     assert rows[11]["verdict"] == "block" and rows[12]["verdict"] == "allow"
 
 
-def test_unseen_names_and_empty_table(spark):
+def verdicts(spark, model, names):
+    pages = spark.createDataFrame([(i, f"https://www.{name}.example.com/en/{i}") for i, name in enumerate(names)], "page_id long, url string")
+    return {names[r["page_id"]]: r["verdict"] for r in judge_urls(pages, [], model).collect()}
+
+
+def test_names_kept_out_of_training(spark):
+    """A quarter of the names is kept out: most unwanted ones are blocked, few ordinary ones."""
+    names = labelled_names()
+    out = [(n, label) for n, label in names if zlib.crc32(n.encode()) % 4 == 0]
+    model = train(labelled_table(spark, [x for x in names if x not in out]))
+    found = verdicts(spark, model, [n for n, _ in out])
+    unwanted, ordinary = ([n for n, label in out if label == which] for which in (1, 0))
+    assert len(unwanted) > 60 and len(ordinary) > 100
+    recall = sum(found[n] == "block" for n in unwanted) / len(unwanted)
+    wrong = sum(found[n] == "block" for n in ordinary) / len(ordinary)
+    assert recall >= 0.9 and wrong <= 0.05, (recall, wrong)
+
+
+def test_names_of_other_sources(spark):
+    """Names written by hand for this test, none of them in the table."""
+    model = train(labelled_table(spark))
+    unwanted = "freebets casino.games play-poker adult-x spam-farm cheap-pills ads-track casino-win free-bets pornhouse sexcams nudepics lottery-win".split()
+    ordinary = "thither tionble therand ththre onering erthe inthand hathon openlibrary weatherman newsroom gardeners schools cookbook citymuseum".split()
+    known = {n for n, _ in labelled_names()}
+    assert not known.intersection(unwanted + ordinary)
+    found = verdicts(spark, model, unwanted + ordinary)
+    assert [n for n in unwanted if found[n] != "block"] == []
+    assert [n for n in ordinary if found[n] != "allow"] == []
+
+
+def test_grams_are_those_of_the_text(spark):
+    row = spark.createDataFrame([("ab.c",), ("",)], "t string").select("t", grams(F.col("t"), "h:", (3, 4))).collect()
+    assert row[0][1] == ["h:^ab", "h:ab.", "h:b.c", "h:.c$", "h:^ab.", "h:ab.c", "h:b.c$"] and row[1][1] == []
+
+
+def test_labels_are_not_told_by_site_or_path():
+    by_label = [{urlsplit(url).path for url, label in labelled_urls(labelled_names()) if label == which} for which in (0, 1)]
+    assert by_label[0] == by_label[1]
+
+
+def test_empty_table_and_ties(spark):
     model = train(labelled_table(spark))
-    urls = [("http://blog.cheap-pills.example.org/en/9", "block"), ("http://thonand.example.org/es/12", "allow")]
-    pages = spark.createDataFrame([(None, u) for u, _ in urls], "page_id long, url string")
-    assert [r["verdict"] for r in judge_urls(pages, [], model).collect()] == [v for _, v in urls]
+    pages = spark.createDataFrame([(None, "http://thonand.example.org/es/12")], "page_id long, url string")
     assert judge_urls(pages.limit(0), URL_RULES, model).count() == 0
     # Ties between rules go to the one listed first.
     two = [Rule("allow", "org", "/"), Rule("block", "org", "/")]

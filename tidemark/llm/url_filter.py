@@ -28,20 +28,48 @@ class Rule(NamedTuple):
     path: str = "/"
 
 
-#: Small labelled table (host and path, 1 = block): the vocabulary of unwanted sites next to ordinary ones.
-LABELLED = [
-    *[(f"http://{prefix}{name}.example.{top}{path}", 1)
-      for name in ("adult-x", "spam-farm", "cheap-pills", "ads-track", "casino-win", "free-bets")
-      for prefix in ("", "www.", "m.", "blog.")
-      for top in ("com", "net", "org")
-      for path in ("/en/1", "/fr/22", "/de/333.html", "/es/404/", "/en/5?x=1")],
-    *[(f"https://{prefix}{name}.example.{top}{path}", 0)
-      for name in ("library", "weather", "thither", "tionble", "therand", "news", "garden", "ththre", "onering",
-                   "recipes", "erthe", "school", "inthand", "history", "letters", "hathon")
-      for prefix in ("", "www.", "m.", "blog.")
-      for top in ("com", "net", "org")
-      for path in ("/en/1", "/fr/22", "/de/333.html", "/es/404/", "/en/5?x=1")],
-]
+#: Words of unwanted and of ordinary sites (own choice), and words that stand next to either kind.
+UNWANTED = """
+    casino poker betting bet slots jackpot lottery roulette blackjack gamble wager bookie adult porn xxx sex nude erotic
+    escort webcam hentai milf pill viagra cialis pharma steroid meds spam bulkmail mailer popup adserver ads tracker
+    clicks banner affiliate warez crack keygen serial torrent malware phish hack scam payday loan replica fake hookup
+""".split()
+ORDINARY = """
+    library weather news garden recipe school history letter music travel museum science city sport forum wiki river book
+    kitchen bakery hotel shop health clinic doctor finance bank gallery film village market photo fashion family church
+    college campus energy nature animal bird forest ocean sailing cycling camera software code math physics art poetry
+""".split()
+AROUND = "the my best free cheap online win live hot top daily club zone world hub land city farm house point now".split()
+#: Frequent letter pairs of English, of which names without a meaning are made; those are ordinary.
+PAIRS = """
+    th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le ve co me de hi ri ro ic ne
+    ea ra ce li ch ll be ma si om ur
+""".split()
+PATHS = ("/en/1", "/fr/22", "/de/333.html", "/es/404/", "/en/5?x=1", "/", "", "/about/us", "/index.php?id=7", "/a/b/c.html")
+
+
+def labelled_names() -> list[tuple[str, int]]:
+    """Some eleven hundred names with their label (1 = block): words alone and with others around them, and letter pairs."""
+    names: dict[str, int] = {}
+    for label, words in ((1, UNWANTED), (0, ORDINARY)):
+        for i, word in enumerate(words):
+            before, after, other = (AROUND[(i * step + at) % len(AROUND)] for step, at in ((1, 0), (3, 5), (7, 2)))
+            for name in (word, f"{before}{word}", f"{word}-{after}", f"{word}{other}", f"{other}-{word}", f"{word}s{i}"):
+                names.setdefault(name, label)
+    for i in range(600):
+        pairs = [PAIRS[(i * 17 + i // 11 + k * (7 + i % 23)) % len(PAIRS)] for k in range(2 + i % 4)]
+        names.setdefault("".join(pairs), 0)
+    return sorted(names.items())
+
+
+def labelled_urls(names: Sequence[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Three URLs per name; sites, tops and paths are dealt alike to both labels."""
+    fronts, tops = ("", "www.", "m.", "blog."), ("example.com", "com", "example.net", "org", "example.org", "info")
+    return [
+        (f"https://{fronts[(i + k) % 4]}{name}.{tops[(i // 2 + 2 * k) % 6]}{PATHS[(i // 3 + 3 * k) % 10]}", label)
+        for i, (name, label) in enumerate(names)
+        for k in range(3)
+    ]
 
 
 def host_of(url: Column) -> Column:
@@ -58,25 +86,23 @@ def path_of(url: Column) -> Column:
 def grams(text: Column, mark: str, sizes: Sequence[int]) -> Column:
     """Character n-grams of a text with its ends marked; ``mark`` tells host grams from path grams."""
     bounded = F.concat(F.lit("^"), text, F.lit("$"))
-    of_size = [
-        F.when(
-            F.length(bounded) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.length(bounded) - n + 1),
-                lambda i, n=n: F.concat(F.lit(mark), F.substr(bounded, i, F.lit(n))),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
-        for n in sizes
-    ]
-    return F.concat(*of_size)
+
+    def of_size(n: int) -> Column:
+        # The function has one parameter: with a second one, it would get the position as well.
+        starts = F.sequence(F.lit(1), F.length(bounded) - n + 1)
+        found = F.transform(starts, lambda i: F.concat(F.lit(mark), F.substr(bounded, i, F.lit(n))))
+        return F.when(F.length(bounded) >= n, found).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(of_size, sizes))
 
 
 def features(host: Column, path: Column) -> Column:
     return F.concat(grams(host, "h:", (3, 4, 5)), grams(path, "p:", (3, 4)))
 
 
-def labelled_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LABELLED, "url string, label int")
+def labelled_table(spark: SparkSession, names: Sequence[tuple[str, int]] | None = None) -> DataFrame:
+    """The small labelled table of this module, or of some of its ``names``."""
+    return spark.createDataFrame(labelled_urls(labelled_names() if names is None else names), "url string, label int")
 
 
 def train(labelled: DataFrame, buckets: int = 1 << 16, url: str = "url", label: str = "label") -> PipelineModel:
@@ -91,7 +117,7 @@ def train(labelled: DataFrame, buckets: int = 1 << 16, url: str = "url", label:
     hashing = HashingTF(numFeatures=buckets, binary=True, inputCol="__grams", outputCol="__features")
     regression = LogisticRegression(
         featuresCol="__features", labelCol="__label", predictionCol="__predicted", rawPredictionCol="__raw",
-        probabilityCol="__probability", regParam=0.001, maxIter=60, standardization=False,
+        probabilityCol="__probability", regParam=0.00001, maxIter=100, tol=1e-8, standardization=False,
     )
     return PipelineModel([hashing, regression.fit(hashing.transform(rows))])
 
