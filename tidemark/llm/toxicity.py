@@ -14,7 +14,7 @@ import re
 import unicodedata
 import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -56,7 +56,9 @@ LATIN = re.compile("([a-zß-öø-ÿ]+)[.,;:]*")
 #: Groups of plain Latin letters.
 LATIN_GROUPS = re.compile("[a-zß-öø-ÿ ]+")
 #: Pieces of text remembered per Python worker, none longer than this; beyond it the memory is emptied.
-REMEMBERED, LONGEST = 50_000, 64
+REMEMBERED, LONGEST = 200_000, 64
+#: The same while features are made, where every word of a piece is kept.
+HELD = 40_000
 #: Groups read again from each group on.
 AHEAD = 24
 #: Lengths of word beginnings used as features.
@@ -431,7 +433,7 @@ def train(
                     body = body.lower()
                     words: set[str] = set()
                     pieces = set(body.split())
-                    if len(memory) > REMEMBERED:
+                    if len(memory) > HELD:
                         memory.clear()
                     for read, parts in ((reader.span, spans(body)), (reader.words, pieces)):
                         for part in parts:
@@ -495,10 +497,11 @@ class Spelling:
             for char in begin:
                 node = node.setdefault(char, {})
             node[""] = True
-        #: What a run of one character can be read as, by character and length (up to three).
-        self.outs: dict[tuple[str, int], tuple[str, ...]] = {}
+        #: Nodes that a run of up to three of a character leads to from the root.
+        self.first: dict[tuple[str, int], list[dict]] = {}
 
-    def read(self, char: str, length: int) -> tuple[str, ...]:
+    @staticmethod
+    def read(char: str, length: int) -> set[str]:
         """The letters a run can stand for; nothing where it can be left out.  A gap ends the word and is not listed."""
         looks = LOOKS.get(char, "")
         found = {out for look in looks for out in ((look, look * 2) if length == 2 else (look,))}
@@ -506,7 +509,7 @@ class Spelling:
             found |= {char * length, char, char * min(length, 2)}
         elif not char.isalnum():
             found.add("")
-        return tuple(found)
+        return found
 
     @staticmethod
     def walk(node: dict, out: str) -> dict | None:
@@ -517,31 +520,40 @@ class Spelling:
                 return node
         return node
 
+    def step(self, nodes: list[dict], char: str, length: int) -> list[dict]:
+        """Nodes that a run leads to; left out, it keeps every node but the root, which comes again by itself."""
+        reached = {}
+        for out in self.read(char, length):
+            for node in nodes:
+                found = self.walk(node, out)
+                if found is not None and found is not self.root:
+                    reached[id(found)] = found
+        if char in HIDING:
+            hidden = nodes
+            for _ in range(length):
+                hidden = [after for node in hidden for letter, after in node.items() if letter]
+                reached.update((id(node), node) for node in hidden if "" in node)
+            reached.update((id(node), node) for node in hidden)
+        return list(reached.values())
+
     def __call__(self, piece: str) -> bool:
         nodes: list[dict] = []
         begins = True
         for run in RUN.finditer(piece):
-            char, length = run[1], run.end() - run.start()
-            if begins:
-                nodes.append(self.root)
-            if nodes:
-                if length > 3:
-                    outs = self.read(char, length)
-                elif (outs := self.outs.get((char, length))) is None:
-                    outs = self.outs[char, length] = self.read(char, length)
-                reached = []
-                for node in nodes:
-                    # Left out, a run keeps every node; the root comes again by itself.
-                    reached += [found for out in outs if (out or node is not self.root) and (found := self.walk(node, out)) is not None]
-                if char in HIDING:
-                    hidden = nodes
-                    for _ in range(length):
-                        hidden = [after for node in hidden for letter, after in node.items() if letter]
-                        reached += [node for node in hidden if "" in node]
-                    reached += hidden
+            char = run[1]
+            if begins or nodes:
+                key = char, run.end() - run.start()
+                reached = self.step(nodes, *key) if nodes else []
+                if begins:
+                    first = self.first.get(key)
+                    if first is None:
+                        first = self.step([self.root], *key)
+                        if key[1] <= 3:
+                            self.first[key] = first
+                    reached = reached + first
                 if any("" in node for node in reached):
                     return True
-                nodes = list({id(node): node for node in reached}.values())
+                nodes = list(reached)
             # A word begins with the piece, or behind a mark or a digit, which may be a gap or left out.
             begins = not char.isalpha()
         return False
@@ -559,10 +571,14 @@ class Scorer:
         self.folded = {REPEATED.sub(r"\1", told) for told in self.told}
         self.lengths = sorted({len(told) for told in self.told | self.folded})
         self.spells = Spelling(self.told)
+        self.equal = {stem[1:] for stem in self.stems if stem[0] == "="}
+        self.begin = [{stem[1:] for stem in self.stems if stem[0] == str(n)} for n in BEGINNINGS]
 
-    def telling(self, words: set[str]) -> tuple[str, ...]:
+    def telling(self, words: Iterable[str]) -> tuple[str, ...]:
         """Words with a stem that has a weight."""
-        return tuple(w for w in words if not self.stems.isdisjoint(stems(w)))
+        (a, b, c), (four, five, six), equal = BEGINNINGS, self.begin, self.equal
+        # A shorter word is none of the beginnings of that length.
+        return tuple(w for w in words if w in equal or w[:a] in four or w[:b] in five or w[:c] in six)
 
     def read(self, piece: str) -> tuple[str, ...]:
         """The telling words of a piece as it stands and as restored.
@@ -571,14 +587,16 @@ class Scorer:
         none of these readings tells anything, it need not be decoded.
         """
         plain = LATIN.fullmatch(piece)
+        if plain and not REPEATED.search(plain[1]):
+            return self.telling((plain[1],))
         if plain and not TRIPLE.search(plain[1]):
             first, *rest = REPEATED.split(plain[1])
             if len(rest) <= 8:
                 readings = [first]
                 for letter, after in zip(rest[::2], rest[1::2]):
                     readings = [r + out + after for r in readings for out in (letter * 2, letter)]
-                if not rest or not self.telling(set(readings)):
-                    return self.telling({plain[1]})
+                if not self.telling(readings):
+                    return ()
         simple = simplified(piece)
         if not self.spells(simple):
             return self.telling(set(WORDS.findall(simple)))
@@ -621,10 +639,8 @@ class Scorer:
         words: set[str] = set()
         # A span has white space in it, so it is never a piece.
         for read, parts in ((self.read, pieces), (self.read_span, apart)):
-            known = parts.intersection(memory)
-            for found in filter(None, map(memory.__getitem__, known)):
-                words.update(found)
-            for part in parts - known:
+            words.update(*filter(None, map(memory.get, parts)))
+            for part in [part for part in parts if part not in memory]:
                 found = read(part)
                 words.update(found)
                 if len(part) <= LONGEST:
