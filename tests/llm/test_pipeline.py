@@ -1,8 +1,13 @@
+import os
+import subprocess
+import sys
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import test_decontaminate, test_near_dup
+from tests.llm.cases import awkward_docs, awkward_texts
 from tidemark.session import cut_lineage
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -59,9 +64,61 @@ def test_secrets_are_replaced(steps):
 
 def test_everything_left_is_packed(steps):
     before, after = steps["packing"]
-    sums = after.groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("t"))
-    assert sums.filter("n = t").count() == before.count()
+    pieces = {}
+    for r in after.select("doc_id", "start", "length", "doc_tokens", "offset").collect():
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"], r["doc_tokens"], r["offset"]))
+    assert set(pieces) == {r["doc_id"] for r in before.select("doc_id").collect()}
+    for parts in pieces.values():
+        ends = 0
+        for start, length, _, offset in sorted(parts):
+            assert (start, offset) == (ends, 0) and length & (length - 1) == 0 and length <= 4096
+            ends += length
+        assert {tokens for _, _, tokens, _ in parts} == {ends}
 
 
 def test_run(spark, steps):
     assert corpus_pipeline.run(spark, SF_DIR).count() == steps["packing"][1].count()
+
+
+def clashing(spark):
+    """Awkward rows with text columns named like what stages make."""
+    docs = awkward_docs(spark)
+    return docs.withColumns({name: F.lit(name) for name in ("score", "held_out", "predicted", "covered", "items", "component_id")})
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_awkward_clashing_and_empty_tables(spark, name, stage):
+    docs = clashing(spark)
+    after = cut_lineage(stage(spark, docs, SF_DIR))
+    assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+    if name == "packing":
+        # Repeated rows and keys are packed once each; a text without words is one piece.
+        assert after.filter("start = 0").count() == docs.count()
+        return
+    assert after.dtypes == docs.dtypes
+    same = [c for c in docs.columns if c not in ("text", "n_chars")] if name == "secrets" else docs.columns
+    assert after.select(same).exceptAll(docs.select(same)).count() == 0
+    kept = {(r["doc_id"], r["text"]) for r in after.collect()}
+    if name == "secrets":
+        assert after.count() == docs.count()
+    # Texts without words are never toxic, linked, contaminated or secret.
+    assert {(1, None), (2, ""), (None, None)} <= kept
+    if name == "near_duplicates":
+        assert (10, awkward_texts()[9][1]) not in kept and after.filter("doc_id = 15").count() == 2
+
+
+def test_the_optional_part_needs_its_modules_only(tmp_path):
+    """Without a third-party module of the optional part the entry keeps the core queries; other faults are not hidden."""
+    code = (
+        "import sys; sys.modules['{}'] = None\n"
+        "import __spark_entry__ as e\n"
+        "print(len(e.queries()), any(n.startswith('op1_') for n in e.queries()))"
+    )
+    root = os.path.dirname(corpus_pipeline.__file__)
+
+    def run(module):
+        return subprocess.run([sys.executable, "-W", "ignore", "-c", code.format(module)], cwd=root, capture_output=True, text=True)
+
+    count, there = run("public_tokenizers").stdout.split()
+    assert int(count) > 150 and there == "False"
+    assert run("numpy").returncode != 0

@@ -113,9 +113,10 @@ def top_k(
     All rows but the query's own compete; scores are integer inner products of
     the quantised vectors, ties go to the smaller id.  Rows without a key, and
     vectors that are NULL or hold NULL or non-finite values, take no part.
-    Only vectors of the same length are compared.  A repeated row is another
-    row: it competes, and as a query has results of its own.  Other columns are
-    ignored; an empty table gives an empty result.
+    Only vectors of the same length are compared.  Components so large that a
+    score might not fit a long stop the job with an error.  A repeated row is
+    another row: it competes, and as a query has results of its own.  Other
+    columns are ignored; an empty table gives an empty result.
 
     Queries are a stated set and meet the rows in blocks of bounded size:
     groups of queries times shards of rows.
