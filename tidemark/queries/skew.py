@@ -57,6 +57,29 @@ def partition_profile(t):
     return plain.unionByName(salted.withColumn("layout", F.lit("by key and salt")))
 
 
+@query(_SKEWED + """
+    SELECT layout, (SELECT count(*) FROM e) AS row_count, layout = 'by key' AS one_partition_holds_the_key
+    FROM (VALUES ('by key'), ('by key and salt')) v(layout)
+""")
+def partition_invariants(t):
+    """Largest partition before and after salting: first the whole largest key, then less than half of it."""
+    events = _skewed(t)
+    salted = events.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(8)))
+    largest_key = key_skew(events, ["key"], 1).select("row_count").scalar()
+    found = [
+        skew.partition_profile(co_locate(rows, keys, 16))
+        .agg(F.sum("row_count").alias("row_count"), F.max("row_count").alias("largest"))
+        .select(
+            F.lit(layout).alias("layout"),
+            "row_count",
+            F.when(F.col("largest") >= largest_key, True).when(F.col("largest") < largest_key / 2, False)
+            .alias("one_partition_holds_the_key"),
+        )
+        for layout, rows, keys in (("by key", events, ["key"]), ("by key and salt", salted, ["key", "salt"]))
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query("""
     SELECT 'spread' AS layout, 8 AS partitions, count(*) AS row_count FROM events
     UNION ALL SELECT 'by user', 8, count(*) FROM events
