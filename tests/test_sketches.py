@@ -1,10 +1,13 @@
 """Stored distinct-count sketches against exact counts."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-from tests.fixtures import rows
+from tests.fixtures import plan_of, rows
 from tidemark.operators import sketches
+from tidemark.queries import QUERIES
 
 BY = ["day", "shop"]
 
@@ -47,3 +50,18 @@ def test_a_day_is_added_or_replaced_by_itself(spark, visits, tmp_path):
 def test_sketches_do_not_grow_with_their_rows(spark, visits):
     sizes = sketches.slice_sketches(visits.unionByName(visits), ["shop"], "user").select(F.length(sketches.SKETCH))
     assert max(r[0] for r in sizes.collect()) <= 2**sketches.LOG_SIZE + 64
+
+
+def test_no_sketch_per_user_beside_the_exact_count(spark, tmp_path):
+    user = F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") * 7919 % 2_003)
+    kind = F.when(F.col("id") % 7 != 0, F.concat(F.lit("t"), F.col("id") % 3))
+    events = spark.range(20_000).select(kind.alias("event_type"), user.alias("user_id"))
+    nobody = spark.createDataFrame([("none", None)] * 2, events.schema)
+    events = events.unionByName(events).unionByName(nobody)
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = QUERIES["approx_distinct_bound"](spark, str(tmp_path))
+    plan = plan_of(got)
+    want = events.groupBy("event_type").agg(F.count_distinct("user_id").alias("n"), F.lit(True))
+    assert rows(got) == rows(want) and ("none", 0, True) in rows(got)
+    by_user = re.findall(r"Aggregate\(keys=\[[^\]]*user_id[^\]]*\], functions=\[([^\]]*)", plan)
+    assert by_user and not any(by_user)
