@@ -1,4 +1,6 @@
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -6,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.cases import awkward_docs, awkward_texts, no_docs
+from tidemark.llm import packing
 from tidemark.llm.packing import WordEncoder, cut, pack_binary, write_buckets
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -57,3 +60,23 @@ def test_special_tokens_in_other_case_are_text():
     for text in ("hello <|ENDOFTEXT|> world", "a<|StartOfText|>b", "hello <|endoftext|> world", "HELLO world"):
         ids = np.frombuffer(encoder(text), "<u4").tolist()
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_looked_up_lately_outlive_the_others(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 40)
+    encoder = WordEncoder(Path(PATH).read_text(encoding="utf-8"))
+    plain, asked = encoder.words.encode, []
+    encoder.words.encode = lambda word: asked.append(word) or plain(word)
+    for i in range(100):
+        text = f"often {' '.join(f'word{i}x{j}' for j in range(10))}"
+        assert encoder(text) == encoder.whole(text)
+        assert len(encoder.words) + len(encoder.words.older) <= packing.REMEMBERED + 2 * 11
+    assert asked.count("often") == 1
+
+
+def test_words_of_letters_only_are_encoded_like_the_tokenizer():
+    encoder = WordEncoder(Path(PATH).read_text(encoding="utf-8"))
+    pick, letters = random.Random(7), "".join(map(chr, encoder.letters))
+    assert {*"azßéÿő"} <= {*letters} and not {*"A1µ' "} & {*letters}
+    words = ["".join(pick.choices(some, k=pick.randint(1, 30))) for some in (letters, letters[:26], "aeéèns") for _ in range(2000)]
+    assert [w for w in words if encoder.word(w) != encoder.whole(w)] == []

@@ -19,8 +19,8 @@ from tidemark.llm.worker import remembered, small_batches
 
 #: Texts of these characters only are encoded word by word (see ``WordEncoder``).
 PLAIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
-#: Words kept per Python worker; beyond it the memory is emptied.
-REMEMBERED = 1_000_000
+#: Words kept per Python worker at most; those not looked up lately go first.
+REMEMBERED = 300_000
 #: The bucket stands above this bit of a sequence id.
 BUCKET_SHIFT = 58
 
@@ -31,16 +31,25 @@ class KnownWords(dict):
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        #: The words before the last ``age``.
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        # The mark behind a word is a token of its own, so the word is looked up without it.
-        if len(word) > 1 and word[-1] in ".,|" and word[-2].isalpha():
-            ids = self[word[:-1]] + self[word[-1]]
-        else:
-            ids = self.encode(word)
+        ids = self.older.get(word)
+        if ids is None:
+            # The mark behind a word is a token of its own, so the word is looked up without it.
+            if len(word) > 1 and word[-1] in ".,|" and word[-2].isalpha():
+                ids = self[word[:-1]] + self[word[-1]]
+            else:
+                ids = self.encode(word)
         self[word] = ids
         return ids
 
+    def age(self) -> None:
+        """Forget what was not looked up since the last time."""
+        self.older = dict(self)
+        self.clear()
+
 
 class WordEncoder:
     """Token ids of whole texts, as packed little-endian unsigned 32-bit numbers.
@@ -58,7 +67,31 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.words = KnownWords(self.whole)
+        self.words = KnownWords(self.word)
+        self.model = self.tokenizer.model
+        self.letters, self.bare = self.lone_letters()
+
+    def lone_letters(self) -> tuple[dict[int, str], re.Pattern]:
+        """How the model gets to see lower-case Latin letters, and the words of these only.
+
+        There are none if the tokenizer changes such letters, or does not keep them together.
+        """
+        normal, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        letters = [c for c in map(chr, range(0x61, 0x250)) if c.isalpha() and c == c.lower() and PLAIN.fullmatch(c)]
+        shown = {}
+        if normal and split:
+            shown = {ord(c): "".join(piece for piece, _ in split.pre_tokenize_str(c)) for c in letters}
+            joined = "".join(letters)
+            if normal.normalize_str(joined) != joined or [x for x, _ in split.pre_tokenize_str(joined)] != ["".join(shown.values())]:
+                shown = {}
+        return shown, re.compile(f"[{''.join(letters)}]+" if shown else r"(?!)")
+
+    def word(self, word: str) -> bytes:
+        """A word of Latin letters only is one piece of the model, which is asked without the steps before it."""
+        if not self.bare.fullmatch(word):
+            return self.whole(word)
+        seen = word if word.isascii() else word.translate(self.letters)
+        return np.array([token.id for token in self.model.tokenize(seen)], "<u4").tobytes()
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -69,8 +102,8 @@ class WordEncoder:
         # The name of a special token in other case is text, but its lower-cased word would be the token.
         if not PLAIN.fullmatch(text) or self.special.search(text) or self.special.search(lowered):
             return self.whole(text)
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
+        if len(self.words) > REMEMBERED // 2:
+            self.words.age()
         return b"".join(map(self.words.__getitem__, lowered.split()))
 
 
