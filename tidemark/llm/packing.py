@@ -20,7 +20,7 @@ from tidemark.llm.worker import remembered, small_batches
 #: Texts of these characters only are encoded word by word (see ``WordEncoder``).
 PLAIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-įı-ɏ]*")
 #: Words kept per Python worker at most; those not looked up lately go first.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 #: The bucket stands above this bit of a sequence id.
 BUCKET_SHIFT = 58
 
